@@ -48,7 +48,7 @@ def _td(c: Column) -> Column:
 
 def _sorted_join(rows: Column, sep: str = "") -> Column:
     """``collect_list(struct(sort keys…, text))`` -> texts in key order."""
-    return F.array_join(F.transform(F.array_sort(rows), lambda x: x["text"]), sep)
+    return F.array_join(F.transform(F.sort_array(rows), lambda x: x["text"]), sep)
 
 
 # --- HTML pages --------------------------------------------------------------
@@ -78,7 +78,7 @@ def customer_pages(customer: DataFrame) -> DataFrame:
         ).alias("text"),
     )
     grouped = rows.groupBy("page_nation", "page_block").agg(
-        F.array_sort(F.collect_list(F.struct("c_custkey", "text"))).alias("rs")
+        F.sort_array(F.collect_list(F.struct("c_custkey", "text"))).alias("rs")
     )
     first = F.concat(
         F.lit('<tr><td rowspan="'), F.size("rs").cast("string"), F.lit('">'),
