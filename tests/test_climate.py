@@ -1,0 +1,121 @@
+"""Weather stations, FIXTURES §3.2: zips -> land -> bronze -> daily -> monthly."""
+
+import datetime as dt
+import io
+import zipfile
+
+from pyspark.sql import functions as F
+
+from sentinela.fixed import STATION
+from sentinela.operators.timeseries import daily_rollup, monthly_mean_filled
+from sentinela.plans.climate import (
+    bronze_climate,
+    expected_station_files,
+    land_members,
+    missing_station_files,
+    select_station_files,
+    silver_climate,
+)
+from sentinela.plans.runner import run_climate
+
+PREAMBLE = ["REGIAO:;SE", "UF:;SP", "ESTACAO:;SOROCABA", "CODIGO (WMO):;A713", "LATITUDE:;-23", "LONGITUDE:;-47", "ALTITUDE:;609", "DATA DE FUNDAÇÃO:;2006"]
+HEADER = ";".join(["Data", "Hora UTC"] + [f"c{i}" for i in range(2, 19)]) + ";"
+
+
+def line(d, p, pmax, pmin, tmax, tmin, u):
+    f = [d, "0000 UTC", p, "", pmax, pmin, "", "", "", tmax, tmin, "", "", "", "", u, "", "", ""]
+    return ";".join(f) + ";"
+
+
+GOLDEN = [
+    line("2024/01/01", ",8", "950,2", "949,0", "30,1", "20", "80"),
+    line("2024/01/01", "1,2", "951", "948,5", "", "19,5", "70"),
+    line("2024/01/02", "", "", "", "", "", ""),
+    line("2024/03/05", "2", "949", "947", "33", "21", "60"),
+    line("lixo", "9", "999", "1", "99", "-9", "1"),
+    HEADER,
+    "too;short",
+    line("2024/03/05", "2", "949", "947", "33", "21", "60") + "extra;fields",
+    "",
+]
+
+
+def station_file(lines):
+    return ("\r\n".join(PREAMBLE + [HEADER] + lines) + "\r\n").encode("latin-1")
+
+
+def zipped(members):
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+    return buf.getvalue()
+
+
+MONTHLY = [
+    (dt.date(2024, 1, 1), 1.0, 951.0, 948.5, 30.1, 19.5, 75.0),
+    (dt.date(2024, 2, 1), 0.0, 0.0, 0.0, 0.0, 0.0, 0.0),
+    (dt.date(2024, 3, 1), 2.0, 949.0, 947.0, 33.0, 21.0, 60.0),
+]
+
+
+def test_bronze_rows(spark):
+    files = spark.createDataFrame([(STATION, bytearray(station_file(GOLDEN)))], "cidade string, content binary")
+    rows = bronze_climate(files).collect()
+    assert [r.data for r in rows] == ["2024/01/01", "2024/01/01", "2024/01/02", "2024/03/05", "lixo"]
+    assert rows[0].precipitacao_total == 0.8 and rows[1].temp_max is None and rows[2].umidade_relativa_ar is None
+
+
+def test_daily_and_monthly_golden(spark):
+    files = spark.createDataFrame([(STATION, bytearray(station_file(GOLDEN)))], "cidade string, content binary")
+    bronze = bronze_climate(files)
+    dated = bronze.withColumn("data", F.to_date(F.try_to_timestamp("data", F.lit("yyyy/MM/dd"))))
+    daily = {r.data: r for r in daily_rollup(dated).collect()}
+    assert daily[dt.date(2024, 1, 1)].precipitacao_total == 2.0
+    assert daily[dt.date(2024, 1, 1)].umidade_relativa_ar == 75.0
+    assert daily[dt.date(2024, 1, 2)].precipitacao_total == 0.0  # all missing -> 0
+    assert daily[dt.date(2024, 1, 2)].temp_max is None
+    assert len(daily) == 3
+    got = [tuple(r) for r in silver_climate(bronze).collect()]
+    assert got == MONTHLY
+
+
+def test_spine_per_key(spark):
+    daily = spark.createDataFrame(
+        [("a", dt.date(2020, 1, 5), 1.0), ("a", dt.date(2020, 4, 2), 3.0), ("b", dt.date(2021, 6, 1), 5.0), ("b", dt.date(2021, 6, 9), None)],
+        "k string, data date, v double",
+    )
+    rows = [tuple(r) for r in monthly_mean_filled(daily, "data", ["v"], keys=["k"]).collect()]
+    assert rows == [
+        ("a", dt.date(2020, 1, 1), 1.0), ("a", dt.date(2020, 2, 1), 0.0), ("a", dt.date(2020, 3, 1), 0.0),
+        ("a", dt.date(2020, 4, 1), 3.0), ("b", dt.date(2021, 6, 1), 5.0),
+    ]
+    kept = monthly_mean_filled(daily, "data", ["v"], keys=["k"], fill=None).filter("v IS NULL").count()
+    assert kept == 2
+
+
+def test_expected_files_and_missing(spark):
+    expected = expected_station_files(spark, as_of="2022-03-10")
+    names = sorted(r.name for r in expected.collect())
+    assert names == [
+        "INMET_SE_SP_A713_IPERO_01-01-2024_A_30-06-2024.CSV",
+        "INMET_SE_SP_A713_SOROCABA_01-01-2020_A_31-12-2020.CSV",
+        "INMET_SE_SP_A713_SOROCABA_01-01-2021_A_31-12-2021.CSV",
+        "INMET_SE_SP_A713_SOROCABA_01-01-2022_A_28-02-2022.CSV",
+    ]
+    land = spark.createDataFrame([(names[1], bytearray(b"x")), ("other.CSV", bytearray(b"y"))], "name string, content binary")
+    missing = sorted(r.name for r in missing_station_files(land, expected).collect())
+    assert missing == [names[0], names[2], names[3]]
+    assert [r.cidade for r in select_station_files(land, expected).collect()] == ["SE_SP_A713_SOROCABA"]
+
+
+def test_run_from_archives(spark, scratch):
+    name = "INMET_SE_SP_A713_SOROCABA_01-01-2024_A_31-03-2024.CSV"
+    archive = zipped({f"2024/{name}": station_file(GOLDEN), "2024/INMET_OTHER_01-01-2024_A_31-03-2024.CSV": station_file(GOLDEN), "2024/readme.txt": b"x"})
+    archives = spark.createDataFrame([("2024.zip", bytearray(archive))], "path string, content binary")
+    assert sorted(r.name for r in land_members(archives).collect()) == [
+        "INMET_OTHER_01-01-2024_A_31-03-2024.CSV", name,
+    ]
+    expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01", extra=())
+    gold = run_climate(spark, archives, expected, scratch)
+    assert [tuple(r) for r in gold.collect()] == MONTHLY
