@@ -95,7 +95,9 @@ def silver_cases(bronze: DataFrame, sort: bool = True) -> DataFrame:
     long = long.withColumn("ano_mes", year_month_date("ano", month_number("mes")))
     long = drop_missing(long, "casos").withColumn("casos", strict_count("casos"))
     out = long.select("disease", "municipio_resid", "ano_mes", "casos")
-    return out.orderBy("ano_mes") if sort else out
+    # Sorted by month; ties (left open by the original job) are broken by
+    # disease and town so a range partitioner can split a heavy month.
+    return out.orderBy("ano_mes", "disease", "municipio_resid") if sort else out
 
 
 def gold_cases(silver: DataFrame, caso: str | None = None) -> DataFrame:

@@ -37,7 +37,7 @@ from sentinela.plans.table_inputs import (
     supplier_station_bounds,
     table,
 )
-from sentinela.session import scratch_path
+from sentinela.session import checkpoint_root, scratch_path
 from sentinela.sources.archives import unzip_members
 from sentinela.sources.files import expected_vs_found, file_name, yearly_windows
 from sentinela.sources.html import html_table
@@ -70,10 +70,14 @@ def html_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _case_inputs(spark: SparkSession, sf_dir: str):
+    """Pages (one per priority and year) and their layouts. The pages are
+    built once and checkpointed to the shared folder, since both the pages
+    and the layout table derive from them."""
     counts = order_month_counts(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
-    layouts = order_case_layouts(counts)
-    pages = order_case_pages(counts, layouts, table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
-    return pages, layouts.drop("kind", "width")
+    pages = order_case_pages(counts, table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"))
+    checkpoint_root(spark)
+    pages = pages.checkpoint(eager=True)
+    return pages.select("disease", "year", "html"), order_case_layouts(pages)
 
 
 def layout_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +201,7 @@ def months_to_rows_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = months_to_rows(wide, ["municipio_resid", "ano"], list(MONTHS), "mes", "casos")
     long = long.withColumn("ano_mes", year_month_date("ano", month_number("mes")))
     long = drop_missing(long, "casos").withColumn("casos", strict_count("casos"))
-    return long.select("municipio_resid", "ano_mes", "casos").orderBy("ano_mes")
+    return long.select("municipio_resid", "ano_mes", "casos").orderBy("ano_mes", "municipio_resid")
 
 
 def _lineitem_hourly(lineitem: DataFrame) -> DataFrame:

@@ -128,22 +128,20 @@ def _by_kind(kind: Column, pos: int) -> Column:
     return expr
 
 
-def order_case_layouts(counts: DataFrame) -> DataFrame:
+def order_case_layouts(pages: DataFrame) -> DataFrame:
     """Layout rows for the generated pages, one per (disease, year)."""
-    pages = counts.select("disease", "year").distinct()
-    last = F.max("year").over(Window.partitionBy())  # a handful of rows
-    kind = _kind(F.col("year"), F.col("_last"))
-    return pages.withColumn("_last", last).select(
+    kind = F.col("kind")
+    return pages.select(
         "disease", F.col("year").cast("int").alias("year"),
         _by_kind(kind, 0).alias("first_row"), F.lit(None).cast("int").alias("end_row"),
         _by_kind(kind, 1).alias("region_col"), _by_kind(kind, 2).alias("municipality_col"),
         _by_kind(kind, 3).alias("n_values"), _by_kind(kind, 4).alias("strip_code"),
-        kind.alias("kind"), _by_kind(kind, 5).alias("width"),
     )
 
 
-def order_case_pages(counts: DataFrame, layouts: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """One HTML page per (disease, year) in that year's layout: five title
+def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """One HTML page per (disease, year) in that year's layout (even years
+    wide, odd years shifted, the last year partial): five title
     rows (colspan/rowspan), then one row per nation with orders, the region
     cell merged over the nations of a region (rowspan) in mixed case, the
     municipality cell ``'<key> <name>'``, zero counts as empty cells, and
@@ -152,9 +150,11 @@ def order_case_pages(counts: DataFrame, layouts: DataFrame, nation: DataFrame, r
         "n_nationkey", "n_name", "n_regionkey",
         F.when(F.col("n_regionkey") % 2 == 1, F.initcap("r_name")).otherwise(F.col("r_name")).alias("region_text"),
     )
-    rows = counts.join(layouts.select("disease", "year", "kind", "width"), ["disease", "year"]).join(
-        geo, F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    # the rows are (disease, year, nation) aggregates: bounded by the
+    # dimensions, so the whole-set window for the last year stays small
+    rows = counts.withColumn("_last", F.max("year").over(Window.partitionBy()))
+    rows = rows.withColumn("kind", _kind(F.col("year"), F.col("_last"))).withColumn("width", _by_kind(F.col("kind"), 5))
+    rows = rows.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     run = Window.partitionBy("disease", "year", "n_regionkey")
     rows = rows.withColumn("rn", F.row_number().over(run.orderBy("n_nationkey"))).withColumn(
         "run_len", F.count(F.lit(1)).over(run)
@@ -182,7 +182,7 @@ def order_case_pages(counts: DataFrame, layouts: DataFrame, nation: DataFrame, r
     )
     cells = F.concat(lead_cells, F.array(region_cell, town), F.slice(values, 1, n_values), extra)
     row_html = F.concat(F.lit("<tr>"), F.array_join(cells, ""), F.lit("</tr>"))
-    pages = rows.groupBy("disease", "year", "width").agg(
+    pages = rows.groupBy("disease", "year", "kind", "width").agg(
         _sorted_join(F.collect_list(F.struct("n_regionkey", "n_nationkey", row_html.alias("text")))).alias("body")
     )
     w = F.col("width").cast("string")
@@ -198,7 +198,7 @@ def order_case_pages(counts: DataFrame, layouts: DataFrame, nation: DataFrame, r
         F.lit("<html><body><h1>Casos</h1><table>"), titles, F.col("body"),
         F.lit("</table><table><tr><td>notas</td></tr></table></body></html>"),
     )
-    return pages.select("disease", F.col("year").cast("int").alias("year"), html.alias("html"))
+    return pages.select("disease", F.col("year").cast("int").alias("year"), "kind", html.alias("html"))
 
 
 # --- zip archives ------------------------------------------------------------
