@@ -4,4 +4,12 @@ Every public function is DataFrame -> DataFrame (or Column -> Column) and
 stays lazy: nothing here collects, counts or reads the clock.
 """
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
+# Python workers (UDTFs, applyInPandas) receive our functions and classes
+# by value, so executors need no copy of the package on their path.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 __version__ = "0.1.0"

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from sentinela.fixed import MONTHS, TEXT_REPAIRS
-from sentinela.functions.dates import format_day, lenient_date, month_number, year_month_date
+from sentinela.functions.dates import lenient_date, month_number, year_month_date
 from sentinela.functions.numbers import lenient_double, strict_count
 from sentinela.functions.text import repair_mojibake, strip_code
 from sentinela.operators.combine import replace_values, union_layouts
@@ -44,10 +44,6 @@ from sentinela.sources.html import html_table
 from sentinela.sources.layers import publish, read_layer, write_layer
 
 CASE_REGION = "AMERICA"
-MEASURES6 = [
-    "precipitacao_total", "pressao_atmosferica_max", "pressao_atmosferica_min",
-    "temp_max", "temp_min", "umidade_relativa_ar",
-]
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:

@@ -205,7 +205,7 @@ def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) ->
 
 def _zip_group(pdf: pd.DataFrame) -> pd.DataFrame:
     buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
         for member, data in sorted(zip(pdf["member"], pdf["data"])):
             z.writestr(member, bytes(data))
     return pd.DataFrame({"archive": [pdf["archive"].iloc[0]], "content": [buf.getvalue()]})
