@@ -5,7 +5,7 @@ appears in the drop folder is unpacked exactly once into the land layer:
 the file source remembers what it has processed in the checkpoint (in the
 shared folder), ``availableNow`` processes what is there and stops (a
 scheduled run), and every micro-batch is written into its own
-``batch_id`` partition with dynamic overwrite, so a batch replayed after a
+``(bucket, batch_id)`` partition with dynamic overwrite, so a batch replayed after a
 failure rewrites the same files instead of adding copies. A new download of
 an archive should arrive under a new path; copies of a member are resolved
 later by ``select_station_files`` (latest ``landed_at`` wins).
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sentinela.plans.climate import land_members
+from sentinela.plans.climate import LAND_BUCKETS, land_members
 from sentinela.session import checkpoint_root
 from sentinela.sources.layers import LAND, layer_path
 
@@ -53,9 +53,10 @@ def land_archives(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         members = land_members(batch, name_pattern).withColumn("batch_id", F.lit(batch_id))
         (
-            members.write.mode("overwrite")
+            members.repartition(LAND_BUCKETS, "bucket")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy("bucket", "batch_id")
             .parquet(target)
         )
 
