@@ -203,18 +203,28 @@ def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) ->
 
 # --- zip archives ------------------------------------------------------------
 
-def _zip_group(pdf: pd.DataFrame) -> pd.DataFrame:
+def _make_zip(pdf: pd.DataFrame, method: int) -> pd.DataFrame:
     buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as z:
+    with zipfile.ZipFile(buf, "w", method, compresslevel=1 if method == zipfile.ZIP_DEFLATED else None) as z:
         for member, data in sorted(zip(pdf["member"], pdf["data"])):
             z.writestr(member, bytes(data))
     return pd.DataFrame({"archive": [pdf["archive"].iloc[0]], "content": [buf.getvalue()]})
 
 
-def zip_archives(members: DataFrame) -> DataFrame:
-    """``(archive, member, data BINARY)`` -> one zip per archive. Callers
-    choose archive keys that bound the members per archive."""
-    return members.groupBy("archive").applyInPandas(_zip_group, "archive string, content binary")
+# one-argument functions: applyInPandas reads two arguments as (key, frame)
+def _deflated_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    return _make_zip(pdf, zipfile.ZIP_DEFLATED)
+
+
+def _stored_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    return _make_zip(pdf, zipfile.ZIP_STORED)
+
+
+def zip_archives(members: DataFrame, deflate: bool = True) -> DataFrame:
+    """``(archive, member, data BINARY)`` -> one zip per archive (deflated or
+    stored). Callers choose archive keys that bound the members per archive."""
+    fn = _deflated_group if deflate else _stored_group
+    return members.groupBy("archive").applyInPandas(fn, "archive string, content binary")
 
 
 def order_archives(orders: DataFrame) -> DataFrame:
@@ -338,4 +348,4 @@ def supplier_station_archives(lineitem: DataFrame) -> DataFrame:
         F.concat(F.col("y").cast("string"), F.lit("/"), name).alias("member"),
         _station_file(F.col("body")).alias("data"),
     )
-    return zip_archives(members)
+    return zip_archives(members, deflate=False)
