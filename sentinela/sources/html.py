@@ -110,37 +110,38 @@ class _TableReader(HTMLParser):
 
 
 def _fill_grid(rows: list[list[tuple]]) -> list[list[str]]:
-    """Place cells on a grid; a spanning cell is copied into each slot."""
+    """Place cells on a grid; a spanning cell is copied into each slot.
+
+    A cell carried down by ``rowspan`` goes in as soon as its column is
+    reached, or passed when an overlapping ``colspan`` pushed it aside; once
+    a row's own cells are used up, the carried cells follow in column order.
+    Malformed tables may shift, but no cell text is ever dropped.
+    """
     grid: list[list[str]] = []
-    carry: dict[int, tuple[str, int]] = {}  # column -> (text, rows still covered)
+    carry: list[tuple[int, str, int]] = []  # (column, text, rows still covered), by column
     for cells in rows:
         line: list[str] = []
-        nxt: dict[int, tuple[str, int]] = {}
-        todo = iter(cells)
-        cell = next(todo, None)
-        while cell is not None or any(c >= len(line) for c in carry):
-            pos = len(line)
-            if pos in carry:
-                text, left = carry[pos]
-                line.append(text)
+        nxt: list[tuple[int, str, int]] = []
+        k = i = 0
+        while k < len(cells) or i < len(carry):
+            if i < len(carry) and (carry[i][0] <= len(line) or k == len(cells)):
+                col, text, left = carry[i]
+                i += 1
                 if left > 1:
-                    nxt[pos] = (text, left - 1)
-            elif cell is not None:
-                text, _, rs, cs = cell
+                    nxt.append((col, text, left - 1))
+                line.append(text)
+            else:
+                text, _, rs, cs = cells[k]
+                k += 1
                 for _ in range(cs):
                     if rs > 1:
-                        nxt[len(line)] = (text, rs - 1)
+                        nxt.append((len(line), text, rs - 1))
                     line.append(text)
-                cell = next(todo, None)
-            else:
-                line.append("")  # hole left of a cell carried from above
         grid.append(line)
-        carry = nxt
+        carry = sorted(nxt)
     while carry:  # spans reaching past the last row add rows
-        width = max(carry) + 1
-        line = [carry[c][0] if c in carry else "" for c in range(width)]
-        carry = {c: (t, n - 1) for c, (t, n) in carry.items() if n > 1}
-        grid.append(line)
+        grid.append([text for _, text, _ in carry])
+        carry = [(c, t, n - 1) for c, t, n in carry if n > 1]
     return grid
 
 
