@@ -60,3 +60,13 @@ def is_local_path(path: str) -> bool:
 def ensure_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(os.path.dirname(path.replace("file:", "")), exist_ok=True)
+
+
+def register_sql_functions(spark: SparkSession) -> None:
+    """Make the two table functions callable from SQL:
+    ``SELECT … FROM pages, LATERAL html_table(html, 0)`` and
+    ``SELECT … FROM archives, LATERAL zip_members(content, '\\.CSV$')``."""
+    from sentinela.sources import archives, html
+
+    html.register(spark)
+    archives.register(spark)
