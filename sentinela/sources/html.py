@@ -6,7 +6,8 @@ only the narrow ``(row_index, cells)`` rows leave the Python worker.
 
 Row numbering follows a spreadsheet reader's frame: header rows (``<thead>``,
 or leading rows made only of ``<th>``) are numbered -n..-1, body and footer
-rows 0, 1, 2, ... in document order. ``rowspan``/``colspan`` cells are copied
+rows 0, 1, 2, ... in document order, skipping blank rows (no cell, or one
+empty cell). ``rowspan``/``colspan`` cells are copied
 into every grid slot they cover. Cell text has entities resolved and
 whitespace runs collapsed to one blank. Tables nested inside a cell only
 contribute their text to that cell.
@@ -145,8 +146,19 @@ def _fill_grid(rows: list[list[tuple]]) -> list[list[str]]:
     return grid
 
 
+def _blank(cells: list[str]) -> bool:
+    """A row a delimited-text reader skips as a blank line."""
+    return len(cells) == 0 or (len(cells) == 1 and not cells[0].strip())
+
+
 def table_rows(html: str | None, table_no: int = 0) -> list[tuple[int, list[str]]]:
-    """``(row_index, cells)`` of the ``table_no``-th top-level table."""
+    """``(row_index, cells)`` of the ``table_no``-th top-level table.
+
+    Sections are laid out separately (spans do not cross from header to
+    body or footer). Header rows are numbered -n..-1; body rows, then
+    footer rows, 0, 1, 2, ...; body and footer rows with no cell or a single
+    blank cell are skipped, as a reader skips blank lines.
+    """
     if not html:
         return []
     reader = _TableReader(table_no)
@@ -158,18 +170,15 @@ def table_rows(html: str | None, table_no: int = 0) -> list[tuple[int, list[str]
     else:
         reader._end_row()
     raw = reader.rows
-    head = sum(1 for s, _ in raw if s == "head")
-    if head == 0:  # no <thead>: leading all-<th> rows are the header
-        for _, cells in raw:
-            if cells and all(is_th for _, is_th, _, _ in cells):
-                head += 1
-            else:
-                break
-        ordered = raw
-    else:
-        ordered = [r for r in raw if r[0] == "head"] + [r for r in raw if r[0] != "head"]
-    grid = _fill_grid([cells for _, cells in ordered])
-    return [(i - head, cells) for i, cells in enumerate(grid)]
+    head = [cells for section, cells in raw if section == "head"]
+    body = [cells for section, cells in raw if section == "body"]
+    foot = [cells for section, cells in raw if section == "foot"]
+    if not head:  # no <thead>: leading all-<th> body rows are the header
+        while body and all(is_th for _, is_th, _, _ in body[0]):
+            head.append(body.pop(0))
+    header = _fill_grid(head)
+    data = [r for r in _fill_grid(body) + _fill_grid(foot) if not _blank(r)]
+    return [(i - len(header), cells) for i, cells in enumerate(header)] + list(enumerate(data))
 
 
 @udtf(returnType="row_index int, cells array<string>", useArrow=True)

@@ -137,3 +137,14 @@ def test_html_first_table_text_rules():
     assert table_rows(html) == [(-1, ["h"]), (0, ["a b & c", ""])]
     assert table_rows("<p>no table</p>") == []
     assert table_rows(None) == []
+
+
+def test_html_sections_and_blank_rows():
+    html = (
+        "<table><thead><tr><th rowspan=2>H</th><th>x</th></tr></thead>"
+        "<tbody><tr><td>b1</td></tr><tr></tr><tr><td> </td></tr><tr><td></td><td></td></tr><tr><td>b2</td></tr></tbody>"
+        "<tfoot><tr><td>f</td></tr></tfoot></table>"
+    )
+    # the header rowspan is laid out within the header only; the single-blank
+    # and empty rows are skipped, a row of two empty cells is kept
+    assert table_rows(html) == [(-2, ["H", "x"]), (-1, ["H"]), (0, ["b1"]), (1, ["", ""]), (2, ["b2"]), (3, ["f"])]
