@@ -64,3 +64,8 @@ def attach_layouts(pages: DataFrame, layouts: DataFrame) -> DataFrame:
     are dropped. The layout table is a short literal list, so it is
     broadcast and the pages are not shuffled."""
     return pages.join(F.broadcast(layouts), ["disease", "year"], "inner")
+
+
+def pages_without_layout(pages: DataFrame, layouts: DataFrame) -> DataFrame:
+    """Pages whose (disease, year) has no layout (they are not read)."""
+    return pages.join(F.broadcast(layouts.select("disease", "year")), ["disease", "year"], "left_anti")

@@ -207,17 +207,17 @@ def read_pages(
 ) -> DataFrame:
     """A folder of saved report pages -> ``(disease, year, path, html)``.
 
-    Disease and year come from the path: the disease name anywhere in it and
-    the first 20xx after it (e.g. ``dengue/2021/dengue21_mes.htm`` ->
-    dengue, 2021); rows whose year cannot be read are dropped by the
-    layout join later. ``encoding`` is the pages' byte encoding; text that
+    Disease and year come from the path: the disease name and the 20xx that
+    follows it (``dengue/2021/dengue21_mes.htm`` or ``dengue_2021.htm`` ->
+    dengue, 2021). Pages without a layout for their (disease, year) are
+    listed by ``plans.layouts.pages_without_layout``. ``encoding`` is the pages' byte encoding; text that
     was saved already damaged can be fixed with the repair map.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     p = F.col("path")
     return files.select(
         F.lower(F.regexp_extract(p, r"(?i)(dengue|chikungunya|zika)", 1)).alias("disease"),
-        F.regexp_extract(p, r"(?i)(?:dengue|chikungunya|zika)\D*?/(20\d\d)/", 1).try_cast("int").alias("year"),
+        F.regexp_extract(p, r"(?i)(?:dengue|chikungunya|zika)\D*(20\d\d)", 1).try_cast("int").alias("year"),
         p,
         F.decode("content", encoding).alias("html"),
     )

@@ -69,8 +69,9 @@ def test_month_number_and_date(spark):
     assert df.select(year_month_date("ano", month_number("mes"))).first()[0] == dt.date(2021, 3, 1)
 
 
-def test_year_month_date_is_strict(spark):
-    df = spark.createDataFrame([("2021", None)], "ano string, mes string")
+@pytest.mark.parametrize("ano, mes", [("2021", None), ("0", "01"), ("2021", "13"), ("20x1", "01")])
+def test_year_month_date_is_strict(spark, ano, mes):
+    df = spark.createDataFrame([(ano, mes)], "ano string, mes string")
     with pytest.raises(PySparkException):
         df.select(year_month_date("ano", "mes")).collect()
 
