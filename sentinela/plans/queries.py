@@ -97,28 +97,39 @@ def delimited_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def yearly_windows_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected yearly files per nation over its order period, flagged by
-    whether the nation's customers placed a pending order in that year."""
+    whether the nation's customers placed a pending order in that year.
+
+    One aggregate per (nation, year) carries both the period bounds and the
+    pending flag, so ``orders`` is scanned and joined once."""
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
+    per_year = (
+        orders.join(customer.select("c_custkey", "c_nationkey"), orders.o_custkey == F.col("c_custkey"))
+        .groupBy("c_nationkey", F.year("o_orderdate").alias("y"))
+        .agg(
+            F.min("o_orderdate").alias("_min"),
+            F.max("o_orderdate").alias("_max"),
+            F.max(F.col("o_orderstatus") == "P").alias("pending"),
+        )
+    )
+    # small (nations x years) and read by three branches: cut it once in the
+    # shared checkpoint folder instead of scanning orders per branch
+    checkpoint_root(spark)
+    per_year = per_year.checkpoint(eager=True)
     # each nation reports from its customers' first order to the end of
     # the month of their last one
     bounds = (
-        orders.join(customer.select("c_custkey", "c_nationkey"), orders.o_custkey == F.col("c_custkey"))
-        .groupBy("c_nationkey")
-        .agg(F.min("o_orderdate").cast("date").alias("start"), F.last_day(F.max("o_orderdate").cast("date")).alias("end"))
+        per_year.groupBy("c_nationkey")
+        .agg(F.min("_min").cast("date").alias("start"), F.last_day(F.max("_max").cast("date")).alias("end"))
         .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("cidade")), "c_nationkey")
     )
-    windows = yearly_windows(bounds, keys=["cidade", "c_nationkey"])
-    expected = windows.withColumn("name", file_name("cidade", "window_start", "window_end"))
-    pending = (
-        orders.filter(F.col("o_orderstatus") == "P")
-        .join(customer.select("c_custkey", "c_nationkey"), orders.o_custkey == F.col("c_custkey"))
-        .select("c_nationkey", F.year("o_orderdate").alias("y"))
-        .distinct()
+    expected = yearly_windows(bounds, keys=["cidade", "c_nationkey"]).withColumn(
+        "name", file_name("cidade", "window_start", "window_end")
     )
-    found = expected.join(pending, (expected.c_nationkey == pending.c_nationkey) & (F.year("window_start") == F.col("y")), "left_semi")
-    out = expected_vs_found(expected, found.select("name"))
+    pending = per_year.filter("pending").select("c_nationkey", "y")
+    found = expected.join(pending, ["c_nationkey"]).filter(F.year("window_start") == F.col("y")).select("name")
+    out = expected_vs_found(expected, found)
     return out.select("cidade", "window_start", "window_end", "name", "found")
 
 
