@@ -245,6 +245,9 @@ def union_layouts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if(m == i).alias(n) for i, n in enumerate(MONTHS, start=1)
     ]).join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nacao")), "c_nationkey")
     counts = counts.withColumn("_last", F.max("ano").over(Window.partitionBy()))  # nations x years rows
+    # both layouts derive from these few rows: cut them once (shared folder)
+    checkpoint_root(spark)
+    counts = counts.checkpoint(eager=True)
     names = list(MONTHS)
     full = counts.filter(F.col("ano") < F.col("_last")).select(
         "nacao", *[F.when(F.col(n) > 0, F.col(n)).alias(n) for n in names], F.col("ano").cast("int").alias("ano")
