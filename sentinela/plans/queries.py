@@ -303,8 +303,11 @@ def cases_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def climate_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
-    archives = supplier_station_archives(lineitem)
-    expected = expected_station_files_for(supplier_station_bounds(lineitem))
+    # one row per station, used by the archive builder and the expected list
+    checkpoint_root(spark)
+    bounds = supplier_station_bounds(lineitem).checkpoint(eager=True)
+    archives = supplier_station_archives(lineitem, bounds)
+    expected = expected_station_files_for(bounds)
     base = scratch_path(spark, "climate")
     gold = runner.run_climate(spark, archives, expected, base, keys=("cidade",))
     return rounded(gold)

@@ -326,11 +326,12 @@ def supplier_station_bounds(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def supplier_station_archives(lineitem: DataFrame) -> DataFrame:
+def supplier_station_archives(lineitem: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """Yearly archives of station files, as published: one zip per (year,
     block of suppliers), members ``{year}/INMET_{station}_{start}_A_{end}.CSV``,
-    one member per station and year."""
-    bounds = supplier_station_bounds(lineitem)
+    one member per station and year. ``bounds``: the stations' reporting
+    periods (from :func:`supplier_station_bounds`), computed if not given."""
+    bounds = supplier_station_bounds(lineitem) if bounds is None else bounds
     lines = station_lines(lineitem).select(
         supplier_station(F.col("l_suppkey")).alias("cidade"),
         F.expr(f"l_suppkey div {SUPPLIERS_PER_ARCHIVE}").alias("block"),
