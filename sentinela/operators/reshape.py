@@ -18,8 +18,13 @@ def months_to_rows(
 ) -> DataFrame:
     """Unpivot ``value_cols`` into (``var_name``, ``value_name``) rows.
 
-    NULL values are kept. Values are cast to one type first (Spark's unpivot
-    requires it). Plans as a single ``Expand``: no shuffle.
+    NULL values are kept; values are cast to one type first. Row-local, no
+    shuffle: each row becomes an array of (name, value) structs, inlined by
+    a generator. (``DataFrame.unpivot`` plans an ``Expand`` whose string
+    outputs, in Spark 4.1, break whole-stage code generation of a following
+    projection with common subexpressions; the stage then runs interpreted.)
     """
-    typed = df.select(*ids, *[F.col(c).cast(dtype).alias(c) for c in value_cols])
-    return typed.unpivot(list(ids), list(value_cols), var_name, value_name)
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias(var_name), F.col(c).cast(dtype).alias(value_name)) for c in value_cols
+    ])
+    return df.select(*ids, F.inline(pairs))
