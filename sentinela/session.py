@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,15 +52,6 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([checkpoint_root(spark), "sentinela", *parts, uuid.uuid4().hex])
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file:", "")), exist_ok=True)
-
-
 def register_sql_functions(spark: SparkSession) -> None:
     """Make the two table functions callable from SQL:
     ``SELECT … FROM pages, LATERAL html_table(html, 0)`` and
