@@ -19,13 +19,12 @@ def _orders_by_nation() -> str:
     return (
         "o AS (SELECT o_orderpriority AS disease, CAST(year(o_orderdate) AS INTEGER) AS y, "
         "CAST(month(o_orderdate) AS INTEGER) AS m, o_orderstatus AS st, c_nationkey AS nk "
-        "FROM orders JOIN customer ON o_custkey = c_custkey), "
-        "last AS (SELECT max(y) AS my FROM o)"
+        "FROM orders JOIN customer ON o_custkey = c_custkey)"
     )
 
 
 def _kind() -> str:
-    return "CASE WHEN y = my THEN 'partial' WHEN y % 2 = 0 THEN 'wide' ELSE 'shifted' END"
+    return "CASE WHEN y = (SELECT max(y) FROM o) THEN 'partial' WHEN y % 2 = 0 THEN 'wide' ELSE 'shifted' END"
 
 
 HTML_TABLE_EXTRACT = """
@@ -62,7 +61,7 @@ def _layout_extract() -> str:
 WITH {_orders_by_nation()},
 cnt AS (SELECT disease, y, nk, {", ".join(counts)} FROM o GROUP BY disease, y, nk),
 r AS (SELECT cnt.*, n_name, {_kind()} AS kind
-      FROM cnt JOIN nation ON nk = n_nationkey JOIN region ON n_regionkey = r_regionkey, last
+      FROM cnt JOIN nation ON nk = n_nationkey JOIN region ON n_regionkey = r_regionkey
       WHERE r_name = 'AMERICA')
 SELECT disease,
        CASE WHEN kind = 'shifted' THEN CAST(nk AS VARCHAR) || ' ' || n_name ELSE n_name END AS coluna_0,
@@ -172,15 +171,14 @@ def _union_layouts() -> str:
     names = list(MONTHS)
     filters = ", ".join(f"count(*) FILTER (WHERE m = {i}) AS {n}" for i, n in enumerate(names, start=1))
     cols = ", ".join(
-        f"CASE WHEN y = my AND {i} > 5 THEN '0' WHEN {n} = 0 THEN '0' ELSE CAST({n} AS VARCHAR) END AS {n}"
+        f"CASE WHEN y = (SELECT max(y) FROM oc) AND {i} > 5 THEN '0' WHEN {n} = 0 THEN '0' ELSE CAST({n} AS VARCHAR) END AS {n}"
         for i, n in enumerate(names, start=1)
     )
     return f"""
 WITH oc AS (SELECT n_name AS nacao, year(o_orderdate) AS y, month(o_orderdate) AS m
             FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
-last AS (SELECT max(y) AS my FROM oc),
 cnt AS (SELECT nacao, y, {filters} FROM oc GROUP BY nacao, y)
-SELECT nacao, CAST(y AS VARCHAR) AS ano, {cols} FROM cnt, last
+SELECT nacao, CAST(y AS VARCHAR) AS ano, {cols} FROM cnt
 """
 
 
@@ -228,15 +226,15 @@ WITH {_orders_by_nation()},
 cnt AS (SELECT disease, y, nk, m, count(*) AS n FROM o GROUP BY ALL),
 present AS (SELECT DISTINCT disease, y, nk FROM o),
 r AS (SELECT p.disease, p.y, p.nk, n_name, {_kind()} AS kind
-      FROM present p JOIN nation ON p.nk = n_nationkey JOIN region ON n_regionkey = r_regionkey, last
+      FROM present p JOIN nation ON p.nk = n_nationkey JOIN region ON n_regionkey = r_regionkey
       WHERE r_name = 'AMERICA'),
-mm AS (SELECT CAST(unnest(range(1, 13)) AS INTEGER) AS mm)
-SELECT CASE WHEN kind = 'shifted' THEN CAST(r.nk AS VARCHAR) || ' ' || n_name ELSE n_name END AS municipio_resid,
-       make_date(r.y, mm.mm, 1) AS ano_mes,
-       CAST(CASE WHEN kind = 'partial' AND mm.mm > 5 THEN 0 ELSE coalesce(cnt.n, 0) END AS BIGINT) AS qtd_casos,
-       r.disease AS caso
-FROM r CROSS JOIN mm
-LEFT JOIN cnt ON cnt.disease = r.disease AND cnt.y = r.y AND cnt.nk = r.nk AND cnt.m = mm.mm
+rm AS (SELECT r.*, CAST(unnest(range(1, 13)) AS INTEGER) AS mm FROM r)
+SELECT CASE WHEN kind = 'shifted' THEN CAST(rm.nk AS VARCHAR) || ' ' || n_name ELSE n_name END AS municipio_resid,
+       make_date(rm.y, rm.mm, 1) AS ano_mes,
+       CAST(CASE WHEN kind = 'partial' AND rm.mm > 5 THEN 0 ELSE coalesce(cnt.n, 0) END AS BIGINT) AS qtd_casos,
+       rm.disease AS caso
+FROM rm
+LEFT JOIN cnt ON cnt.disease = rm.disease AND cnt.y = rm.y AND cnt.nk = rm.nk AND cnt.m = rm.mm
 """
 
 CLIMATE_LAYERS = """
