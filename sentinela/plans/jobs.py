@@ -47,3 +47,32 @@ def run_pipeline(
         expected = expected_station_files(spark, as_of, stations)
         return run_climate(spark, archives, expected, base, table=table, name=name)
     raise ValueError(f"unknown job {name!r}")
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    """``python -m sentinela.plans.jobs NAME --as-of YYYY-MM-DD --base PATH
+    --source PATH [--table T] [--station S ...]`` — one monthly run, e.g.
+    from a scheduler task. The session comes from the cluster's defaults."""
+    import argparse
+
+    from sentinela.session import get_session
+
+    p = argparse.ArgumentParser(prog="sentinela.plans.jobs", description=main.__doc__)
+    p.add_argument("name", choices=[*DISEASES, "climaticas"])
+    p.add_argument("--as-of", required=True, help="run date; the month before it is reported")
+    p.add_argument("--base", required=True, help="folder holding the land/bronze/silver layers")
+    p.add_argument("--source", required=True, help="folder of yearly pages or of zip archives")
+    p.add_argument("--table", default=None, help="catalog table to replace with the gold rows")
+    p.add_argument("--station", action="append", default=None, help="weather station (repeatable)")
+    p.add_argument("--page-encoding", default="UTF-8")
+    a = p.parse_args(argv)
+    spark = get_session(app=f"sentinela-{a.name}")
+    gold = run_pipeline(
+        spark, a.name, a.as_of, a.base, a.source, table=a.table,
+        stations=tuple(a.station) if a.station else (STATION,), page_encoding=a.page_encoding,
+    )
+    print(f"{a.name}: gold table with {len(gold.columns)} columns written under {a.base}")
+
+
+if __name__ == "__main__":
+    main()
