@@ -30,7 +30,7 @@ def run_pipeline(
     source: str,
     table: str | None = None,
     stations: Sequence[str] = (STATION,),
-    page_encoding: str = "UTF-8",
+    page_encoding: str = "auto",
 ) -> DataFrame:
     """Run one job by name and return its gold table.
 
@@ -64,7 +64,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--source", required=True, help="folder of yearly pages or of zip archives")
     p.add_argument("--table", default=None, help="catalog table to replace with the gold rows")
     p.add_argument("--station", action="append", default=None, help="weather station (repeatable)")
-    p.add_argument("--page-encoding", default="UTF-8")
+    p.add_argument("--page-encoding", default="auto")
     a = p.parse_args(argv)
     spark = get_session(app=f"sentinela-{a.name}")
     gold = run_pipeline(

@@ -199,10 +199,20 @@ def register(spark) -> None:
     spark.udtf.register("html_table", HtmlTable)
 
 
+def decode_page(content, encoding: str = "auto"):
+    """Page bytes -> text. ``auto``: valid UTF-8 is taken as is, anything
+    else is read as ISO-8859-1 (pages saved by spreadsheet tools)."""
+    c = F.col(content) if isinstance(content, str) else content
+    if encoding != "auto":
+        return F.decode(c, encoding)
+    raw = c.cast("string")
+    return F.when(F.is_valid_utf8(raw), raw).otherwise(F.decode(c, "ISO-8859-1"))
+
+
 def read_pages(
     spark,
     path: str,
-    encoding: str = "UTF-8",
+    encoding: str = "auto",
     glob: str = "*.htm*",
 ) -> DataFrame:
     """A folder of saved report pages -> ``(disease, year, path, html)``.
@@ -219,5 +229,5 @@ def read_pages(
         F.lower(F.regexp_extract(p, r"(?i)(dengue|chikungunya|zika)", 1)).alias("disease"),
         F.regexp_extract(p, r"(?i)(?:dengue|chikungunya|zika)\D*(20\d\d)", 1).try_cast("int").alias("year"),
         p,
-        F.decode("content", encoding).alias("html"),
+        decode_page("content", encoding).alias("html"),
     )

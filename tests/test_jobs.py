@@ -23,7 +23,7 @@ def test_run_pipeline_disease_from_folder(spark):
     wide = "<tr>" + "<td>x</td>" * 5 + "<td>SOROCABA</td><td>355220 Sorocaba</td>" + "".join(f"<td>{i}</td>" for i in range(1, 37)) + "</tr>"
     shifted = "<tr><td>x</td><td>x</td><td>Sorocaba</td><td>352110 Iperó</td>" + "".join(f"<td>{i}</td>" for i in range(1, 37)) + "</tr>"
     _write(f"{root}/pages/dengue/2020/dengue20_import_autoc_mes.htm", _page(wide))
-    _write(f"{root}/pages/dengue/2021/dengue21_import_autoc_mes.htm", _page(shifted))
+    _write(f"{root}/pages/dengue/2021/dengue21_import_autoc_mes.htm", _page(shifted), encoding="latin-1")
     _write(f"{root}/pages/zika/2021/zika21_mes.htm", _page(shifted))  # other disease: not read
     gold = run_pipeline(spark, "dengue", "2024-07-01", f"{root}/out", f"{root}/pages")
     rows = gold.collect()
