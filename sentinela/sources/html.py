@@ -220,8 +220,11 @@ def read_pages(
     Disease and year come from the path: the disease name and the 20xx that
     follows it (``dengue/2021/dengue21_mes.htm`` or ``dengue_2021.htm`` ->
     dengue, 2021). Pages without a layout for their (disease, year) are
-    listed by ``plans.layouts.pages_without_layout``. ``encoding`` is the pages' byte encoding; text that
-    was saved already damaged can be fixed with the repair map.
+    listed by ``plans.layouts.pages_without_layout``.
+
+    ``encoding``: the pages' byte encoding, or ``auto`` (see
+    :func:`decode_page`); text saved already damaged is fixed by the repair
+    map.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     p = F.col("path")
