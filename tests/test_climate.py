@@ -119,3 +119,21 @@ def test_run_from_archives(spark, scratch):
     expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01", extra=())
     gold = run_climate(spark, archives, expected, scratch)
     assert [tuple(r) for r in gold.collect()] == MONTHLY
+
+
+def test_long_expected_list_is_not_broadcast(spark, scratch):
+    from sentinela.plans.climate import write_land
+    from sentinela.sources.layers import LAND, read_layer
+
+    name = "INMET_SE_SP_A713_SOROCABA_01-01-2024_A_31-03-2024.CSV"
+    archives = spark.createDataFrame([("2024.zip", bytearray(zipped({f"2024/{name}": station_file(GOLDEN)})))], "path string, content binary")
+    write_land(land_members(archives), scratch, "c")
+    land = read_layer(spark, scratch, LAND, "c")
+    expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01", extra=())
+    small = select_station_files(land, expected)
+    large = select_station_files(land, expected, max_broadcast=0)
+    plan_small = small._jdf.queryExecution().executedPlan().toString()
+    plan_large = large._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan_small
+    assert "dynamicpruning" not in plan_large
+    assert [r.name for r in large.collect()] == [r.name for r in small.collect()] == [name]
