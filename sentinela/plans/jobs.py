@@ -31,12 +31,15 @@ def run_pipeline(
     table: str | None = None,
     stations: Sequence[str] = (STATION,),
     page_encoding: str = "auto",
+    per_station: bool = False,
 ) -> DataFrame:
     """Run one job by name and return its gold table.
 
     ``name``: a disease (``source`` = folder of saved yearly pages; the job
     uses the layouts of that disease) or ``"climaticas"`` (``source`` =
-    folder of yearly zip archives; stations and ``as_of`` pick the files).
+    folder of yearly zip archives; stations and ``as_of`` pick the files;
+    ``per_station`` keeps one monthly series per station instead of merging
+    all stations by date).
     """
     if name in DISEASES:
         pages = read_pages(spark, source, encoding=page_encoding).filter(F.col("disease") == name)
@@ -45,7 +48,8 @@ def run_pipeline(
     if name == "climaticas":
         archives = read_binary_files(spark, source, glob="*.zip", recursive=True)
         expected = expected_station_files(spark, as_of, stations)
-        return run_climate(spark, archives, expected, base, table=table, name=name)
+        keys = ("cidade",) if per_station else ()
+        return run_climate(spark, archives, expected, base, keys=keys, table=table, name=name)
     raise ValueError(f"unknown job {name!r}")
 
 
@@ -65,11 +69,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--table", default=None, help="catalog table to replace with the gold rows")
     p.add_argument("--station", action="append", default=None, help="weather station (repeatable)")
     p.add_argument("--page-encoding", default="auto")
+    p.add_argument("--per-station", action="store_true", help="one weather series per station")
     a = p.parse_args(argv)
     spark = get_session(app=f"sentinela-{a.name}")
     gold = run_pipeline(
         spark, a.name, a.as_of, a.base, a.source, table=a.table,
         stations=tuple(a.station) if a.station else (STATION,), page_encoding=a.page_encoding,
+        per_station=a.per_station,
     )
     print(f"{a.name}: gold table with {len(gold.columns)} columns written under {a.base}")
 
