@@ -3,11 +3,12 @@
 from sentinela.sources.archives import read_binary_files, unzip_members, zip_members
 from sentinela.sources.delimited import fields_to_columns, read_delimited
 from sentinela.sources.files import expected_vs_found, file_name, parse_file_name, reporting_end, yearly_windows
-from sentinela.sources.html import html_table, table_rows
+from sentinela.sources.html import decode_page, html_table, read_pages, table_rows
 from sentinela.sources.layers import BRONZE, LAND, SILVER, layer_path, publish, read_layer, write_layer
 
 __all__ = [
     "BRONZE",
+    "decode_page",
     "LAND",
     "SILVER",
     "expected_vs_found",
@@ -19,6 +20,7 @@ __all__ = [
     "publish",
     "read_binary_files",
     "read_delimited",
+    "read_pages",
     "read_layer",
     "reporting_end",
     "table_rows",
