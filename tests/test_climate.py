@@ -144,3 +144,12 @@ def test_long_expected_list_is_not_broadcast(spark, scratch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert got == [r.name for r in small.collect()] == [name]
+
+
+def test_land_files_per_bucket():
+    from sentinela.plans.climate import LAND_BUCKETS, LAND_FILE_BYTES, land_files_per_bucket
+
+    assert land_files_per_bucket(None) == 1
+    assert land_files_per_bucket(10 * 1024 * 1024) == 1  # a monthly run
+    assert land_files_per_bucket(LAND_BUCKETS * LAND_FILE_BYTES * 10) == 10  # a backfill
+    assert land_files_per_bucket(10**18) == 256
