@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sentinela.plans.climate import LAND_BUCKETS, land_members
+from sentinela.plans.climate import LAND_BUCKETS, land_files_per_bucket, land_members
 from sentinela.session import checkpoint_root
 from sentinela.sources.layers import LAND, layer_path
 
@@ -51,9 +51,12 @@ def land_archives(
     ckpt = checkpoint or f"{checkpoint_root(spark)}/sentinela/streams/land_{name}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # sized like the batch land: from the archives' bytes (listing only)
+        per_bucket = land_files_per_bucket(batch.agg(F.sum("length")).first()[0])
+        sub = F.pmod(F.xxhash64("name"), F.lit(per_bucket))
         members = land_members(batch, name_pattern).withColumn("batch_id", F.lit(batch_id))
         (
-            members.repartition(LAND_BUCKETS, "bucket")
+            members.repartition(LAND_BUCKETS * per_bucket, "bucket", sub)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket", "batch_id")
