@@ -1,6 +1,5 @@
 """Print the physical plans of the core jobs (the library code, on the
-sf0.01 tables) in a compact form: one line per operator plus the scan
-details that matter (columns read, pushed and partition filters).
+sf0.01 tables), expression ids removed, lines cut at 160 characters.
 
 usage: python tools/show_plans.py [sf_dir]
 """
@@ -21,6 +20,7 @@ from sentinela.plans.cases import bronze_cases, silver_cases  # noqa: E402
 from sentinela.plans.climate import (  # noqa: E402
     bronze_climate,
     expected_station_files,
+    expected_station_files_for,
     land_members,
     select_station_files,
     silver_climate,
@@ -29,9 +29,6 @@ from sentinela.plans.climate import (  # noqa: E402
 from sentinela.session import get_session, scratch_path  # noqa: E402
 from sentinela.sources.layers import BRONZE, LAND, read_layer, write_layer  # noqa: E402
 
-KEEP = re.compile(r"^\s*(\(\d+\)|[+:\- ]*[A-Z][A-Za-z]+)|ReadSchema|PushedFilters|PartitionFilters|Keys|Arguments: (hash|range|Single)|Join type|Functions")
-
-
 def show(title: str, df) -> None:
     text = df._jdf.queryExecution().executedPlan().toString()
     print(f"\n### {title}\n```")
@@ -58,8 +55,8 @@ def main() -> None:
     files = select_station_files(land, expected)
     show("weather file selection: broadcast expected list, dynamic pruning of land buckets", files)
     show("weather bronze: decode/split once per file, explode, native parsing", bronze_climate(files))
-    write_layer(bronze_climate(select_station_files(land, T.supplier_station_bounds(li).select("cidade", "start", "end").transform(
-        lambda b: __import__("sentinela.plans.climate", fromlist=["x"]).expected_station_files_for(b)))), base, BRONZE, "c")
+    every_station = expected_station_files_for(T.supplier_station_bounds(li))
+    write_layer(bronze_climate(select_station_files(land, every_station)), base, BRONZE, "c")
     b = read_layer(spark, base, BRONZE, "c")
     show("weather silver: partial+final daily agg, partial+final monthly agg, per-key window + explode", silver_climate(b, keys=("cidade",)))
     show("lineitem scan pruning (daily roll-up query)", Q.daily_rollup_lineitem(spark, sf_dir))
