@@ -26,7 +26,7 @@ def _norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, float):
-        return round(v, 9)
+        return v  # exact: both sides round to 6 decimals themselves
     if hasattr(v, "isoformat"):
         return v.isoformat()[:10]
     if hasattr(v, "item"):
