@@ -23,8 +23,10 @@ def _orders_by_nation() -> str:
     )
 
 
-def _kind() -> str:
-    return "CASE WHEN y = (SELECT max(y) FROM o) THEN 'partial' WHEN y % 2 = 0 THEN 'wide' ELSE 'shifted' END"
+def _kind(alias: str) -> str:
+    """Layout of a (disease, year) page: the disease's latest year partial."""
+    latest = f"(SELECT max(o2.y) FROM o AS o2 WHERE o2.disease = {alias}.disease)"
+    return f"CASE WHEN {alias}.y = {latest} THEN 'partial' WHEN {alias}.y % 2 = 0 THEN 'wide' ELSE 'shifted' END"
 
 
 HTML_TABLE_EXTRACT = """
@@ -60,7 +62,7 @@ def _layout_extract() -> str:
     return f"""
 WITH {_orders_by_nation()},
 cnt AS (SELECT disease, y, nk, {", ".join(counts)} FROM o GROUP BY disease, y, nk),
-r AS (SELECT cnt.*, n_name, {_kind()} AS kind
+r AS (SELECT cnt.*, n_name, {_kind("cnt")} AS kind
       FROM cnt JOIN nation ON nk = n_nationkey JOIN region ON n_regionkey = r_regionkey
       WHERE r_name = 'AMERICA')
 SELECT disease,
@@ -171,7 +173,8 @@ def _union_layouts() -> str:
     names = list(MONTHS)
     filters = ", ".join(f"count(*) FILTER (WHERE m = {i}) AS {n}" for i, n in enumerate(names, start=1))
     cols = ", ".join(
-        f"CASE WHEN y = (SELECT max(y) FROM oc) AND {i} > 5 THEN '0' WHEN {n} = 0 THEN '0' ELSE CAST({n} AS VARCHAR) END AS {n}"
+        f"CASE WHEN y = (SELECT max(oc2.y) FROM oc AS oc2 WHERE oc2.nacao = cnt.nacao) AND {i} > 5 THEN '0' "
+        f"WHEN {n} = 0 THEN '0' ELSE CAST({n} AS VARCHAR) END AS {n}"
         for i, n in enumerate(names, start=1)
     )
     return f"""
@@ -225,7 +228,7 @@ CASES_LAYERS = f"""
 WITH {_orders_by_nation()},
 cnt AS (SELECT disease, y, nk, m, count(*) AS n FROM o GROUP BY ALL),
 present AS (SELECT DISTINCT disease, y, nk FROM o),
-r AS (SELECT p.disease, p.y, p.nk, n_name, {_kind()} AS kind
+r AS (SELECT p.disease, p.y, p.nk, n_name, {_kind("p")} AS kind
       FROM present p JOIN nation ON p.nk = n_nationkey JOIN region ON n_regionkey = r_regionkey
       WHERE r_name = 'AMERICA'),
 rm AS (SELECT r.*, CAST(unnest(range(1, 13)) AS INTEGER) AS mm FROM r)

@@ -244,7 +244,8 @@ def union_layouts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = j.groupBy("c_nationkey", F.year("o_orderdate").alias("ano")).agg(*[
         F.count_if(m == i).alias(n) for i, n in enumerate(MONTHS, start=1)
     ]).join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("nacao")), "c_nationkey")
-    counts = counts.withColumn("_last", F.max("ano").over(Window.partitionBy()))  # nations x years rows
+    # a nation's latest year comes as a half-year frame
+    counts = counts.withColumn("_last", F.max("ano").over(Window.partitionBy("c_nationkey")))
     # both layouts derive from these few rows: cut them once (shared folder)
     checkpoint_root(spark)
     counts = counts.checkpoint(eager=True)

@@ -108,7 +108,7 @@ def order_month_counts(orders: DataFrame, customer: DataFrame) -> DataFrame:
     return j.groupBy(F.col("o_orderpriority").alias("disease"), "year", "c_nationkey").agg(*aggs)
 
 
-# Test layouts: even years wide, odd years shifted, the last year partial.
+# Test layouts: even years wide, odd years shifted, the latest year partial.
 _KINDS = {
     #          first_row, region_col, municipality_col, n_values, strip, width
     "wide": (5, 5, 6, 36, True, 43),
@@ -141,7 +141,7 @@ def order_case_layouts(pages: DataFrame) -> DataFrame:
 
 def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """One HTML page per (disease, year) in that year's layout (even years
-    wide, odd years shifted, the last year partial): five title
+    wide, odd years shifted, the disease's latest year partial): five title
     rows (colspan/rowspan), then one row per nation with orders, the region
     cell merged over the nations of a region (rowspan) in mixed case, the
     municipality cell ``'<key> <name>'``, zero counts as empty cells, and
@@ -150,9 +150,9 @@ def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) ->
         "n_nationkey", "n_name", "n_regionkey",
         F.when(F.col("n_regionkey") % 2 == 1, F.initcap("r_name")).otherwise(F.col("r_name")).alias("region_text"),
     )
-    # the rows are (disease, year, nation) aggregates: bounded by the
-    # dimensions, so the whole-set window for the last year stays small
-    rows = counts.withColumn("_last", F.max("year").over(Window.partitionBy()))
+    # each disease's latest year is the partial one (a window per disease
+    # over its (year, nation) aggregates)
+    rows = counts.withColumn("_last", F.max("year").over(Window.partitionBy("disease")))
     rows = rows.withColumn("kind", _kind(F.col("year"), F.col("_last"))).withColumn("width", _by_kind(F.col("kind"), 5))
     rows = rows.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     run = Window.partitionBy("disease", "year", "n_regionkey")
