@@ -32,6 +32,7 @@ def run_pipeline(
     stations: Sequence[str] = (STATION,),
     page_encoding: str = "auto",
     per_station: bool = False,
+    layer_format: str = "parquet",
 ) -> DataFrame:
     """Run one job by name and return its gold table.
 
@@ -44,12 +45,12 @@ def run_pipeline(
     if name in DISEASES:
         pages = read_pages(spark, source, encoding=page_encoding).filter(F.col("disease") == name)
         layouts = layout_frame(spark, [x for x in REFERENCE_LAYOUTS if x.disease == name])
-        return run_cases(spark, pages, layouts, base, table=table, name=name)
+        return run_cases(spark, pages, layouts, base, table=table, name=name, layer_format=layer_format)
     if name == "climaticas":
         archives = read_binary_files(spark, source, glob="*.zip", recursive=True)
         expected = expected_station_files(spark, as_of, stations)
         keys = ("cidade",) if per_station else ()
-        return run_climate(spark, archives, expected, base, keys=keys, table=table, name=name)
+        return run_climate(spark, archives, expected, base, keys=keys, table=table, name=name, layer_format=layer_format)
     raise ValueError(f"unknown job {name!r}")
 
 
@@ -70,12 +71,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--station", action="append", default=None, help="weather station (repeatable)")
     p.add_argument("--page-encoding", default="auto")
     p.add_argument("--per-station", action="store_true", help="one weather series per station")
+    p.add_argument("--layer-format", choices=["parquet", "csv"], default="parquet")
     a = p.parse_args(argv)
     spark = get_session(app=f"sentinela-{a.name}")
     gold = run_pipeline(
         spark, a.name, a.as_of, a.base, a.source, table=a.table,
         stations=tuple(a.station) if a.station else (STATION,), page_encoding=a.page_encoding,
-        per_station=a.per_station,
+        per_station=a.per_station, layer_format=a.layer_format,
     )
     print(f"{a.name}: gold table with {len(gold.columns)} columns written under {a.base}")
 

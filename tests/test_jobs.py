@@ -25,7 +25,7 @@ def test_run_pipeline_disease_from_folder(spark):
     _write(f"{root}/pages/dengue/2020/dengue20_import_autoc_mes.htm", _page(wide))
     _write(f"{root}/pages/dengue/2021/dengue21_import_autoc_mes.htm", _page(shifted), encoding="latin-1")
     _write(f"{root}/pages/zika/2021/zika21_mes.htm", _page(shifted))  # other disease: not read
-    gold = run_pipeline(spark, "dengue", "2024-07-01", f"{root}/out", f"{root}/pages")
+    gold = run_pipeline(spark, "dengue", "2024-07-01", f"{root}/out", f"{root}/pages", layer_format="csv")
     rows = gold.collect()
     assert len(rows) == 24 and {r.caso for r in rows} == {"dengue"}
     assert {(r.municipio_resid, r.ano_mes.year) for r in rows} == {("Sorocaba", 2020), ("352110 Iperó", 2021)}
@@ -42,6 +42,10 @@ def test_run_pipeline_climate_from_folder(spark):
     # as_of in April 2024: the expected 2024 window ends on 31-03-2024
     gold = run_pipeline(spark, "climaticas", "2024-04-10", f"{root}/out", f"{root}/zips")
     assert [r.data for r in gold.collect()] == [dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
+    csv = run_pipeline(spark, "climaticas", "2024-04-10", f"{root}/out_csv", f"{root}/zips", per_station=True, layer_format="csv")
+    assert [(r.cidade, r.data, r.umidade_relativa_ar) for r in csv.collect()][0] == ("SE_SP_A713_SOROCABA", dt.date(2024, 1, 1), 75.0)
+    assert os.listdir(f"{root}/out_csv/1. bronze/climaticas") and any(
+        f.endswith(".csv") for f in os.listdir(f"{root}/out_csv/2. silver/climaticas"))
 
 
 def test_sql_table_functions(spark):
