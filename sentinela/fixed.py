@@ -38,6 +38,33 @@ BRONZE_PREFIX = "coluna_"
 N_BRONZE_VALUES = 36
 YEAR_COLUMN = "coluna_37"
 
+# Page layouts of the published yearly tables, one row per disease and year:
+# disease, year, first data row, end row (exclusive, None = to the end),
+# region column, municipality column, value cells, strip leading code.
+LAYOUT_TABLE = [
+    ("dengue", 2020, 5, None, 5, 6, 36, True),
+    ("dengue", 2021, 5, None, 2, 3, 36, False),
+    ("dengue", 2022, 5, None, 5, 6, 36, True),
+    ("dengue", 2023, 5, None, 5, 6, 36, True),
+    ("dengue", 2024, 5, None, 5, 6, 15, True),
+    ("chikungunya", 2020, 5, None, 5, 6, 36, True),
+    ("chikungunya", 2021, 5, None, 2, 3, 36, False),
+    ("chikungunya", 2022, 5, None, 5, 6, 36, True),
+    ("chikungunya", 2023, 5, None, 5, 6, 36, True),
+    ("chikungunya", 2024, 5, None, 5, 6, 15, True),
+    ("zika", 2020, 4, 649, 5, 6, 36, True),
+    ("zika", 2021, 5, None, 2, 3, 36, True),
+    ("zika", 2022, 5, None, 2, 3, 36, True),
+    ("zika", 2023, 5, None, 2, 3, 36, True),
+    ("zika", 2024, 6, None, 2, 3, 15, False),
+]
+
+# --- fixed values: layer folders -------------------------------------------
+
+LAND = "0. land"
+BRONZE = "1. bronze"
+SILVER = "2. silver"
+
 # --- fixed values: weather station files -----------------------------------
 
 STATION = "SE_SP_A713_SOROCABA"

@@ -15,6 +15,8 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentinela.fixed import LAYOUT_TABLE
+
 
 class Layout(NamedTuple):
     disease: str
@@ -32,26 +34,8 @@ LAYOUT_SCHEMA = (
     "municipality_col int, n_values int, strip_code boolean"
 )
 
-# --- fixed values: layouts of the published yearly pages -------------------
-# disease, year, first data row, end row (exclusive), region column,
-# municipality column, value cells, strip leading code
-REFERENCE_LAYOUTS = [
-    Layout("dengue", 2020, 5, None, 5, 6, 36, True),
-    Layout("dengue", 2021, 5, None, 2, 3, 36, False),
-    Layout("dengue", 2022, 5, None, 5, 6, 36, True),
-    Layout("dengue", 2023, 5, None, 5, 6, 36, True),
-    Layout("dengue", 2024, 5, None, 5, 6, 15, True),
-    Layout("chikungunya", 2020, 5, None, 5, 6, 36, True),
-    Layout("chikungunya", 2021, 5, None, 2, 3, 36, False),
-    Layout("chikungunya", 2022, 5, None, 5, 6, 36, True),
-    Layout("chikungunya", 2023, 5, None, 5, 6, 36, True),
-    Layout("chikungunya", 2024, 5, None, 5, 6, 15, True),
-    Layout("zika", 2020, 4, 649, 5, 6, 36, True),
-    Layout("zika", 2021, 5, None, 2, 3, 36, True),
-    Layout("zika", 2022, 5, None, 2, 3, 36, True),
-    Layout("zika", 2023, 5, None, 2, 3, 36, True),
-    Layout("zika", 2024, 6, None, 2, 3, 15, False),
-]
+# The published pages' layouts (values in ``sentinela.fixed``).
+REFERENCE_LAYOUTS = [Layout(*row) for row in LAYOUT_TABLE]
 
 
 def layout_frame(spark: SparkSession, layouts: Iterable[Layout] = REFERENCE_LAYOUTS) -> DataFrame:
