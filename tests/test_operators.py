@@ -65,3 +65,16 @@ def test_header_and_region_filters(spark):
     r = spark.createDataFrame([("Sorocaba",), ("SOROCABA ",), ("campinas",)], "x string")
     assert [x.x for x in region_filter(r, "x", "sorocaba").collect()] == ["Sorocaba"]
     assert r.filter(F.lit(True)).count() == 3
+
+
+def test_daily_rollup_from_hourly_timestamps(spark):
+    import datetime as dt
+
+    from sentinela.operators import daily_rollup
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 1, 3), 1.0), (dt.datetime(2024, 1, 1, 22), 2.0), (dt.datetime(2024, 1, 2, 0), None), (None, 9.0)],
+        "ts timestamp_ntz, v double",
+    )
+    got = sorted(tuple(r) for r in daily_rollup(df, "ts", {"v": "sum"}).collect())
+    assert got == [(dt.date(2024, 1, 1), 3.0), (dt.date(2024, 1, 2), 0.0)]
