@@ -298,12 +298,18 @@ def _station_file(body: Column) -> Column:
 def lineitem_station_files(lineitem: DataFrame) -> DataFrame:
     """Station files ``(name, content)``: one per (ship month, block of
     order keys), latin-1, CRLF, 8 preamble lines, header, a repeated header
-    at the end; lines sorted by (order key, line number)."""
-    lines = station_lines(lineitem).select(
+    at the end; lines sorted by (order key, line number).
+
+    Rows are shuffled to their file first and the lines are built there: the
+    grouping reuses that partitioning (one shuffle), and the per-line text
+    work runs on the reduce side, spread over the shuffle partitions rather
+    than over however few splits the input has."""
+    keyed = lineitem.select(
         F.date_format("l_shipdate", "yyyy-MM").alias("ym"),
         F.expr(f"l_orderkey div {ORDERS_PER_FILE_BLOCK}").alias("part"),
-        *LINE_ORDER, "text",
-    )
+        *lineitem.columns,
+    ).repartition("ym", "part")
+    lines = station_lines(keyed).select("ym", "part", *LINE_ORDER, "text")
     files = lines.groupBy("ym", "part").agg(
         _sorted_join(F.collect_list(F.struct(*LINE_ORDER, "text")), "\r\n").alias("body")
     )
@@ -332,11 +338,13 @@ def supplier_station_archives(lineitem: DataFrame, bounds: DataFrame | None = No
     one member per station and year. ``bounds``: the stations' reporting
     periods (from :func:`supplier_station_bounds`), computed if not given."""
     bounds = supplier_station_bounds(lineitem) if bounds is None else bounds
-    lines = station_lines(lineitem).select(
+    keyed = lineitem.select(
         supplier_station(F.col("l_suppkey")).alias("cidade"),
         F.expr(f"l_suppkey div {SUPPLIERS_PER_ARCHIVE}").alias("block"),
-        F.year("l_shipdate").alias("y"), *LINE_ORDER, "text",
-    )
+        F.year("l_shipdate").alias("y"),
+        *lineitem.columns,
+    ).repartition("cidade", "block", "y")  # lines are built where they are grouped
+    lines = station_lines(keyed).select("cidade", "block", "y", *LINE_ORDER, "text")
     files = lines.groupBy("cidade", "block", "y").agg(
         _sorted_join(F.collect_list(F.struct(*LINE_ORDER, "text")), "\r\n").alias("body")
     )
