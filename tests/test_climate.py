@@ -118,7 +118,7 @@ def test_run_from_archives(spark, scratch):
     ]
     expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01")
     gold = run_climate(spark, archives, expected, scratch)
-    assert [tuple(r) for r in gold.collect()] == MONTHLY
+    assert [tuple(r) for r in gold.orderBy("data").collect()] == MONTHLY
     missing = spark.read.parquet(f"{scratch}/_reports/climaticas_missing").collect()
     assert [r.name for r in missing] == ["INMET_SE_SP_A713_IPERO_01-01-2024_A_30-06-2024.CSV"]
 

@@ -41,9 +41,9 @@ def test_run_pipeline_climate_from_folder(spark):
         f.write(zipped({f"2024/{name}": station_file(GOLDEN)}))
     # as_of in April 2024: the expected 2024 window ends on 31-03-2024
     gold = run_pipeline(spark, "climaticas", "2024-04-10", f"{root}/out", f"{root}/zips")
-    assert [r.data for r in gold.collect()] == [dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
+    assert [r.data for r in gold.orderBy("data").collect()] == [dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
     csv = run_pipeline(spark, "climaticas", "2024-04-10", f"{root}/out_csv", f"{root}/zips", per_station=True, layer_format="csv")
-    assert [(r.cidade, r.data, r.umidade_relativa_ar) for r in csv.collect()][0] == ("SE_SP_A713_SOROCABA", dt.date(2024, 1, 1), 75.0)
+    assert [(r.cidade, r.data, r.umidade_relativa_ar) for r in csv.orderBy("cidade", "data").collect()][0] == ("SE_SP_A713_SOROCABA", dt.date(2024, 1, 1), 75.0)
     assert os.listdir(f"{root}/out_csv/1. bronze/climaticas") and any(
         f.endswith(".csv") for f in os.listdir(f"{root}/out_csv/2. silver/climaticas"))
 
