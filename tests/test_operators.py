@@ -29,6 +29,12 @@ def test_delimited_rules(spark):
     ]
 
 
+def test_delimited_fixed_width(spark):
+    text = "\n".join(["p"] * 8) + "\na;b\na;b;c\na;b;c;d"
+    got = lines(read_delimited(files(spark, text), n_fields=3))
+    assert got == [("f0", 8, ["a", "b"]), ("f0", 9, ["a", "b", "c"])]
+
+
 def test_delimited_short_and_empty_files(spark):
     got = lines(read_delimited(files(spark, "only\nthree\nlines", "", "\n".join(["p"] * 8) + "\nD;1")))
     assert got == [("f2", 8, ["D", "1"])]
