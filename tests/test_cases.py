@@ -80,6 +80,8 @@ def test_gold_and_rerun(spark, scratch):
     assert len(a) == 60
     assert ("Sorocaba", dt.date(2024, 2, 1), 204, "dengue") in a
     assert before == a
+    unread = spark.read.parquet(f"{scratch}/_reports/casos_pages_without_layout").collect()
+    assert [(r.disease, r.year) for r in unread] == [("dengue", 2019)]
 
 
 def test_row_range_and_repairs(spark):
