@@ -4,7 +4,6 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from sentinela.functions import (
     comma_to_dot,
