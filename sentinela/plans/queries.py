@@ -57,6 +57,9 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 # --- sources -----------------------------------------------------------------
 
 def html_table_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-1: the first table of generated customer pages (colspan header,
+    rowspan cell, entities, a table in a script, a second table) as
+    positional rows."""
     pages = customer_pages(table(spark, sf_dir, "customer"))
     rows = html_table(pages)
     return rows.select(
@@ -77,11 +80,13 @@ def _case_inputs(spark: SparkSession, sf_dir: str):
 
 
 def layout_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-2, P-1..P-8, F-1, X-2, N-1, N-2: yearly order pages in three layouts -> bronze columns."""
     pages, layouts = _case_inputs(spark, sf_dir)
     return bronze_cases(pages, layouts, region=CASE_REGION)
 
 
 def unzip_members_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-3, X-15: zip archives of order lines (members in folders) -> member base names and their lines."""
     members = unzip_members(order_archives(table(spark, sf_dir, "orders")))
     lines = members.select(
         "archive", "name",
@@ -91,6 +96,7 @@ def unzip_members_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delimited_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-4, F-2, F-4, F-6, X-3, X-4: dirty latin-1 station files from lineitem -> bronze rows."""
     files = lineitem_station_files(table(spark, sf_dir, "lineitem"))
     return bronze_climate(files, keep=("name", "line_no"))
 
@@ -134,6 +140,7 @@ def yearly_windows_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-1, K-2, S-7: a CSV layer written and read back with a declared schema."""
     base = scratch_path(spark, "layer_roundtrip")
     src = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag",
@@ -145,6 +152,7 @@ def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-3: a table replaced twice; only the second content remains."""
     orders = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "publish_replace")
     name = "publish_check_" + path.rsplit("/", 1)[-1]
@@ -160,6 +168,7 @@ def publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- projections / filters / functions -------------------------------------------
 
 def rename_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-4, P-5, P-7: dictionary rename with a keep list, constant column, single rename (absent names ignored)."""
     customer = table(spark, sf_dir, "customer")
     out = rename_select(
         customer,
@@ -172,6 +181,7 @@ def rename_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def region_filter_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F-1, X-1, X-2: case-insensitive region filter without trim; leading code stripped."""
     customer = table(spark, sf_dir, "customer")
     geo = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
@@ -193,6 +203,7 @@ def region_filter_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def months_to_rows_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R-1, X-5..X-7, X-14, F-3, O-1: wide monthly order counts (zero months missing) -> one dated row per month."""
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
     nation = table(spark, sf_dir, "nation")
@@ -230,12 +241,14 @@ def _lineitem_hourly(lineitem: DataFrame) -> DataFrame:
 
 
 def daily_rollup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-1, A-2, X-8, F-5: text-dated readings -> one row per day, a function per column."""
     hourly = _lineitem_hourly(table(spark, sf_dir, "lineitem"))
     dated = hourly.withColumn("data", lenient_date("data"))
     return rounded(daily_rollup(dated, "data"))
 
 
 def union_layouts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U-1, U-2, N-1, N-2: a full-year frame (int year) and a half-year frame (text year, 'nan') stacked by name."""
     orders = table(spark, sf_dir, "orders")
     nation = table(spark, sf_dir, "nation")
     customer = table(spark, sf_dir, "customer")
@@ -261,6 +274,7 @@ def union_layouts_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replace_values_towns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N-3: wrongly decoded town names repaired by the fixed map and by the general repair."""
     part = table(spark, sf_dir, "part")
     towns = F.array(*[F.lit(v) for v in TEXT_REPAIRS.values()])
     town = F.get(towns, (F.col("p_partkey") % len(TEXT_REPAIRS)).cast("int"))
@@ -271,6 +285,7 @@ def replace_values_towns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def monthly_mean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-3, A-4, X-10, N-4: daily order values per customer -> monthly means with every month between first and last."""
     orders = table(spark, sf_dir, "orders")
     v = F.col("o_totalprice")
     readings = orders.select(
@@ -282,6 +297,7 @@ def monthly_mean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lenient_number_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X-4: event values written as text with junk spellings -> numbers or NULL."""
     events = table(spark, sf_dir, "events")
     k = F.col("event_id") % 10
     v = F.col("value").cast("string")
@@ -297,12 +313,14 @@ def lenient_number_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- layer jobs -------------------------------------------------------------------
 
 def cases_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-1..G-3, G-7: order pages through bronze, silver and gold layers."""
     pages, layouts = _case_inputs(spark, sf_dir)
     base = scratch_path(spark, "cases")
     return runner.run_cases(spark, pages, layouts, base, region=CASE_REGION)
 
 
 def climate_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-4..G-7: yearly station archives from lineitem through land, bronze, silver and gold (per station)."""
     lineitem = table(spark, sf_dir, "lineitem")
     # one row per station, used by the archive builder and the expected list
     checkpoint_root(spark)
