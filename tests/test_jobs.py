@@ -58,3 +58,17 @@ def test_sql_table_functions(spark):
     spark.createDataFrame([(bytearray(zipped({"d/x.CSV": b"1", "d/y.txt": b"2"})),)], "content binary").createOrReplaceTempView("zz")
     got = spark.sql("SELECT z.name, z.member FROM zz, LATERAL zip_members(content, '\\\\.CSV$') z").collect()
     assert [(r.name, r.member) for r in got] == [("x.CSV", "d/x.CSV")]
+
+
+def test_run_pipeline_publishes_and_replaces_table(spark):
+    root = scratch_path(spark, "jobs")
+    wide = "<tr>" + "<td>x</td>" * 5 + "<td>SOROCABA</td><td>355220 Sorocaba</td>" + "".join(f"<td>{i}</td>" for i in range(1, 37)) + "</tr>"
+    _write(f"{root}/pages/chikungunya/2022/chik22_mes.htm", _page(wide))
+    table = "chik_gold_" + root.rsplit("/", 1)[-1]
+    first = run_pipeline(spark, "chikungunya", "2024-07-01", f"{root}/out", f"{root}/pages", table=table)
+    assert first.count() == 12
+    # a second run replaces the table (full refresh), it does not append
+    run_pipeline(spark, "chikungunya", "2024-07-01", f"{root}/out", f"{root}/pages", table=table)
+    rows = spark.table(table).collect()
+    assert len(rows) == 12 and {r.caso for r in rows} == {"chikungunya"}
+    assert sorted(r.qtd_casos for r in rows) == sorted(range(1, 37, 3))
