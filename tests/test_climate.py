@@ -155,3 +155,17 @@ def test_land_files_per_bucket():
     assert land_files_per_bucket(10 * 1024 * 1024) == 1  # a monthly run
     assert land_files_per_bucket(LAND_BUCKETS * LAND_FILE_BYTES * 10) == 10  # a backfill
     assert land_files_per_bucket(10**18) == 256
+
+
+def test_damaged_archive_is_reported_not_fatal(spark, scratch):
+    name = "INMET_SE_SP_A713_SOROCABA_01-01-2024_A_31-03-2024.CSV"
+    good = zipped({f"2024/{name}": station_file(GOLDEN)})
+    archives = spark.createDataFrame(
+        [("2024.zip", bytearray(good)), ("broken.zip", bytearray(b"PK\x03\x04 not really a zip"))],
+        "path string, content binary",
+    )
+    expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01", extra=())
+    gold = run_climate(spark, archives, expected, scratch)
+    assert [tuple(r) for r in gold.orderBy("data").collect()] == MONTHLY
+    bad = spark.read.parquet(f"{scratch}/_reports/climaticas_unreadable").collect()
+    assert [(r.archive, r.member) for r in bad] == [("broken.zip", None)] and "unreadable archive" in bad[0].error
