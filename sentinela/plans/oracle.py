@@ -264,6 +264,7 @@ ORACLE_SQL: dict[str, str] = {
     "html_table_extract": HTML_TABLE_EXTRACT,
     "layout_extract": _layout_extract(),
     "unzip_members": UNZIP_MEMBERS,
+    "land_stream": UNZIP_MEMBERS,
     "delimited_clean": DELIMITED_CLEAN,
     "yearly_windows": YEARLY_WINDOWS,
     "layer_roundtrip": LAYER_ROUNDTRIP,

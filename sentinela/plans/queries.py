@@ -42,6 +42,7 @@ from sentinela.sources.archives import unzip_members
 from sentinela.sources.files import expected_vs_found, file_name, yearly_windows
 from sentinela.sources.html import html_table
 from sentinela.sources.layers import publish, read_layer, write_layer
+from sentinela.streaming.land import land_archives
 
 CASE_REGION = "AMERICA"
 
@@ -310,6 +311,28 @@ def lenient_number_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", lenient_double(text).alias("numero"))
 
 
+def land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-3, K-4 as a stream: order archives arrive in two appends to a
+    staged folder; after each, the landing stream (availableNow) lands what
+    is new. The land's member lines must equal a single unpacking."""
+    root = scratch_path(spark, "land_stream")
+    inbox, base = f"{root}/inbox", f"{root}/base"
+    archives = order_archives(table(spark, sf_dir, "orders"))
+    year = F.regexp_extract("archive", r"^orders_(\d{4})_", 1).cast("int")
+    first_year = table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate"))).first()[0]
+    for arrived in (year <= first_year + 2, year > first_year + 2):  # two deliveries, every archive once
+        archives.filter(arrived).write.mode("append").parquet(inbox)
+        q = land_archives(spark, inbox, base, name="pedidos", checkpoint=f"{root}/checkpoint", name_pattern=None, staged=True)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    land = spark.read.parquet(f"{base}/0. land/pedidos")
+    return land.select(
+        "archive", "name",
+        F.posexplode(F.split(F.decode("content", "UTF-8"), "\n", -1)).alias("line_no", "line"),
+    )
+
+
 # --- layer jobs -------------------------------------------------------------------
 
 def cases_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -336,6 +359,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "html_table_extract": html_table_extract,
     "layout_extract": layout_extract,
     "unzip_members": unzip_members_lines,
+    "land_stream": land_stream,
     "delimited_clean": delimited_clean,
     "yearly_windows": yearly_windows_found,
     "layer_roundtrip": layer_roundtrip,

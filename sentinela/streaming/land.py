@@ -24,13 +24,29 @@ from sentinela.sources.layers import LAND, layer_path
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def archive_stream(spark: SparkSession, archive_dir: str, glob: str = "*.zip", max_files: int | None = None) -> DataFrame:
-    reader = (
-        spark.readStream.format("binaryFile")
-        .schema(BINARY_FILE_SCHEMA)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "true")
-    )
+STAGED_SCHEMA = "archive string, content binary"
+
+
+def archive_stream(
+    spark: SparkSession,
+    archive_dir: str,
+    glob: str = "*.zip",
+    max_files: int | None = None,
+    staged: bool = False,
+) -> DataFrame:
+    """New archives as a stream: zip files in a folder (``binaryFile``), or
+    with ``staged`` a parquet folder of ``(archive, content)`` rows that a
+    downloader appends to."""
+    reader = spark.readStream
+    if staged:
+        reader = reader.format("parquet").schema(STAGED_SCHEMA)
+    else:
+        reader = (
+            reader.format("binaryFile")
+            .schema(BINARY_FILE_SCHEMA)
+            .option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "true")
+        )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(archive_dir)
@@ -45,14 +61,17 @@ def land_archives(
     name_pattern: str | None = r"\.CSV$",
     max_files: int | None = None,
     available_now: bool = True,
+    staged: bool = False,
 ) -> StreamingQuery:
     """Start the landing stream; returns the running query."""
     target = layer_path(base, LAND, name)
     ckpt = checkpoint or f"{checkpoint_root(spark)}/sentinela/streams/land_{name}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # sized like the batch land: from the archives' bytes (listing only)
-        per_bucket = land_files_per_bucket(batch.agg(F.sum("length")).first()[0])
+        # sized like the batch land: from the archives' bytes (the listing's
+        # length, or the staged rows' content length)
+        size = F.sum("length") if "length" in batch.columns else F.sum(F.octet_length("content"))
+        per_bucket = land_files_per_bucket(batch.agg(size).first()[0])
         sub = F.pmod(F.xxhash64("name"), F.lit(per_bucket))
         members = land_members(batch, name_pattern).withColumn("batch_id", F.lit(batch_id))
         (
@@ -63,7 +82,7 @@ def land_archives(
             .parquet(target)
         )
 
-    writer = archive_stream(spark, archive_dir, max_files=max_files).writeStream.foreachBatch(write_batch)
+    writer = archive_stream(spark, archive_dir, max_files=max_files, staged=staged).writeStream.foreachBatch(write_batch)
     writer = writer.option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     return writer.start()
