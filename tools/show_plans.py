@@ -45,7 +45,7 @@ def main() -> None:
     pages, layouts = Q._case_inputs(spark, sf_dir)
     bronze = bronze_cases(pages, layouts, region="AMERICA")
     show("cases bronze: pages x broadcast(layouts) -> HTML UDTF -> filter -> columns", bronze)
-    show("cases silver: unpivot (Expand) -> typed -> range sort", silver_cases(bronze))
+    show("cases silver: months to rows (inline) -> typed -> range sort", silver_cases(bronze))
 
     li = T.table(spark, sf_dir, "lineitem")
     base = scratch_path(spark, "plans")
