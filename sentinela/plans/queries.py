@@ -317,11 +317,12 @@ def land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     is new. The land's member lines must equal a single unpacking."""
     root = scratch_path(spark, "land_stream")
     inbox, base = f"{root}/inbox", f"{root}/base"
-    archives = order_archives(table(spark, sf_dir, "orders"))
-    year = F.regexp_extract("archive", r"^orders_(\d{4})_", 1).cast("int")
-    first_year = table(spark, sf_dir, "orders").agg(F.min(F.year("o_orderdate"))).first()[0]
-    for arrived in (year <= first_year + 2, year > first_year + 2):  # two deliveries, every archive once
-        archives.filter(arrived).write.mode("append").parquet(inbox)
+    orders = table(spark, sf_dir, "orders")
+    year = F.year("o_orderdate")
+    first_year = orders.agg(F.min(year)).first()[0]
+    # two deliveries; archives are per year, so each is built once, whole
+    for arrived in (year <= first_year + 2, year > first_year + 2):
+        order_archives(orders.filter(arrived)).write.mode("append").parquet(inbox)
         q = land_archives(spark, inbox, base, name="pedidos", checkpoint=f"{root}/checkpoint", name_pattern=None, staged=True)
         q.awaitTermination()
         if q.exception() is not None:
