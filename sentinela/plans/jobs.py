@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sentinela.fixed import STATION
 from sentinela.plans.climate import expected_station_files
-from sentinela.plans.layouts import REFERENCE_LAYOUTS, layout_frame
+from sentinela.plans.layouts import PUBLISHED_LAYOUTS, layout_frame
 from sentinela.plans.runner import run_cases, run_climate
 from sentinela.sources.archives import read_binary_files
 from sentinela.sources.html import read_pages
@@ -44,7 +44,7 @@ def run_pipeline(
     """
     if name in DISEASES:
         pages = read_pages(spark, source, encoding=page_encoding).filter(F.col("disease") == name)
-        layouts = layout_frame(spark, [x for x in REFERENCE_LAYOUTS if x.disease == name])
+        layouts = layout_frame(spark, [x for x in PUBLISHED_LAYOUTS if x.disease == name])
         return run_cases(spark, pages, layouts, base, table=table, name=name, layer_format=layer_format)
     if name == "climaticas":
         archives = read_binary_files(spark, source, glob="*.zip", recursive=True)

@@ -35,10 +35,10 @@ LAYOUT_SCHEMA = (
 )
 
 # The published pages' layouts (values in ``sentinela.fixed``).
-REFERENCE_LAYOUTS = [Layout(*row) for row in LAYOUT_TABLE]
+PUBLISHED_LAYOUTS = [Layout(*row) for row in LAYOUT_TABLE]
 
 
-def layout_frame(spark: SparkSession, layouts: Iterable[Layout] = REFERENCE_LAYOUTS) -> DataFrame:
+def layout_frame(spark: SparkSession, layouts: Iterable[Layout] = PUBLISHED_LAYOUTS) -> DataFrame:
     """The layout table as a (small, literal) DataFrame."""
     return spark.createDataFrame([tuple(x) for x in layouts], LAYOUT_SCHEMA)
 

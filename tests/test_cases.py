@@ -3,7 +3,7 @@
 import datetime as dt
 
 from sentinela.plans.cases import bronze_cases, gold_cases, silver_cases
-from sentinela.plans.layouts import REFERENCE_LAYOUTS, Layout, layout_frame
+from sentinela.plans.layouts import PUBLISHED_LAYOUTS, Layout, layout_frame
 from sentinela.plans.runner import run_cases
 
 TITLES = "".join(f"<tr><td colspan=43>title {i}</td></tr>" for i in range(5))
@@ -47,7 +47,7 @@ def pages_df(spark):
 
 
 def test_bronze_shape(spark):
-    bronze = bronze_cases(pages_df(spark), layout_frame(spark, REFERENCE_LAYOUTS))
+    bronze = bronze_cases(pages_df(spark), layout_frame(spark, PUBLISHED_LAYOUTS))
     rows = {(r.coluna_0, r.coluna_37): r for r in bronze.collect()}
     assert set(rows) == {("Sorocaba", "2020"), ("Iperó", "2020"), ("Trailing", "2020"), ("352110 Iperó", "2021"), ("Sorocaba", "2024")}
     r = rows[("Sorocaba", "2024")]
@@ -57,7 +57,7 @@ def test_bronze_shape(spark):
 
 
 def test_silver_golden(spark):
-    bronze = bronze_cases(pages_df(spark), layout_frame(spark, REFERENCE_LAYOUTS))
+    bronze = bronze_cases(pages_df(spark), layout_frame(spark, PUBLISHED_LAYOUTS))
     silver = silver_cases(bronze)
     got = {}
     for r in silver.collect():
@@ -71,7 +71,7 @@ def test_silver_golden(spark):
 
 
 def test_gold_and_rerun(spark, scratch):
-    layouts = layout_frame(spark, REFERENCE_LAYOUTS)
+    layouts = layout_frame(spark, PUBLISHED_LAYOUTS)
     first = run_cases(spark, pages_df(spark), layouts, scratch)
     assert first.columns == ["municipio_resid", "ano_mes", "qtd_casos", "caso"]
     before = sorted(map(tuple, first.collect()))
