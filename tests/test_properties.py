@@ -112,3 +112,51 @@ def test_html_overlap_keeps_every_cell():
     # carried text is placed after it, nothing is lost
     html = '<table><tr><td colspan="2">a</td><td rowspan="2">b</td></tr><tr><td>c</td><td colspan="2">d</td></tr></table>'
     assert [cells for _, cells in table_rows(html)] == [["a", "a", "b"], ["c", "d", "d", "b"]]
+
+
+def _model_delimited(text, skip=8, sep=";"):
+    """Independent model of the reader's rules on one file's text."""
+    lines = text.replace("\r\n", "\n").split("\n")
+    body = [(i, l) for i, l in enumerate(lines) if i >= skip]
+    first = next((l for _, l in body if l != ""), None)
+    if first is None:
+        return []
+    width = len(first.split(sep))
+    return [(i, l.split(sep)) for i, l in body if l != "" and len(l.split(sep)) <= width]
+
+
+line_st = st.lists(st.sampled_from(["a", "b", "", "1,5"]), min_size=1, max_size=5).map(";".join)
+file_st = st.lists(st.one_of(line_st, st.just("")), min_size=0, max_size=14).map("\n".join)
+
+
+@SETTINGS
+@given(texts=st.lists(file_st, min_size=1, max_size=3))
+def test_read_delimited_matches_model(spark, texts):
+    from sentinela.sources.delimited import read_delimited
+
+    files = spark.createDataFrame([(f"f{i}", bytearray(t.encode("latin-1"))) for i, t in enumerate(texts)], "name string, content binary")
+    got = sorted((r.name, r.line_no, list(r.fields)) for r in read_delimited(files, quote=None).collect())
+    want = sorted((f"f{i}", n, f) for i, t in enumerate(texts) for n, f in _model_delimited(t))
+    assert got == want
+
+
+NUMBER_GRAMMAR = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+num_text = st.one_of(
+    st.from_regex(r"\A[+-]?[0-9]{1,4}(\.[0-9]{0,3})?([eE][+-]?[0-9]{1,2})?\Z"),
+    st.text(alphabet="0123456789٠١", min_size=1, max_size=3),  # non-ASCII digits are not numbers
+    st.text(alphabet="0123456789.eE+- nafdxI", max_size=8),
+)
+
+
+@settings(max_examples=40, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(num_text, min_size=1, max_size=25))
+def test_lenient_double_matches_model(spark, values):
+    import re
+
+    from sentinela.functions import lenient_double
+
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    got = [r.y for r in df.select(lenient_double("x").alias("y")).collect()]
+    # ASCII digits and whitespace only, as Java's regex and a CSV reader
+    want = [float(v.strip()) if re.match(NUMBER_GRAMMAR, v, flags=re.ASCII) else None for v in values]
+    assert got == want
