@@ -160,3 +160,18 @@ def test_lenient_double_matches_model(spark, values):
     # ASCII digits and whitespace only, as Java's regex and a CSV reader
     want = [float(v.strip()) if re.match(NUMBER_GRAMMAR, v, flags=re.ASCII) else None for v in values]
     assert got == want
+
+
+words = st.text(alphabet="abcSãçéíóúêôÁÉÍÓÚÇ ", min_size=1, max_size=12)
+
+
+@SETTINGS
+@given(texts=st.lists(words, min_size=1, max_size=20))
+def test_repair_mojibake_inverts_the_damage(spark, texts):
+    from sentinela.functions import repair_mojibake
+
+    damaged = [t.encode("utf-8").decode("latin-1") for t in texts]
+    df = spark.createDataFrame(list(zip(texts, damaged)), "good string, bad string")
+    rows = df.select(repair_mojibake("bad").alias("fixed"), repair_mojibake("good").alias("kept")).collect()
+    assert [r.fixed for r in rows] == texts  # damage undone
+    assert [r.kept for r in rows] == texts  # correct text untouched
