@@ -175,3 +175,21 @@ def test_repair_mojibake_inverts_the_damage(spark, texts):
     rows = df.select(repair_mojibake("bad").alias("fixed"), repair_mojibake("good").alias("kept")).collect()
     assert [r.fixed for r in rows] == texts  # damage undone
     assert [r.kept for r in rows] == texts  # correct text untouched
+
+
+@SETTINGS
+@given(bounds=st.lists(st.tuples(st.dates(dt.date(2015, 1, 1), dt.date(2030, 12, 31)), st.integers(0, 2000)), min_size=1, max_size=6))
+def test_yearly_windows_tile_the_period(spark, bounds):
+    from sentinela.sources.files import yearly_windows
+
+    rows = [(f"s{i}", s, s + dt.timedelta(days=n)) for i, (s, n) in enumerate(bounds)]
+    df = spark.createDataFrame(rows, "cidade string, start date, end date")
+    got = {}
+    for r in yearly_windows(df, keys=["cidade"]).collect():
+        got.setdefault(r.cidade, []).append((r.window_start, r.window_end))
+    for key, s, e in rows:
+        w = sorted(got[key])
+        assert w[0][0] == s and w[-1][1] == e
+        assert all(a.year == b.year and a <= b for a, b in w)
+        assert all(w[i + 1][0] == w[i][1] + dt.timedelta(days=1) for i in range(len(w) - 1))
+        assert len(w) == e.year - s.year + 1
