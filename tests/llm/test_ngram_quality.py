@@ -1,0 +1,86 @@
+"""Kneser-Ney against a dictionary model; thresholds; edges."""
+
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from sentinela.llm.ngram_quality import discounts, judge, normal, perplexities, text_grams
+
+
+def _grams(text, n):
+    s = b"\0" * (n - 1) + normal(text) + b"\0"
+    return [s[i : i + n] for i in range(len(s) - n + 1)]
+
+
+def _model(texts, n):
+    """Probability of an n-gram, straight from the definition."""
+    counts = {n: Counter(g for t in texts for g in _grams(t, n))}
+    for k in range(n - 1, 0, -1):
+        left = defaultdict(set)
+        for g in counts[k + 1]:
+            left[g[1:]].add(g[0])
+        counts[k] = Counter({g: len(x) for g, x in left.items()})
+    off = {k: discounts(*(sum(c == i for c in counts[k].values()) for i in (1, 2, 3, 4))) for k in counts}
+
+    def prob(g):
+        if not g:
+            return 1 / 256
+        k, same = len(g), [(h, c) for h, c in counts[len(g)].items() if h[:-1] == g[:-1]]
+        total = sum(c for _, c in same)
+        if not total:
+            return prob(g[1:])
+        spare = sum(off[k][min(c, 3) - 1] for _, c in same) / total
+        c = counts[k].get(g, 0)
+        return (c - off[k][min(c, 3) - 1] if c else 0) / total + spare * prob(g[1:])
+
+    return prob
+
+
+def test_grams():
+    grams, sizes = text_grams(["ab", None, "", "C  d"], 3)
+    want = [g for t in ("ab", "", "", "c d") for g in _grams(t, 3)]
+    assert [int(g).to_bytes(3, "big") for g in grams] == want and list(sizes) == [3, 1, 1, 4]
+    assert text_grams([], 3)[1].size == 0
+
+
+@pytest.mark.parametrize("shard", [10**6, 40])
+def test_perplexity_is_kneser_neys(spark, shard):
+    rng = random.Random(2)
+    docs = [(i, "".join(rng.choice("abAé \n") for _ in range(rng.randint(0, 30)))) for i in range(40)]
+    docs += [(90, None), (91, ""), (None, "zzz"), (5, docs[5][1]), (92, "unseen ÿ\0x"), (93, "ab " * 50_000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).selectExpr("*", "'q' AS perplexity")
+    ids = spark.createDataFrame([(i,) for i in range(0, 40, 2)] + [(None,), (999,), (2,)], "doc_id long")
+    got = perplexities(spark, df, ids, n=3, shard_grams=shard)
+    assert got.columns == ["doc_id", "text", "n_grams", "perplexity"]
+    prob = _model([t for i, t in docs if i is not None and i < 40 and i % 2 == 0], 3)
+    rows = got.collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        grams = _grams(r.text, 3)
+        if r.doc_id == 93:
+            grams, times = Counter(grams), len(grams)
+            mean = sum(c * math.log(prob(g)) for g, c in grams.items()) / times
+        else:
+            mean = np.mean([math.log(prob(g)) for g in grams])
+        assert abs(math.log(r.perplexity) + mean) < 1e-5
+    if shard > 1000:
+        alphabet = [bytes([b]) for b in range(256)]
+        assert abs(sum(prob(b"ab" + a) for a in alphabet) - 1) < 1e-9
+        assert perplexities(spark, df.limit(0), ids, n=3).count() == 0
+        even = perplexities(spark, df.limit(3), ids.limit(0), n=3).collect()
+        assert all(abs(r.perplexity - 256) < 1e-3 for r in even)
+
+
+def test_judge(spark):
+    rows = [(i, "en" if i % 2 else "de", float(i)) for i in range(1000)] + [(2000, "xx", 1e9), (2001, None, 500.0), (2002, "en", 0.001)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, perplexity double")
+    ids = spark.range(1000).select(F.col("id").alias("doc_id"))
+    got = {r.doc_id: r.kept for r in judge(df, ids, low=0.01, high=0.99).collect()}
+    assert len(got) == 1003 and not got[2000] and got[2001] and not got[2002]
+    assert sum(not got[i] for i in range(1000)) <= 22 and got[500] and got[501]
+    assert all(r.kept for r in judge(df, ids.limit(0)).collect())
+    assert judge(df.limit(0), ids).count() == 0
