@@ -182,8 +182,11 @@ def perplexities(
     names = [c for c in names if c in out.columns]
     for s in range(shards):
         part = table.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == s) if shards > 1 else table
-        pdf = part.toPandas().sort_values("gram")  # one shard: at most about shard_grams rows
-        shared = spark.sparkContext.broadcast((pdf["gram"].to_numpy(np.int64), pdf["logp"].to_numpy(np.float32)))
+        rows = part.select("gram", F.col("logp").cast("float")).toArrow()  # one shard: at most about shard_grams rows
+        grams, logp = rows["gram"].to_numpy(), rows["logp"].to_numpy()
+        order = np.argsort(grams)
+        shared = spark.sparkContext.broadcast((grams[order], logp[order]))
+        del rows, grams, logp, order
 
         def compute(texts: list, shared=shared) -> list:
             sums, sizes = text_scores(*shared.value, texts, n)
