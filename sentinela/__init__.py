@@ -1,7 +1,8 @@
 """sentinela: monthly surveillance and weather-station tables on Spark.
 
-Every public function is DataFrame -> DataFrame (or Column -> Column) and
-stays lazy: nothing here collects, counts or reads the clock.
+Operators, functions and sources are DataFrame -> DataFrame (or Column ->
+Column) and lazy. Runners write layers and fetch a few scalars (sizes, counts,
+the faults they report); the landing step stamps rows with the current time.
 """
 
 import sys as _sys

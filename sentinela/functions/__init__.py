@@ -1,7 +1,6 @@
 """Column -> Column helpers, all built from native Spark expressions."""
 
 from sentinela.functions.dates import (
-    first_of_month,
     format_day,
     lenient_date,
     month_number,
@@ -19,7 +18,6 @@ from sentinela.functions.text import (
 
 __all__ = [
     "comma_to_dot",
-    "first_of_month",
     "format_day",
     "lenient_date",
     "lenient_double",

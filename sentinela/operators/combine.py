@@ -46,7 +46,3 @@ def replace_values(df: DataFrame, mapping: Mapping[str, str], cols: Sequence[str
         F.coalesce(F.try_element_at(lookup, F.col(c)), F.col(c)).alias(c) if c in targets else F.col(c)
         for c in df.columns
     ])
-
-
-def fill_missing(df: DataFrame, value, cols: Sequence[str] | None = None) -> DataFrame:
-    return df.na.fill(value, subset=list(cols) if cols is not None else None)

@@ -12,11 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentinela.fixed import STATION
+from sentinela.fixed import STATION, WINDOWS_START
 from sentinela.plans.climate import expected_station_files
 from sentinela.plans.layouts import PUBLISHED_LAYOUTS, layout_frame
 from sentinela.plans.runner import run_cases, run_climate
 from sentinela.sources.archives import read_binary_files
+from sentinela.sources.files import reporting_end
 from sentinela.sources.html import read_pages
 
 DISEASES = ("dengue", "chikungunya", "zika")
@@ -33,6 +34,8 @@ def run_pipeline(
     page_encoding: str = "auto",
     per_station: bool = False,
     layer_format: str = "parquet",
+    incomplete: str = "raise",
+    unreadable: str = "raise",
 ) -> DataFrame:
     """Run one job by name and return its gold table.
 
@@ -43,14 +46,19 @@ def run_pipeline(
     all stations by date).
     """
     if name in DISEASES:
-        pages = read_pages(spark, source, encoding=page_encoding).filter(F.col("disease") == name)
+        # unlabelled pages stay in: the run's report lists them
+        pages = read_pages(spark, source, encoding=page_encoding).filter(F.col("disease").isin(name, ""))
         layouts = layout_frame(spark, [x for x in PUBLISHED_LAYOUTS if x.disease == name])
-        return run_cases(spark, pages, layouts, base, table=table, name=name, layer_format=layer_format)
+        return run_cases(spark, pages, layouts, base, table=table, name=name, layer_format=layer_format, incomplete=incomplete)
     if name == "climaticas":
         archives = read_binary_files(spark, source, glob="*.zip", recursive=True)
+        # archives are one per year: those outside the run's years are not read
+        year = F.regexp_extract("path", r"((?:19|20)\d\d)\D*$", 1).try_cast("int")
+        last = F.year(reporting_end(F.lit(as_of)))
+        archives = archives.filter(F.coalesce(year.between(F.year(F.lit(WINDOWS_START).cast("date")), last), F.lit(True)))
         expected = expected_station_files(spark, as_of, stations)
         keys = ("cidade",) if per_station else ()
-        return run_climate(spark, archives, expected, base, keys=keys, table=table, name=name, layer_format=layer_format)
+        return run_climate(spark, archives, expected, base, keys=keys, table=table, name=name, layer_format=layer_format, unreadable=unreadable)
     raise ValueError(f"unknown job {name!r}")
 
 

@@ -13,7 +13,6 @@ from collections.abc import Iterable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sentinela.fixed import LAYOUT_TABLE
 
@@ -45,11 +44,11 @@ def layout_frame(spark: SparkSession, layouts: Iterable[Layout] = PUBLISHED_LAYO
 
 def attach_layouts(pages: DataFrame, layouts: DataFrame) -> DataFrame:
     """Pages joined to their layout on (disease, year); pages without one
-    are dropped. The layout table is a short literal list, so it is
-    broadcast and the pages are not shuffled."""
-    return pages.join(F.broadcast(layouts), ["disease", "year"], "inner")
+    are dropped. Spark broadcasts the layouts while they are below its size
+    threshold, so the pages are not shuffled."""
+    return pages.join(layouts, ["disease", "year"], "inner")
 
 
 def pages_without_layout(pages: DataFrame, layouts: DataFrame) -> DataFrame:
     """Pages whose (disease, year) has no layout (they are not read)."""
-    return pages.join(F.broadcast(layouts.select("disease", "year")), ["disease", "year"], "left_anti")
+    return pages.join(layouts.select("disease", "year"), ["disease", "year"], "left_anti")

@@ -39,7 +39,7 @@ from sentinela.plans.table_inputs import (
 )
 from sentinela.session import checkpoint_root, scratch_path
 from sentinela.sources.archives import unzip_members
-from sentinela.sources.files import expected_vs_found, file_name, yearly_windows
+from sentinela.sources.files import expected_vs_found, file_name, yearly_windows, reporting_end
 from sentinela.sources.html import html_table
 from sentinela.sources.layers import publish, read_layer, write_layer
 from sentinela.streaming.land import land_archives
@@ -128,14 +128,14 @@ def yearly_windows_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the month of their last one
     bounds = (
         per_year.groupBy("c_nationkey")
-        .agg(F.min("_min").cast("date").alias("start"), F.last_day(F.max("_max").cast("date")).alias("end"))
+        .agg(F.min("_min").cast("date").alias("start"), reporting_end(F.add_months(F.max("_max").cast("date"), 1)).alias("end"))
         .join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("cidade")), "c_nationkey")
     )
     expected = yearly_windows(bounds, keys=["cidade", "c_nationkey"]).withColumn(
         "name", file_name("cidade", "window_start", "window_end")
     )
     pending = per_year.filter("pending").select("c_nationkey", "y")
-    found = expected.join(pending, ["c_nationkey"]).filter(F.year("window_start") == F.col("y")).select("name")
+    found = expected.withColumn("y", F.year("window_start")).join(pending, ["c_nationkey", "y"]).select("name")
     out = expected_vs_found(expected, found)
     return out.select("cidade", "window_start", "window_end", "name", "found")
 

@@ -35,8 +35,9 @@ def get_session(master: str | None = None, app: str = "sentinela", **conf: str)
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local runs, tests) a folder of our own is
-    created and registered as the checkpoint directory.
+    Only when nothing is configured on a local master (tests) a folder of our own
+    is created and registered as the checkpoint directory; any other master needs
+    the setting, since its executors cannot see a folder of the driver's.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -45,6 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="sentinela-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")

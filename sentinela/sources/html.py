@@ -8,7 +8,8 @@ Row numbering follows a spreadsheet reader's frame: header rows (``<thead>``,
 or leading rows made only of ``<th>``) are numbered -n..-1, body and footer
 rows 0, 1, 2, ... in document order, skipping blank rows (no cell, or one
 empty cell). ``rowspan``/``colspan`` cells are copied
-into every grid slot they cover. Cell text has entities resolved and
+into every grid slot they cover. Elements styled ``display:none`` are left out
+with all they contain. Cell text has entities resolved and
 whitespace runs collapsed to one blank. Tables nested inside a cell only
 contribute their text to that cell.
 """
@@ -22,9 +23,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
-# HTML limits for spans; 0 and junk count as 1.
-_MAX_COLSPAN = 1000
-_MAX_ROWSPAN = 65534
+# Grid slots of one table beyond which its spans are taken for damage: an error, never a cut.
+MAX_SLOTS = 5_000_000
+# Elements without an end tag: they cannot hold the subtree of a hidden one.
+_VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+_HIDDEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 
 
@@ -32,10 +35,10 @@ class _Done(Exception):
     pass
 
 
-def _span(value: str | None, cap: int) -> int:
+def _span(value: str | None) -> int:
+    """0 and junk count as 1."""
     m = re.match(r"\s*(\d+)", value or "")
-    n = int(m.group(1)) if m else 1
-    return min(max(n, 1), cap)
+    return max(int(m.group(1)), 1) if m else 1
 
 
 class _TableReader(HTMLParser):
@@ -51,6 +54,22 @@ class _TableReader(HTMLParser):
         self.rows: list[tuple[str, list]] = []
         self.row: list | None = None
         self.cell: list | None = None
+        self.hidden: list[str] = []  # open elements from a hidden one inwards
+
+    def _hide(self, tag, attrs) -> bool:
+        """Whether the element lies in (or begins) a ``display:none`` subtree. A
+        hidden element that a row, cell or section may close by implication ends there."""
+        if self.hidden:
+            closes = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr")}.get(tag)
+            if tag in ("thead", "tbody", "tfoot"):
+                closes = ("td", "th", "tr", "thead", "tbody", "tfoot")
+            if closes and self.hidden[0] in closes and "table" not in self.hidden:
+                self.hidden.clear()
+        if self.hidden or _HIDDEN.search(dict(attrs).get("style") or ""):
+            if tag not in _VOID:
+                self.hidden.append(tag)
+            return True
+        return False
 
     # -- structure ---------------------------------------------------------
     def _end_cell(self):
@@ -67,6 +86,13 @@ class _TableReader(HTMLParser):
             self.row = None
 
     def handle_starttag(self, tag, attrs):
+        if self._hide(tag, attrs):
+            if len(self.hidden) == 1 and self.inside and self.depth == 1:  # what it closes, though unseen itself
+                if tag in ("td", "th"):
+                    self._end_cell()
+                elif tag in ("tr", "thead", "tbody", "tfoot"):
+                    self._end_row()
+            return
         if tag == "table":
             self.depth += 1
             if self.depth == 1:
@@ -86,9 +112,19 @@ class _TableReader(HTMLParser):
             if self.row is None:
                 self.row = []
             a = dict(attrs)
-            self.cell = [[], tag == "th", _span(a.get("rowspan"), _MAX_ROWSPAN), _span(a.get("colspan"), _MAX_COLSPAN)]
+            self.cell = [[], tag == "th", _span(a.get("rowspan")), _span(a.get("colspan"))]
 
     def handle_endtag(self, tag):
+        if self.hidden:
+            if tag in self.hidden:
+                at = len(self.hidden) - 1 - self.hidden[::-1].index(tag)
+                del self.hidden[at:]
+                return
+            outer = {"tr": ("td", "th"), "thead": ("td", "th", "tr"), "tbody": ("td", "th", "tr"), "tfoot": ("td", "th", "tr"),
+                     "table": ("td", "th", "tr", "thead", "tbody", "tfoot")}.get(tag, ())
+            if self.hidden[0] not in outer:
+                return
+            self.hidden.clear()  # closed by the end of what is around it
         if tag == "table" and self.depth > 0:
             self.depth -= 1
             if self.depth == 0 and self.inside:
@@ -106,43 +142,40 @@ class _TableReader(HTMLParser):
             self.section = "body"
 
     def handle_data(self, data):
-        if self.inside and self.cell is not None:
+        if self.inside and self.cell is not None and not self.hidden:
             self.cell[0].append(data)
 
 
 def _fill_grid(rows: list[list[tuple]]) -> list[list[str]]:
-    """Place cells on a grid; a spanning cell is copied into each slot.
+    """The HTML table model: every cell takes the first free slot of its row
+    and fills ``rowspan`` x ``colspan`` slots, each with its text.
 
-    A cell carried down by ``rowspan`` goes in as soon as its column is
-    reached, or passed when an overlapping ``colspan`` pushed it aside; once
-    a row's own cells are used up, the carried cells follow in column order.
-    Malformed tables may shift, but no cell text is ever dropped.
+    ``below[r]`` maps columns of a later row to texts that reach down to it. A
+    cell that would run into such a slot leaves it where it is in the order of
+    the row: no text is dropped, a malformed row grows longer instead.
     """
     grid: list[list[str]] = []
-    carry: list[tuple[int, str, int]] = []  # (column, text, rows still covered), by column
-    for cells in rows:
+    below: dict[int, list[tuple[int, str]]] = {}
+    slots = r = 0
+    while r < len(rows) or below:
+        reaching = sorted(below.pop(r, []), key=lambda x: x[0])
+        cells = rows[r] if r < len(rows) else []
         line: list[str] = []
-        nxt: list[tuple[int, str, int]] = []
-        k = i = 0
-        while k < len(cells) or i < len(carry):
-            if i < len(carry) and (carry[i][0] <= len(line) or k == len(cells)):
-                col, text, left = carry[i]
-                i += 1
-                if left > 1:
-                    nxt.append((col, text, left - 1))
-                line.append(text)
-            else:
-                text, _, rs, cs = cells[k]
-                k += 1
-                for _ in range(cs):
-                    if rs > 1:
-                        nxt.append((len(line), text, rs - 1))
-                    line.append(text)
+        at = 0
+        for text, _, rs, cs in cells:
+            while at < len(reaching) and reaching[at][0] <= len(line):
+                line.append(reaching[at][1])
+                at += 1
+            slots += rs * cs
+            if slots > MAX_SLOTS:
+                raise ValueError(f"the spans of one table fill more than {MAX_SLOTS} slots")
+            first = len(line)
+            line.extend([text] * cs)
+            for down in range(r + 1, r + rs):
+                below.setdefault(down, []).extend((first + i, text) for i in range(cs))
+        line.extend(text for _, text in reaching[at:])
         grid.append(line)
-        carry = sorted(nxt)
-    while carry:  # spans reaching past the last row add rows
-        grid.append([text for _, text, _ in carry])
-        carry = [(c, t, n - 1) for c, t, n in carry if n > 1]
+        r += 1
     return grid
 
 
@@ -176,8 +209,11 @@ def table_rows(html: str | None, table_no: int = 0) -> list[tuple[int, list[str]
     if not head:  # no <thead>: leading all-<th> body rows are the header
         while body and all(is_th for _, is_th, _, _ in body[0]):
             head.append(body.pop(0))
-    header = _fill_grid(head)
-    data = [r for r in _fill_grid(body) + _fill_grid(foot) if not _blank(r)]
+    try:
+        header = _fill_grid(head)
+        data = [r for r in _fill_grid(body) + _fill_grid(foot) if not _blank(r)]
+    except ValueError as exc:
+        raise ValueError(f"{exc}; page begins with {html[:120]!r}") from None
     return [(i - len(header), cells) for i, cells in enumerate(header)] + list(enumerate(data))
 
 
@@ -217,10 +253,11 @@ def read_pages(
 ) -> DataFrame:
     """A folder of saved report pages -> ``(disease, year, path, html)``.
 
-    Disease and year come from the path: the disease name and the 20xx that
-    follows it (``dengue/2021/dengue21_mes.htm`` or ``dengue_2021.htm`` ->
-    dengue, 2021). Pages without a layout for their (disease, year) are
-    listed by ``plans.layouts.pages_without_layout``.
+    Disease and year come from the path below ``path``, never from the folders
+    above it: the disease name (``chikung`` stands for chikungunya) and the 20xx
+    that follows it (``dengue/2021/dengue21_mes.htm`` or ``dengue_2021.htm`` ->
+    dengue, 2021). Pages without a layout for their (disease, year), those
+    without a label included, are listed by ``plans.layouts.pages_without_layout``.
 
     ``encoding``: the pages' byte encoding, or ``auto`` (see
     :func:`decode_page`); text saved already damaged is fixed by the repair
@@ -228,9 +265,17 @@ def read_pages(
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(path)
     p = F.col("path")
+    # the folder's own name may be a link or lack its scheme: cut at its last part
+    base = "/" + path.rstrip("/").rsplit("/", 1)[-1] + "/"
+    if any(c in base for c in "*?{["):
+        raise ValueError("read_pages takes one folder, not a pattern")
+    root = F.lit(re.sub(r"^[a-z0-9+.-]+:/*", "/", path.rstrip("/"), flags=re.I) + "/")
+    plain = F.regexp_replace(p, r"^(?i)[a-z0-9+.-]+:/*", "/")
+    below = F.when(plain.startswith(root), F.substr(plain, F.length(root) + 1)).otherwise(F.substring_index(p, base, -1))
+    name = F.lower(F.regexp_extract(below, r"(?i)(dengue|chikung(?:unya)?|zika)", 1))
     return files.select(
-        F.lower(F.regexp_extract(p, r"(?i)(dengue|chikungunya|zika)", 1)).alias("disease"),
-        F.regexp_extract(p, r"(?i)(?:dengue|chikungunya|zika)\D*(20\d\d)", 1).try_cast("int").alias("year"),
+        F.when(name == "chikung", "chikungunya").otherwise(name).alias("disease"),
+        F.regexp_extract(below, r"(?i)(?:dengue|chikung(?:unya)?|zika)\D*(20\d\d)", 1).try_cast("int").alias("year"),
         p,
         decode_page("content", encoding).alias("html"),
     )

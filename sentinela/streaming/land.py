@@ -58,7 +58,7 @@ def land_archives(
     base: str,
     name: str = "climaticas",
     checkpoint: str | None = None,
-    name_pattern: str | None = r"\.CSV$",
+    name_pattern: str | None = None,
     max_files: int | None = None,
     available_now: bool = True,
     staged: bool = False,

@@ -1,5 +1,7 @@
 """Weather stations, FIXTURES §3.2: zips -> land -> bronze -> daily -> monthly."""
 
+import pytest
+import os
 import datetime as dt
 import io
 import zipfile
@@ -114,7 +116,7 @@ def test_run_from_archives(spark, scratch):
     archive = zipped({f"2024/{name}": station_file(GOLDEN), "2024/INMET_OTHER_01-01-2024_A_31-03-2024.CSV": station_file(GOLDEN), "2024/readme.txt": b"x"})
     archives = spark.createDataFrame([("2024.zip", bytearray(archive))], "path string, content binary")
     assert sorted(r.name for r in land_members(archives).collect()) == [
-        "INMET_OTHER_01-01-2024_A_31-03-2024.CSV", name,
+        "INMET_OTHER_01-01-2024_A_31-03-2024.CSV", name, "readme.txt",
     ]
     expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01")
     gold = run_climate(spark, archives, expected, scratch)
@@ -134,12 +136,12 @@ def test_long_expected_list_is_not_broadcast(spark, scratch):
     expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01", extra=())
     small = select_station_files(land, expected)
     assert "dynamicpruning" in small._jdf.queryExecution().executedPlan().toString()
-    # beyond the limit no broadcast is forced; with Spark's own size-based
-    # broadcast off too, the selection runs as shuffle joins
+    # nothing forces a broadcast: with Spark's size-based one off, the
+    # selection runs as shuffle joins
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = select_station_files(land, expected, max_broadcast=0)
+        large = select_station_files(land, expected)
         plan = large._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
         got = [r.name for r in large.collect()]
@@ -154,7 +156,7 @@ def test_land_files_per_bucket():
     assert land_files_per_bucket(None) == 1
     assert land_files_per_bucket(10 * 1024 * 1024) == 1  # a monthly run
     assert land_files_per_bucket(LAND_BUCKETS * LAND_FILE_BYTES * 10) == 10  # a backfill
-    assert land_files_per_bucket(10**18) == 256
+    assert land_files_per_bucket(LAND_BUCKETS * LAND_FILE_BYTES * 10**6) == 10**6  # no cap
 
 
 def test_damaged_archive_is_reported_not_fatal(spark, scratch):
@@ -165,7 +167,21 @@ def test_damaged_archive_is_reported_not_fatal(spark, scratch):
         "path string, content binary",
     )
     expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01", extra=())
-    gold = run_climate(spark, archives, expected, scratch)
+    with pytest.raises(ValueError, match="broken.zip"):
+        run_climate(spark, archives, expected, scratch)
+    assert not os.path.exists(f"{scratch.removeprefix('file:')}/0. land")  # nothing was replaced
+    gold = run_climate(spark, archives, expected, scratch, unreadable="report")
     assert [tuple(r) for r in gold.orderBy("data").collect()] == MONTHLY
     bad = spark.read.parquet(f"{scratch}/_reports/climaticas_unreadable").collect()
     assert [(r.archive, r.member) for r in bad] == [("broken.zip", None)] and "unreadable archive" in bad[0].error
+
+
+def test_a_window_expected_twice_is_read_once(spark):
+    names = [r.name for r in expected_station_files(spark, "2024-07-10", stations=("SE_SP_A713_IPERO",)).collect()]
+    assert len(names) == len(set(names))
+
+
+def test_every_member_lands(spark):
+    content = zipped({"2020/a.CSV": b"1", "2020/b.csv": b"2", "2020/readme.txt": b"3"})
+    archives = spark.createDataFrame([("x.zip", bytearray(content))], "path string, content binary")
+    assert sorted(r.name for r in land_members(archives).collect()) == ["a.CSV", "b.csv", "readme.txt"]

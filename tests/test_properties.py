@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, assume, given, settings
 from hypothesis import strategies as st
 
@@ -114,6 +115,21 @@ def test_html_overlap_keeps_every_cell():
     assert [cells for _, cells in table_rows(html)] == [["a", "a", "b"], ["c", "d", "d", "b"]]
 
 
+def test_html_hidden_elements_are_left_out():
+    html = (
+        '<table><tr><td>a<td style="color:red; DISPLAY : none">x<td>b</td></tr><tr style="display:none"><td>y<td>z</tr>'
+        '<tr><td>c<span style="display:none">q<br></span>d</td><td>e</td></tr><tbody style="display: none;"><tr><td>n</table>'
+    )
+    assert table_rows(html) == [(0, ["a", "b"]), (1, ["cd", "e"])]
+    assert table_rows('<table style="display:none"><tr><td>h</table><table><tr><td>v</table>') == [(0, ["v"])]
+
+
+def test_html_spans_are_never_cut():
+    assert [len(c) for _, c in table_rows('<table><tr><td colspan="3000">a</table>')] == [3000]
+    with pytest.raises(ValueError, match="page begins with"):
+        table_rows('<table><tr><td colspan="99999999">a</table>')
+
+
 def _model_delimited(text, skip=8, sep=";"):
     """Independent model of the reader's rules on one file's text."""
     lines = text.replace("\r\n", "\n").split("\n")
