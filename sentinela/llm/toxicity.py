@@ -24,7 +24,7 @@ MAX_POSITIVE, MAX_UNLABELLED, MAX_WORDS = 4_000, 8_000, 2_048
 
 #: A word is a feature if its share among toxic texts is above that among the unlabelled
 #: by so many standard errors, and by this factor (1 / prior for a word of toxic texts alone).
-MIN_Z, MIN_LIFT = 3.5, 4.0
+MIN_Z, MIN_LIFT = 5.0, 4.0
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
 
@@ -108,6 +108,7 @@ def fit_toxicity(
     max_positive: int = MAX_POSITIVE,
     max_unlabelled: int = MAX_UNLABELLED,
     max_words: int = MAX_WORDS,
+    min_texts: int = 4,
     min_z: float = MIN_Z,
     min_lift: float = MIN_LIFT,
 ) -> ToxicityModel:
@@ -139,12 +140,16 @@ def fit_toxicity(
     if not n_pos or not n_unl:
         return ToxicityModel(prior=prior)
     share_pos, share_unl = F.sum("p") / n_pos, F.sum(1 - F.col("p")) / n_unl
-    noise = F.sqrt(F.sum("p") / (n_pos * float(n_pos)) + F.sum(1 - F.col("p")) / (n_unl * float(n_unl)))
+    both = F.count(F.lit(1)) / float(n_pos + n_unl)  # two-proportion test: the spread if the shares were equal
+    noise = F.sqrt(both * (1.0 - both) * (1.0 / n_pos + 1.0 / n_unl))
     ranked = (
         sample.select("p", F.explode("words").alias("word"))
         .groupBy("word")
-        .agg(((share_pos - share_unl) / noise).alias("z"), share_pos.alias("pos"), share_unl.alias("unl"))
-        .where((F.col("z") >= min_z) & (F.col("pos") >= min_lift * F.col("unl")))
+        .agg(
+            F.try_divide(share_pos - share_unl, noise).alias("z"),
+            share_pos.alias("pos"), share_unl.alias("unl"), F.sum("p").alias("n"),
+        )
+        .where((F.col("z") >= min_z) & (F.col("n") >= min_texts) & (F.col("pos") >= min_lift * F.col("unl")))
         .orderBy(F.desc("z"), "word")
         .limit(max_words)
     )
