@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from sentinela.functions.text import literal_map, replaced
 from sentinela.operators.projection import all_text
 
 
@@ -38,11 +38,10 @@ def replace_values(df: DataFrame, mapping: Mapping[str, str], cols: Sequence[str
     """
     if not mapping:
         return df
-    lookup = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
+    lookup = literal_map(mapping)
     targets = set(cols) if cols is not None else {
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType)
     }
     return df.select(*[
-        F.coalesce(F.try_element_at(lookup, F.col(c)), F.col(c)).alias(c) if c in targets else F.col(c)
-        for c in df.columns
+        replaced(c, lookup).alias(c) if c in targets else F.col(c) for c in df.columns
     ])

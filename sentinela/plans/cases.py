@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 from sentinela.fixed import BRONZE_PREFIX, MONTHS, N_BRONZE_VALUES, REGION, TEXT_REPAIRS, YEAR_COLUMN
 from sentinela.functions.dates import month_number, year_month_date
 from sentinela.functions.numbers import drop_thousands, strict_count
-from sentinela.functions.text import na_to_null, strip_code, upper_equals
-from sentinela.operators.combine import replace_values
+from sentinela.functions.text import na_to_null, replaced, strip_code, upper_equals
 from sentinela.operators.filters import drop_missing
-from sentinela.operators.projection import cells_to_columns, rename, rename_select, slice_rows, with_constant
+from sentinela.operators.projection import rename, rename_select, slice_rows, with_constant
 from sentinela.operators.reshape import months_to_rows
 from sentinela.plans.layouts import attach_layouts
 from sentinela.sources.html import html_table
@@ -29,26 +28,21 @@ BRONZE_COLUMNS = [f"{BRONZE_PREFIX}{i}" for i in range(N_BRONZE_VALUES + 1)] + [
 
 
 def extract_layout(rows: DataFrame, region: str = REGION) -> DataFrame:
-    """Table rows (with their layout columns) -> raw bronze columns.
+    """Table rows (with their layout columns) -> ``disease, municipio, valores, ano``.
 
-    Keeps the layout's row range and the rows of ``region``; reads the
-    municipality and at most ``n_values`` cells after it; the year travels
-    from the page row.
+    Keeps the layout's row range and the rows of ``region``; ``valores`` holds
+    the at most ``n_values`` cells after the municipality, in one array; the year
+    travels from the page row.
     """
-    cells = F.col("cells")
+    cells, town_col = F.col("cells"), F.col("municipality_col")
     kept = slice_rows(rows, F.col("first_row"), F.col("end_row"))
     kept = kept.filter(upper_equals(F.get(cells, F.col("region_col")), region))
-    town = F.get(cells, F.col("municipality_col"))
-    town = F.when(F.col("strip_code"), strip_code(town)).otherwise(town)
-    values = cells_to_columns(
-        cells, F.col("municipality_col") + F.lit(1), N_BRONZE_VALUES,
-        prefix=BRONZE_PREFIX, first=1, limit=F.col("n_values"),
-    )
+    town = F.get(cells, town_col)
     return kept.select(
         "disease",
-        town.alias(f"{BRONZE_PREFIX}0"),
-        *values,
-        F.col("year").cast("string").alias(YEAR_COLUMN),
+        F.when(F.col("strip_code"), strip_code(town)).otherwise(town).alias("municipio"),
+        F.slice(cells, town_col + F.lit(2), F.least(F.col("n_values"), F.lit(N_BRONZE_VALUES))).alias("valores"),
+        F.col("year").cast("string").alias("ano"),
     )
 
 
@@ -64,22 +58,34 @@ def bronze_cases(
     Months a layout does not carry (e.g. a year still in progress) are
     missing and, like every missing or NA-spelled cell, become ``fill``
     (``None`` keeps NULL). ``repairs`` fixes wrongly decoded names.
+
+    The cells are cleaned as one array and read by position afterwards, so the
+    plan holds each cleaning expression once and not once per column.
     """
     rows = html_table(attach_layouts(pages.select("disease", "year", "html"), layouts))
+    repairs = dict(repairs or {})
+
+    def finished(c):
+        return replaced(F.coalesce(c, F.lit(fill)) if fill is not None else c, repairs)
+
     raw = extract_layout(rows, region)
-    value_cols = [f"{BRONZE_PREFIX}{i}" for i in range(1, N_BRONZE_VALUES + 1)]
     clean = raw.select(
         "disease",
-        *[
-            (drop_thousands(na_to_null(c)) if c in value_cols else na_to_null(c)).alias(c)
-            for c in BRONZE_COLUMNS
-        ],
+        finished(na_to_null("municipio")).alias("municipio"),
+        F.transform("valores", lambda c: finished(drop_thousands(na_to_null(c)))).alias("valores"),
+        finished(na_to_null("ano")).alias("ano"),
+    )
+    absent = F.lit(None if fill is None else repairs.get(fill, fill)).cast("string")  # a month the page has no cell for
+    # padded to full width, so that a column is read by its position alone
+    pad = F.array_repeat(absent, F.lit(N_BRONZE_VALUES) - F.size("valores"))
+    clean = clean.withColumn("valores", F.concat("valores", pad))
+    values = F.col("valores")
+    return clean.select(
+        "disease",
+        F.col("municipio").alias(BRONZE_COLUMNS[0]),
+        *[values[i].alias(BRONZE_COLUMNS[i + 1]) for i in range(N_BRONZE_VALUES)],
+        F.col("ano").alias(YEAR_COLUMN),
     )
-    if fill is not None:
-        clean = clean.na.fill(fill, subset=BRONZE_COLUMNS)
-    if repairs:
-        clean = replace_values(clean, repairs, cols=BRONZE_COLUMNS)
-    return clean
 
 
 def silver_cases(bronze: DataFrame, sort: bool = True) -> DataFrame:

@@ -17,7 +17,7 @@ def _sql_list(values) -> str:
 
 def _orders_by_nation() -> str:
     return (
-        "o AS (SELECT o_orderpriority AS disease, CAST(year(o_orderdate) AS INTEGER) AS y, "
+        "o AS (SELECT o_orderpriority || '/' || (c_custkey // 2000) AS disease, CAST(year(o_orderdate) AS INTEGER) AS y, "
         "CAST(month(o_orderdate) AS INTEGER) AS m, o_orderstatus AS st, c_nationkey AS nk "
         "FROM orders JOIN customer ON o_custkey = c_custkey)"
     )
@@ -150,9 +150,9 @@ FROM x WHERE upper(regiao) = 'ASIA'
 MONTHS_TO_ROWS = """
 SELECT n_name AS municipio_resid,
        make_date(year(o_orderdate), month(o_orderdate), 1) AS ano_mes,
-       count(*) AS casos
+       CAST(count(*) + CASE WHEN c_nationkey % 5 = 0 THEN 9007199254740992 ELSE 0 END AS BIGINT) AS casos
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY ALL
+GROUP BY n_name, c_nationkey, make_date(year(o_orderdate), month(o_orderdate), 1)
 """
 
 DAILY_ROLLUP = """
@@ -224,6 +224,49 @@ FROM events
 """
 
 
+MONTHLY_MEAN_ALL = """
+WITH daily AS (SELECT CAST(o_orderdate AS DATE) AS d, sum(o_totalprice) AS total, max(o_totalprice) AS maior FROM orders GROUP BY ALL),
+monthly AS (SELECT CAST(date_trunc('month', d) AS DATE) AS m, avg(total) AS total, avg(maior) AS maior FROM daily GROUP BY ALL),
+spine AS (SELECT CAST(unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS DATE) AS m FROM monthly)
+SELECT spine.m AS data, round(coalesce(total, 0), 6) AS total, round(coalesce(maior, 0), 6) AS maior
+FROM spine LEFT JOIN monthly ON spine.m = monthly.m
+"""
+
+SORTED_MONTHS = f"""
+WITH {_orders_by_nation()},
+towns AS (SELECT DISTINCT disease, y, nk FROM o JOIN nation ON nk = n_nationkey JOIN region ON n_regionkey = r_regionkey
+          WHERE r_name = 'AMERICA'),
+s AS (SELECT min(o_orderdate) AS lo, max(o_orderdate) AS hi FROM orders)
+SELECT 'casos' AS saida, CAST(12 * count(*) AS BIGINT) AS linhas, CAST(0 AS BIGINT) AS fora_de_ordem FROM towns
+UNION ALL
+SELECT 'medias', CAST(12 * (year(hi) - year(lo)) + month(hi) - month(lo) + 1 AS BIGINT), CAST(0 AS BIGINT) FROM s
+"""
+
+PAGES_FROM_FILES = f"""
+WITH {_orders_by_nation()},
+page AS (SELECT disease, y, count(DISTINCT nk) AS towns, {_kind("o")} AS kind FROM o GROUP BY disease, y)
+SELECT CASE ascii(disease) % 3 WHEN 0 THEN 'dengue' WHEN 1 THEN 'chikungunya' ELSE 'zika' END AS disease,
+       CAST(y + 30 AS INTEGER) AS year, count(*) AS paginas,
+       CAST(sum(5 + towns + CASE WHEN kind = 'shifted' THEN 1 ELSE 0 END) AS BIGINT) AS linhas
+FROM page GROUP BY ALL
+"""
+
+LAND_ALL_MEMBERS = """
+WITH l AS (SELECT 'SE_XX_A' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') || 'B' || (l_orderkey // 200000) AS cidade,
+                  l_suppkey // 25 AS block, l_orderkey // 200000 AS part, CAST(l_shipdate AS DATE) AS d FROM lineitem),
+b AS (SELECT cidade, last_day(max(d)) AS e FROM l GROUP BY cidade),
+f AS (SELECT DISTINCT cidade, block, part, year(d) AS y FROM l),
+m AS (SELECT y || '_' || block || '_' || part || '.zip' AS archive, y, cidade,
+             'INMET_' || cidade || '_01-01-' || y || '_A_' || strftime(least(make_date(y, 12, 31), e), '%d-%m-%Y') || '.CSV' AS name
+      FROM f JOIN b USING (cidade)),
+a AS (SELECT DISTINCT archive, y FROM m)
+SELECT archive, y || '/' || name AS member, name, cidade, true AS lido FROM m
+UNION ALL
+SELECT archive, y || '/notas.csv', 'notas.csv', '__other__', true FROM a
+UNION ALL
+SELECT archive, 'LEIA-ME.txt', 'LEIA-ME.txt', '__other__', true FROM a
+"""
+
 CASES_LAYERS = f"""
 WITH {_orders_by_nation()},
 cnt AS (SELECT disease, y, nk, m, count(*) AS n FROM o GROUP BY ALL),
@@ -242,7 +285,7 @@ LEFT JOIN cnt ON cnt.disease = rm.disease AND cnt.y = rm.y AND cnt.nk = rm.nk AN
 
 CLIMATE_LAYERS = """
 WITH l AS (
-  SELECT 'SE_XX_A' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS cidade, CAST(l_shipdate AS DATE) AS d,
+  SELECT 'SE_XX_A' || lpad(CAST(l_suppkey AS VARCHAR), 6, '0') || 'B' || (l_orderkey // 200000) AS cidade, CAST(l_shipdate AS DATE) AS d,
          CASE WHEN l_linenumber = 4 THEN NULL ELSE l_discount END AS p,
          CASE WHEN l_linenumber = 4 THEN NULL ELSE l_extendedprice END AS pmax,
          CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity END AS pmin,
@@ -260,6 +303,9 @@ daily AS (SELECT cidade, d, coalesce(sum(p), 0) AS precipitacao_total, max(pmax)
 )
 
 
+CASES_RERUN = f"SELECT * FROM ({CASES_LAYERS}) WHERE caso NOT LIKE '1-URGENT%'"
+
+
 ORACLE_SQL: dict[str, str] = {
     "html_table_extract": HTML_TABLE_EXTRACT,
     "layout_extract": _layout_extract(),
@@ -278,5 +324,10 @@ ORACLE_SQL: dict[str, str] = {
     "monthly_mean_filled": MONTHLY_MEAN_FILLED,
     "lenient_number": LENIENT_NUMBER,
     "cases_layers": CASES_LAYERS,
+    "cases_rerun": CASES_RERUN,
+    "pages_from_files": PAGES_FROM_FILES,
+    "land_all_members": LAND_ALL_MEMBERS,
+    "monthly_mean_all": MONTHLY_MEAN_ALL,
+    "sorted_months": SORTED_MONTHS,
     "climate_layers": CLIMATE_LAYERS,
 }

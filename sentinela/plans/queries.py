@@ -24,8 +24,8 @@ from sentinela.operators.projection import rename, rename_select, with_constant
 from sentinela.operators.reshape import months_to_rows
 from sentinela.operators.timeseries import daily_rollup, monthly_mean_filled
 from sentinela.plans import runner
-from sentinela.plans.cases import bronze_cases
-from sentinela.plans.climate import bronze_climate, expected_station_files_for
+from sentinela.plans.cases import bronze_cases, silver_cases
+from sentinela.plans.climate import bronze_climate, expected_station_files_for, land_members
 from sentinela.plans.table_inputs import (
     customer_pages,
     lineitem_station_files,
@@ -40,11 +40,12 @@ from sentinela.plans.table_inputs import (
 from sentinela.session import checkpoint_root, scratch_path
 from sentinela.sources.archives import unzip_members
 from sentinela.sources.files import expected_vs_found, file_name, yearly_windows, reporting_end
-from sentinela.sources.html import html_table
+from sentinela.sources.html import html_table, read_pages
 from sentinela.sources.layers import publish, read_layer, write_layer
 from sentinela.streaming.land import land_archives
 
 CASE_REGION = "AMERICA"
+BEYOND_DOUBLE = 9007199254740992  # 2^53: above it a double skips whole numbers
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -80,6 +81,32 @@ def _case_inputs(spark: SparkSession, sf_dir: str):
     return pages.select("disease", "year", "html"), order_case_layouts(pages)
 
 
+def _page_folders(pages: DataFrame) -> DataFrame:
+    """Case pages dealt to the folders of the three diseases, years after 2000."""
+    k = F.ascii(F.col("disease")) % 3
+    folder = F.when(k == 0, "dengue").when(k == 1, "chikung").otherwise("zika")
+    return pages.select(folder.alias("_doenca"), (F.col("year") + 30).alias("_ano"), F.col("html").alias("value"))
+
+
+def pages_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-1, S-2: case pages saved one per file below a folder that bears another
+    disease's name, read back with the labels of their own folders: pages and
+    table rows per (disease, year)."""
+    pages, _ = _case_inputs(spark, sf_dir)
+    path = scratch_path(spark, "zika_2019_paginas")
+    _page_folders(pages).write.option("maxRecordsPerFile", 1).partitionBy("_doenca", "_ano").text(path)
+    read = read_pages(spark, path, glob="part-*")
+    rows = html_table(read.select("disease", "year", "path", "html"))
+    each = rows.groupBy("disease", "year", "path").agg(F.count(F.lit(1)).alias("linhas"))
+    return each.groupBy("disease", "year").agg(F.count(F.lit(1)).alias("paginas"), F.sum("linhas").alias("linhas"))
+
+
+def land_all_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-3, K-4, X-15: every member of the station archives lands, whatever its ending."""
+    land = land_members(supplier_station_archives(table(spark, sf_dir, "lineitem")))
+    return land.select("archive", "member", "name", "cidade", F.col("error").isNull().alias("lido"))
+
+
 def layout_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S-2, P-1..P-8, F-1, X-2, N-1, N-2: yearly order pages in three layouts -> bronze columns."""
     pages, layouts = _case_inputs(spark, sf_dir)
@@ -134,7 +161,7 @@ def yearly_windows_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     expected = yearly_windows(bounds, keys=["cidade", "c_nationkey"]).withColumn(
         "name", file_name("cidade", "window_start", "window_end")
     )
-    pending = per_year.filter("pending").select("c_nationkey", "y")
+    pending = per_year.filter("pending").select("c_nationkey", "y")  # one row per (nation, year)
     found = expected.withColumn("y", F.year("window_start")).join(pending, ["c_nationkey", "y"]).select("name")
     out = expected_vs_found(expected, found)
     return out.select("cidade", "window_start", "window_end", "name", "found")
@@ -213,9 +240,18 @@ def months_to_rows_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = j.groupBy("c_nationkey", F.year("o_orderdate").alias("ano")).agg(*[
         F.count_if(m == i).alias(name) for i, name in enumerate(MONTHS, start=1)
     ])
+
+    def spelled(n: str):  # beyond what a double holds, or with a comma after the first digit
+        k, text = F.col("c_nationkey") % 5, F.col(n).cast("string")
+        return (
+            F.when(k == 0, (F.col(n) + F.lit(BEYOND_DOUBLE)).cast("string"))
+            .when(k == 1, F.regexp_replace(text, r"^(\d)(\d)", "$1,$2"))
+            .otherwise(text)
+        )
+
     wide = wide.select(
         "c_nationkey", F.col("ano").cast("string").alias("ano"),
-        *[F.when(F.col(n) > 0, F.col(n).cast("string")).alias(n) for n in MONTHS],
+        *[F.when(F.col(n) > 0, spelled(n)).alias(n) for n in MONTHS],
     ).join(nation.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("municipio_resid")), "c_nationkey")
     long = months_to_rows(wide, ["municipio_resid", "ano"], list(MONTHS), "mes", "casos")
     long = long.withColumn("ano_mes", year_month_date("ano", month_number("mes")))
@@ -297,6 +333,17 @@ def monthly_mean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(monthly_mean_filled(daily, "data", ["total", "maior", "menor", "media"], keys=["o_custkey"], sort=False))
 
 
+def _daily_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = F.col("o_totalprice")
+    readings = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("data"), v.alias("total"), v.alias("maior"))
+    return daily_rollup(readings, "data", {"total": "sum", "maior": "max"})
+
+
+def monthly_mean_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-1..A-4, X-10, N-4 without keys: one series of all orders, like the weather job's."""
+    return rounded(monthly_mean_filled(_daily_orders(spark, sf_dir), "data", ["total", "maior"]))
+
+
 def lenient_number_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X-4: event values written as text with junk spellings -> numbers or NULL."""
     events = table(spark, sf_dir, "events")
@@ -322,7 +369,8 @@ def land_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     first_year = orders.agg(F.min(year)).first()[0]
     # two deliveries; archives are per year, so each is built once, whole
     for arrived in (year <= first_year + 2, year > first_year + 2):
-        order_archives(orders.filter(arrived)).write.mode("append").parquet(inbox)
+        delivery = order_archives(orders.filter(arrived)).withColumn("length", F.octet_length("content").cast("bigint"))
+        delivery.write.mode("append").parquet(inbox)
         q = land_archives(spark, inbox, base, name="pedidos", checkpoint=f"{root}/checkpoint", name_pattern=None, staged=True)
         q.awaitTermination()
         if q.exception() is not None:
@@ -340,7 +388,42 @@ def cases_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G-1..G-3, G-7: order pages through bronze, silver and gold layers."""
     pages, layouts = _case_inputs(spark, sf_dir)
     base = scratch_path(spark, "cases")
-    return runner.run_cases(spark, pages, layouts, base, region=CASE_REGION)
+    return runner.run_cases(spark, pages, layouts, base, region=CASE_REGION, partition_by=())
+
+
+def cases_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-7: a second run without one priority leaves nothing of the first run."""
+    pages, layouts = _case_inputs(spark, sf_dir)
+    base = scratch_path(spark, "cases_rerun")
+    runner.run_cases(spark, pages, layouts, base, region=CASE_REGION, partition_by=())
+    kept = ~F.col("disease").startswith("1-URGENT")
+    return runner.run_cases(spark, pages.filter(kept), layouts.filter(kept), base, region=CASE_REGION, partition_by=())
+
+
+def _out_of_order(df: DataFrame, key: str, what: str) -> DataFrame:
+    """One row: the rows of a sorted frame, and how many of them come after a
+    greater ``key`` in the same partition or begin a partition below the end of
+    an earlier one."""
+    placed = df.select(key, F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"))
+    before = F.lag(key).over(Window.partitionBy("p").orderBy("i"))
+    parts = placed.withColumn("_before", before).groupBy("p").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("_before") > F.col(key)).alias("inside"),
+        F.min(key).alias("lo"), F.max(key).alias("hi"),
+    )
+    # one row per partition of the sorted frame
+    earlier = F.max("hi").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1))
+    return parts.withColumn("_earlier", earlier).agg(
+        F.lit(what).alias("saida"), F.sum("n").alias("linhas"),
+        F.sum(F.col("inside") + F.when(F.col("_earlier") > F.col("lo"), 1).otherwise(0)).alias("fora_de_ordem"),
+    )
+
+
+def sorted_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O-1, O-2: the silver cases and the monthly means come out by ascending month."""
+    pages, layouts = _case_inputs(spark, sf_dir)
+    silver = silver_cases(bronze_cases(pages, layouts, region=CASE_REGION))
+    months = monthly_mean_filled(_daily_orders(spark, sf_dir), "data", ["total", "maior"])
+    return _out_of_order(silver, "ano_mes", "casos").unionByName(_out_of_order(months, "data", "medias"))
 
 
 def climate_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,5 +457,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "monthly_mean_filled": monthly_mean_orders,
     "lenient_number": lenient_number_events,
     "cases_layers": cases_layers,
+    "cases_rerun": cases_rerun,
+    "pages_from_files": pages_from_files,
+    "land_all_members": land_all_members,
+    "monthly_mean_all": monthly_mean_all,
+    "sorted_months": sorted_months,
     "climate_layers": climate_layers,
 }

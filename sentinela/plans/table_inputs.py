@@ -24,6 +24,8 @@ CUSTOMERS_PER_PAGE = 50
 ORDERS_PER_MEMBER_BLOCK = 5000
 ORDERS_PER_FILE_BLOCK = 2000
 SUPPLIERS_PER_ARCHIVE = 25
+CUSTOMERS_PER_CASE_PAGE = 2000
+ORDERS_PER_STATION_BLOCK = 200000
 
 PREAMBLE = [
     "REGIAO:;SE",
@@ -65,13 +67,15 @@ _PAGE_TAIL = "</tbody></table><table><tr><td>second table</td></tr></table></bod
 def customer_pages(customer: DataFrame) -> DataFrame:
     """One page per (nation, block of 50 customer keys): a header row with a
     colspan, a nation cell spanning every body row (rowspan), entities and
-    padded text; a table inside a script and a second table after it."""
+    padded text; a hidden cell in every row and a hidden row before every row
+    but the first; a table inside a script and a second table after it."""
     rows = customer.select(
         F.col("c_nationkey").alias("page_nation"),
         F.expr(f"c_custkey div {CUSTOMERS_PER_PAGE}").alias("page_block"),
         "c_custkey",
         F.concat(
             _td(F.concat(F.lit("\n   "), F.col("c_name"), F.lit("  "))),
+            F.lit('<td style="color:red; display : none">oculta</td>'),
             _td(F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string")),
             _td(F.concat(F.col("c_mktsegment"), F.lit(" &amp; "), F.col("c_nationkey").cast("string"))),
             F.lit("</tr>"),
@@ -84,29 +88,34 @@ def customer_pages(customer: DataFrame) -> DataFrame:
         F.lit('<tr><td rowspan="'), F.size("rs").cast("string"), F.lit('">'),
         F.col("page_nation").cast("string"), F.lit("</td>"),
     )
-    body = F.transform("rs", lambda x, i: F.concat(F.when(i == 0, first).otherwise(F.lit("<tr>")), x["text"]))
+    hidden = F.lit('<tr style="display:none"><td>oculta</td><td>0</td></tr>')
+    body = F.transform("rs", lambda x, i: F.concat(F.when(i == 0, first).otherwise(F.concat(hidden, F.lit("<tr>"))), x["text"]))
     html = F.concat(F.lit(_PAGE_HEAD), F.array_join(body, ""), F.lit(_PAGE_TAIL))
     return grouped.select("page_nation", "page_block", html.alias("html"))
 
 
 def order_month_counts(orders: DataFrame, customer: DataFrame) -> DataFrame:
-    """Orders per (priority, year, customer nation) as 36 values: for each
-    month the number of orders, of status F and of status O."""
+    """Orders per (priority and block of customer keys, year, customer nation) as
+    36 values in one array: for each month the number of orders, of status F and
+    of status O."""
     o = orders.select(
         "o_custkey", "o_orderpriority", "o_orderstatus",
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("m"),
     )
     j = o.join(customer.select("c_custkey", "c_nationkey"), o.o_custkey == F.col("c_custkey"))
-    aggs = []
-    for m in range(1, 13):
-        at = F.col("m") == m
-        aggs += [
-            F.count_if(at).alias(f"v{3 * m - 2}"),
-            F.count_if(at & (F.col("o_orderstatus") == "F")).alias(f"v{3 * m - 1}"),
-            F.count_if(at & (F.col("o_orderstatus") == "O")).alias(f"v{3 * m}"),
-        ]
-    return j.groupBy(F.col("o_orderpriority").alias("disease"), "year", "c_nationkey").agg(*aggs)
+    label = F.concat_ws("/", "o_orderpriority", F.expr(f"c_custkey div {CUSTOMERS_PER_CASE_PAGE}").cast("string"))
+    per_month = j.groupBy(label.alias("disease"), "year", "c_nationkey", "m").agg(
+        F.array(F.count(F.lit(1)), F.count_if(F.col("o_orderstatus") == "F"), F.count_if(F.col("o_orderstatus") == "O")).alias("n")
+    )
+    months = per_month.groupBy("disease", "year", "c_nationkey").agg(  # at most twelve entries each
+        F.map_from_entries(F.collect_list(F.struct("m", "n"))).alias("by_month")
+    )
+    none = F.array_repeat(F.lit(0).cast("bigint"), 3)
+    values = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.coalesce(F.try_element_at("by_month", m), none))
+    return months.select("disease", "year", "c_nationkey", F.flatten(values).alias("values"))
+
 
+TITLE_ROWS = 5
 
 # Test layouts: even years wide, odd years shifted, the latest year partial.
 _KINDS = {
@@ -133,7 +142,7 @@ def order_case_layouts(pages: DataFrame) -> DataFrame:
     kind = F.col("kind")
     return pages.select(
         "disease", F.col("year").cast("int").alias("year"),
-        _by_kind(kind, 0).alias("first_row"), F.lit(None).cast("int").alias("end_row"),
+        _by_kind(kind, 0).alias("first_row"), "end_row",
         _by_kind(kind, 1).alias("region_col"), _by_kind(kind, 2).alias("municipality_col"),
         _by_kind(kind, 3).alias("n_values"), _by_kind(kind, 4).alias("strip_code"),
     )
@@ -145,7 +154,8 @@ def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) ->
     rows (colspan/rowspan), then one row per nation with orders, the region
     cell merged over the nations of a region (rowspan) in mixed case, the
     municipality cell ``'<key> <name>'``, zero counts as empty cells, and
-    extra columns right of the shifted and partial layouts."""
+    extra columns right of the shifted and partial layouts, and a total line below
+    the shifted ones (their layout has an end row)."""
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "n_regionkey",
         F.when(F.col("n_regionkey") % 2 == 1, F.initcap("r_name")).otherwise(F.col("r_name")).alias("region_text"),
@@ -160,11 +170,9 @@ def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) ->
         "run_len", F.count(F.lit(1)).over(run)
     )
     kind = F.col("kind")
-    values = F.array(*[
-        _td(F.when(F.col(f"v{k}") == 0, F.lit("")).otherwise(F.col(f"v{k}").cast("string"))) for k in range(1, 37)
-    ])
+    values = F.transform("values", lambda v: _td(F.when(v == 0, F.lit("")).otherwise(v.cast("string"))))
     n_values = F.when(kind == "partial", 15).otherwise(36)
-    total = sum((F.col(f"v{3 * m - 2}") for m in range(1, 13)), F.lit(0))
+    total = F.aggregate(F.filter("values", lambda v, i: i % 3 == 0), F.lit(0).cast("bigint"), lambda a, v: a + v)
     lead_cells = F.when(
         kind == "shifted",
         F.array(_td(F.lit("DRS")), _td(F.col("n_regionkey").cast("string"))),
@@ -183,8 +191,15 @@ def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) ->
     cells = F.concat(lead_cells, F.array(region_cell, town), F.slice(values, 1, n_values), extra)
     row_html = F.concat(F.lit("<tr>"), F.array_join(cells, ""), F.lit("</tr>"))
     pages = rows.groupBy("disease", "year", "kind", "width").agg(
-        _sorted_join(F.collect_list(F.struct("n_regionkey", "n_nationkey", row_html.alias("text")))).alias("body")
+        _sorted_join(F.collect_list(F.struct("n_regionkey", "n_nationkey", row_html.alias("text")))).alias("body"),
+        F.count(F.lit(1)).alias("n_rows"),
     )
+    # the shifted pages end in a total that only the layout's row range keeps out
+    bounded = F.col("kind") == "shifted"
+    foot = F.when(bounded, F.concat(
+        F.lit("<tr><td>DRS</td><td>0</td><td>"), F.lit("AMERICA"), F.lit("</td><td>0 TOTAL</td>"),
+        F.lit("<td>1</td>" * 36), F.lit("</tr>"),
+    )).otherwise(F.lit(""))
     w = F.col("width").cast("string")
     w1 = (F.col("width") - 1).cast("string")
     filler = F.array_join(F.array_repeat(F.lit("<td>-</td>"), F.col("width") - 1), "")
@@ -195,10 +210,11 @@ def order_case_pages(counts: DataFrame, nation: DataFrame, region: DataFrame) ->
         F.lit("<tr>"), filler, F.lit("</tr><tr>"), filler, F.lit("</tr>"),
     )
     html = F.concat(
-        F.lit("<html><body><h1>Casos</h1><table>"), titles, F.col("body"),
+        F.lit("<html><body><h1>Casos</h1><table>"), titles, F.col("body"), foot,
         F.lit("</table><table><tr><td>notas</td></tr></table></body></html>"),
     )
-    return pages.select("disease", F.col("year").cast("int").alias("year"), "kind", html.alias("html"))
+    end_row = F.when(bounded, F.lit(TITLE_ROWS) + F.col("n_rows")).cast("int")
+    return pages.select("disease", F.col("year").cast("int").alias("year"), "kind", end_row.alias("end_row"), html.alias("html"))
 
 
 # --- zip archives ------------------------------------------------------------
@@ -319,14 +335,17 @@ def lineitem_station_files(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def supplier_station(c: Column) -> Column:
-    return F.concat(F.lit("SE_XX_A"), F.lpad(c.cast("string"), 6, "0"))
+def supplier_station(supplier: Column, order: Column) -> Column:
+    """Station of a supplier and a block of order keys: a busy supplier has many
+    stations, so none of its files grows with the table."""
+    block = F.floor(order / ORDERS_PER_STATION_BLOCK).cast("string")
+    return F.concat(F.lit("SE_XX_A"), F.lpad(supplier.cast("string"), 6, "0"), F.lit("B"), block)
 
 
 def supplier_station_bounds(lineitem: DataFrame) -> DataFrame:
     """Per station (supplier): reporting from January of its first year to
     the end of the month of its last reading."""
-    return lineitem.groupBy(supplier_station(F.col("l_suppkey")).alias("cidade")).agg(
+    return lineitem.groupBy(supplier_station(F.col("l_suppkey"), F.col("l_orderkey")).alias("cidade")).agg(
         F.trunc(F.min("l_shipdate").cast("date"), "year").alias("start"),
         F.last_day(F.max("l_shipdate").cast("date")).alias("end"),
     )
@@ -334,27 +353,32 @@ def supplier_station_bounds(lineitem: DataFrame) -> DataFrame:
 
 def supplier_station_archives(lineitem: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
     """Yearly archives of station files, as published: one zip per (year,
-    block of suppliers), members ``{year}/INMET_{station}_{start}_A_{end}.CSV``,
-    one member per station and year. ``bounds``: the stations' reporting
+    block of suppliers, block of order keys), members
+    ``{year}/INMET_{station}_{start}_A_{end}.CSV``, one member per station and year,
+    and two members that are not station files. ``bounds``: the stations' reporting
     periods (from :func:`supplier_station_bounds`), computed if not given."""
     bounds = supplier_station_bounds(lineitem) if bounds is None else bounds
     keyed = lineitem.select(
-        supplier_station(F.col("l_suppkey")).alias("cidade"),
+        supplier_station(F.col("l_suppkey"), F.col("l_orderkey")).alias("cidade"),
         F.expr(f"l_suppkey div {SUPPLIERS_PER_ARCHIVE}").alias("block"),
+        F.expr(f"l_orderkey div {ORDERS_PER_STATION_BLOCK}").alias("part"),
         F.year("l_shipdate").alias("y"),
         *lineitem.columns,
-    ).repartition("cidade", "block", "y")  # lines are built where they are grouped
-    lines = station_lines(keyed).select("cidade", "block", "y", *LINE_ORDER, "text")
-    files = lines.groupBy("cidade", "block", "y").agg(
+    ).repartition("cidade", "block", "part", "y")  # lines are built where they are grouped
+    lines = station_lines(keyed).select("cidade", "block", "part", "y", *LINE_ORDER, "text")
+    files = lines.groupBy("cidade", "block", "part", "y").agg(
         _sorted_join(F.collect_list(F.struct(*LINE_ORDER, "text")), "\r\n").alias("body")
     )
     files = files.join(bounds, "cidade")
     ws = F.make_date(F.col("y"), F.lit(1), F.lit(1))
     we = F.least(F.make_date(F.col("y"), F.lit(12), F.lit(31)), F.col("end"))
     name = file_name(F.col("cidade"), F.greatest(ws, F.col("start")), we)
-    members = files.select(
-        F.format_string("%d_%d.zip", "y", "block").alias("archive"),
-        F.concat(F.col("y").cast("string"), F.lit("/"), name).alias("member"),
-        _station_file(F.col("body")).alias("data"),
+    archive = F.format_string("%d_%d_%d.zip", "y", "block", "part").alias("archive")
+    year = F.col("y").cast("string")
+    members = files.select(archive, F.concat(year, F.lit("/"), name).alias("member"), _station_file(F.col("body")).alias("data"))
+    # members that are not station files: a lower-case name and another ending
+    notes = files.select("y", "block", "part").distinct().select(
+        archive, F.explode(F.array(F.concat(year, F.lit("/notas.csv")), F.lit("LEIA-ME.txt"))).alias("member"),
     )
+    members = members.unionByName(notes.withColumn("data", F.encode(F.lit("nota;1\n"), "UTF-8")))
     return zip_archives(members, deflate=False)

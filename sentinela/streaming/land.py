@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sentinela.plans.climate import LAND_BUCKETS, land_files_per_bucket, land_members
+from sentinela.plans.climate import land_files_per_bucket, land_members, spread_land
 from sentinela.session import checkpoint_root
 from sentinela.sources.layers import LAND, layer_path
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-STAGED_SCHEMA = "archive string, content binary"
+STAGED_SCHEMA = "archive string, length bigint, content binary"
 
 
 def archive_stream(
@@ -35,7 +35,7 @@ def archive_stream(
     staged: bool = False,
 ) -> DataFrame:
     """New archives as a stream: zip files in a folder (``binaryFile``), or
-    with ``staged`` a parquet folder of ``(archive, content)`` rows that a
+    with ``staged`` a parquet folder of ``(archive, length, content)`` rows that a
     downloader appends to."""
     reader = spark.readStream
     if staged:
@@ -68,14 +68,12 @@ def land_archives(
     ckpt = checkpoint or f"{checkpoint_root(spark)}/sentinela/streams/land_{name}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # sized like the batch land: from the archives' bytes (the listing's
-        # length, or the staged rows' content length)
-        size = F.sum("length") if "length" in batch.columns else F.sum(F.octet_length("content"))
-        per_bucket = land_files_per_bucket(batch.agg(size).first()[0])
-        sub = F.pmod(F.xxhash64("name"), F.lit(per_bucket))
+        # sized like the batch land: from the archives' bytes; only the small
+        # length column is read for that
+        per_bucket = land_files_per_bucket(batch.agg(F.sum("length")).first()[0])
         members = land_members(batch, name_pattern).withColumn("batch_id", F.lit(batch_id))
         (
-            members.repartition(LAND_BUCKETS * per_bucket, "bucket", sub)
+            spread_land(members, per_bucket)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("bucket", "batch_id")

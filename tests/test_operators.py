@@ -84,3 +84,11 @@ def test_daily_rollup_from_hourly_timestamps(spark):
     )
     got = sorted(tuple(r) for r in daily_rollup(df, "ts", {"v": "sum"}).collect())
     assert got == [(dt.date(2024, 1, 1), 3.0), (dt.date(2024, 1, 2), 0.0)]
+
+
+def test_order_check_sees_disorder(spark):
+    from sentinela.plans.queries import _out_of_order
+
+    df = spark.range(0, 100, 1, 4).selectExpr("(id * 37) % 100 AS k")
+    assert _out_of_order(df.orderBy("k"), "k", "x").first().asDict() == {"saida": "x", "linhas": 100, "fora_de_ordem": 0}
+    assert _out_of_order(df, "k", "x").first().fora_de_ordem > 0
