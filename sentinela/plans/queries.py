@@ -432,9 +432,12 @@ def climate_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one row per station, used by the archive builder and the expected list
     checkpoint_root(spark)
     bounds = supplier_station_bounds(lineitem).checkpoint(eager=True)
-    archives = supplier_station_archives(lineitem, bounds)
-    expected = expected_station_files_for(bounds)
     base = scratch_path(spark, "climate")
+    # delivered once to a folder, as archives are; the job reads them from there
+    delivered = supplier_station_archives(lineitem, bounds).withColumn("length", F.octet_length("content").cast("bigint"))
+    delivered.write.parquet(f"{base}/inbox")
+    archives = spark.read.schema(delivered.schema).parquet(f"{base}/inbox")
+    expected = expected_station_files_for(bounds)
     gold = runner.run_climate(spark, archives, expected, base, keys=("cidade",))
     return rounded(gold)
 
