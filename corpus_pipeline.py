@@ -44,11 +44,11 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Every document, personal data as [KIND]; ``n_chars`` follows the text."""
     given = [c for c in docs.columns if c.lower() in ("spans", "found", "rid")]
     safe = docs.select(*[F.col(c).alias(f"_in_{c}" if c in given else c) for c in docs.columns])
-    found = find_personal_data(spark, safe)
-    text = redacted(F.col("text"), F.col("spans"))
-    out = {"text": text}
+    # in a projection of its own: beside a column named text, a lambda's "text" would be that one
+    found = find_personal_data(spark, safe).withColumn("found", redacted(F.col("text"), F.col("spans")))
+    out = {"text": F.col("found").alias("text")}
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.size("spans") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        out["n_chars"] = F.when(F.size("spans") > 0, F.length("found").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return found.select(*[out.get(c, F.col(f"_in_{c}" if c in given else c)).alias(c) for c in docs.columns])
 
 
