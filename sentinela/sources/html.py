@@ -17,6 +17,7 @@ contribute their text to that cell.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -29,6 +30,22 @@ MAX_SLOTS = 5_000_000
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _HIDDEN = re.compile(r"(?:^|;)\s*display\s*:\s*none\s*(?:!\s*important\s*)?(?:;|$)", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
+_SECTIONS = frozenset(("thead", "tbody", "tfoot"))
+_STRUCTURE = _SECTIONS | {"tr", "td", "th"}
+#: Elements that end tags of other elements inside them do not reach beyond.
+_SCOPES = frozenset(("table", "td", "th", "caption"))
+#: Start tags that end an open paragraph, and those that end an open element of their own kind.
+_ENDS_P = frozenset(
+    "address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
+    " header hr main menu nav ol p pre section summary table ul li dd dt".split()
+)
+_SIBLINGS = {
+    "li": (("li",), ("ul", "ol", "menu", "dir")),
+    "dt": (("dt", "dd"), ("dl",)),
+    "dd": (("dt", "dd"), ("dl",)),
+    "option": (("option",), ("select", "optgroup")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+}
 
 
 class _Done(Exception):
@@ -54,22 +71,78 @@ class _TableReader(HTMLParser):
         self.rows: list[tuple[str, list]] = []
         self.row: list | None = None
         self.cell: list | None = None
-        self.hidden: list[str] = []  # open elements from a hidden one inwards
+        self.open: list[str] = []  # elements without their end tag so far, from the outermost inwards
+        # the page, then each open element of _SCOPES: its tag, and the elements open directly in it
+        self.scopes: list[tuple[str, Counter]] = [("", Counter())]
+        self.tables = 0  # open tables, hidden ones included
+        self.hidden: int | None = None  # place in ``open`` of the outermost hidden element
+
+    # -- open elements: where a ``display:none`` subtree ends ---------------
+    def _push(self, tag):
+        self.open.append(tag)
+        self.scopes[-1][1][tag] += 1
+        if tag in _SCOPES:
+            self.scopes.append((tag, Counter()))
+            self.tables += tag == "table"
+
+    def _pop(self):
+        tag = self.open.pop()
+        if tag in _SCOPES:
+            self.scopes.pop()
+            self.tables -= tag == "table"
+        self.scopes[-1][1][tag] -= 1
+        if self.hidden is not None and self.hidden >= len(self.open):
+            self.hidden = None
+
+    def _pop_above(self, *tags):
+        """End all that is open inside the innermost of ``tags``."""
+        while self.open[-1] not in tags:
+            self._pop()
 
     def _hide(self, tag, attrs) -> bool:
-        """Whether the element lies in (or begins) a ``display:none`` subtree. A
-        hidden element that a row, cell or section may close by implication ends there."""
-        if self.hidden:
-            closes = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr")}.get(tag)
-            if tag in ("thead", "tbody", "tfoot"):
-                closes = ("td", "th", "tr", "thead", "tbody", "tfoot")
-            if closes and self.hidden[0] in closes and "table" not in self.hidden:
-                self.hidden.clear()
-        if self.hidden or _HIDDEN.search(dict(attrs).get("style") or ""):
-            if tag not in _VOID:
-                self.hidden.append(tag)
-            return True
-        return False
+        """Whether the element lies in (or begins) a ``display:none`` subtree. Its start
+        tag first ends what it closes by implication: a cell, row or section ends all
+        that is open at the depth of its table, whatever lacks its end tag there."""
+        held = self.scopes[-1][1]
+        if tag in _STRUCTURE:
+            if not self.tables:
+                return self.hidden is not None
+            self._pop_above("table", *(() if tag in _SECTIONS else _SECTIONS if tag == "tr" else (*_SECTIONS, "tr")))
+        elif tag in _ENDS_P and held["p"] > 0:
+            self._pop_above("p")
+            self._pop()
+        ends, within = _SIBLINGS.get(tag, ((), ()))
+        while any(held[t] > 0 for t in ends):
+            nearest = next(t for t in reversed(self.open) if t in ends or t in within)
+            if nearest in within:
+                break
+            self._pop_above(nearest)
+            self._pop()
+        begins = self.hidden is None and _HIDDEN.search(dict(attrs).get("style") or "") is not None
+        if tag not in _VOID:
+            if begins:
+                self.hidden = len(self.open)
+            self._push(tag)
+        return begins or self.hidden is not None
+
+    def _close(self, tag) -> bool:
+        """End the element with all left open inside it; whether it was visible."""
+        scope, held = self.scopes[-1]
+        if tag in ("td", "th"):
+            found = scope if scope in ("td", "th") else None
+        elif tag in _STRUCTURE or tag == "table":
+            if not self.tables:
+                return self.hidden is None
+            self._pop_above("table", *(() if tag == "table" else _SECTIONS if tag in _SECTIONS else (*_SECTIONS, "tr")))
+            found = tag if self.open[-1] == tag else None
+        else:
+            found = tag if held[tag] > 0 or tag == scope else None
+        if found:
+            self._pop_above(found)
+        seen = self.hidden is None
+        if found:
+            self._pop()
+        return seen
 
     # -- structure ---------------------------------------------------------
     def _end_cell(self):
@@ -87,7 +160,7 @@ class _TableReader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if self._hide(tag, attrs):
-            if len(self.hidden) == 1 and self.inside and self.depth == 1:  # what it closes, though unseen itself
+            if self.hidden == len(self.open) - 1 and self.inside and self.depth == 1:  # what it closes, though unseen itself
                 if tag in ("td", "th"):
                     self._end_cell()
                 elif tag in ("tr", "thead", "tbody", "tfoot"):
@@ -115,16 +188,8 @@ class _TableReader(HTMLParser):
             self.cell = [[], tag == "th", _span(a.get("rowspan")), _span(a.get("colspan"))]
 
     def handle_endtag(self, tag):
-        if self.hidden:
-            if tag in self.hidden:
-                at = len(self.hidden) - 1 - self.hidden[::-1].index(tag)
-                del self.hidden[at:]
-                return
-            outer = {"tr": ("td", "th"), "thead": ("td", "th", "tr"), "tbody": ("td", "th", "tr"), "tfoot": ("td", "th", "tr"),
-                     "table": ("td", "th", "tr", "thead", "tbody", "tfoot")}.get(tag, ())
-            if self.hidden[0] not in outer:
-                return
-            self.hidden.clear()  # closed by the end of what is around it
+        if not self._close(tag):
+            return
         if tag == "table" and self.depth > 0:
             self.depth -= 1
             if self.depth == 0 and self.inside:
@@ -142,7 +207,7 @@ class _TableReader(HTMLParser):
             self.section = "body"
 
     def handle_data(self, data):
-        if self.inside and self.cell is not None and not self.hidden:
+        if self.inside and self.cell is not None and self.hidden is None:
             self.cell[0].append(data)
 
 

@@ -124,6 +124,31 @@ def test_html_hidden_elements_are_left_out():
     assert table_rows('<table style="display:none"><tr><td>h</table><table><tr><td>v</table>') == [(0, ["v"])]
 
 
+@pytest.mark.parametrize(
+    "hidden", ["<p {}>x", "<li {}>x", "<option {}>x", "<span {}>x", "<div {}>x", "<div {}><b>x", "<p {}>x</b>", "<ul {}><li>x", "<table {}><tr><td>x</table>"]
+)
+@pytest.mark.parametrize("ends", ["</td>", "", "</td></tr>", "</tr>"])
+def test_html_unclosed_hidden_elements_end_with_their_cell(hidden, ends):
+    part = hidden.format('style="display:none"')
+    row = "" if "tr" in ends else "<td>b"
+    want = ["a"] if "tr" in ends else ["a", "b"]
+    html = f"<table><tr><td>a{part}{ends}{row}<tr><td>c</td></tr><tbody><tr><td>d{part}</table><table><tr><td>e</table>"
+    assert table_rows(html) == [(0, want), (1, ["c"]), (2, ["d"])]
+    assert table_rows(html, 1) == [(0, ["e"])]
+    # in a table inside a cell, and before the end tag of a visible element around it
+    inner = f"<table><tr><td>a<table><tr><td>n{part}</td><td>m</table>b<div>c{part}</div>d</td><td>e</table>"
+    assert table_rows(inner) == [(0, ["anmbcd", "e"])]
+
+
+def test_html_hidden_elements_end_at_their_siblings():
+    h = 'style="display:none"'
+    html = f"<p {h}>x<table><caption {h}>t<colgroup {h}><col><tr><td>a<p {h}>x<p>b<ul><li {h}>x<li>c</ul><select><option {h}>x<option>d</select><td>e</table>"
+    assert table_rows(html) == [(0, ["abcd", "e"])]
+    # what is inside a hidden element stays hidden, tables included
+    html = f"<table><tr><td>a<div {h}><table><tr><td>x</td></tr></table>y<p>z</div>b</td></tr><tbody {h}><tr><td>n</td></tr></tbody><tr><td>c</table>"
+    assert table_rows(html) == [(0, ["ab"]), (1, ["c"])]
+
+
 def test_html_spans_are_never_cut():
     assert [len(c) for _, c in table_rows('<table><tr><td colspan="3000">a</table>')] == [3000]
     with pytest.raises(ValueError, match="page begins with"):
