@@ -4,7 +4,8 @@ Seeds are what the base patterns find (e-mail, IP, card and phone numbers, each
 checked). The words around the seeds are lexical patterns; patterns and instances
 form a graph, on which Spark scores both in turn: a pattern by the share of its
 instances known to be of one kind, an instance by the patterns that surround it.
-Patterns of high confidence then bring in identifiers that no base pattern has.
+Patterns of high confidence then bring in identifiers that no base pattern has; these
+count in the next round like seeds, and the words around them are patterns too.
 """
 
 from __future__ import annotations
@@ -32,6 +33,10 @@ _NEEDS = {"email": "@", "phone": "+"}
 #: Code points of context kept on either side of an instance.
 CONTEXT = 64
 
+#: Punctuation around a token is context, as it is around a seed.
+_LEAD = r"^[^\p{L}\p{N}_+(:]*+(?:\((?!\+?[0-9]++\))|:(?!:))?[^\p{L}\p{N}_+(:]*+"
+_TRAIL = r"(?<=[\p{L}\p{N}_])[^\p{L}\p{N}_]++$"
+
 
 def _digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
@@ -74,9 +79,10 @@ def could_be(kind: str, value: Column) -> Column:
 
 def scan(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with ``found``: for every kind, its raw matches in order with the
-    length of the gap before each, and the context on both sides."""
+    length of the gap before each, and the text on both sides."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     has_digit = t.rlike("[0-9@]")
+    width = F.lit(CONTEXT)
     out = docs
     for kind, regex in _FIND.items():
         guard = has_digit & t.contains(_NEEDS[kind]) if kind in _NEEDS else has_digit
@@ -85,23 +91,49 @@ def scan(docs: DataFrame, text: str) -> DataFrame:
             f"_hits_{kind}": F.when(guard, F.regexp_extract_all(t, F.lit(regex), F.lit(0))).otherwise(none),
             f"_gaps_{kind}": F.when(guard, F.split(t, regex, -1)).otherwise(none),
         })
+    for kind in _FIND:
+        hits, gaps = F.col(f"_hits_{kind}"), F.col(f"_gaps_{kind}")
+        out = out.withColumns({
+            # gaps and matches in turn are the text: what a match and the gap on either side add to a context
+            f"_ahead_{kind}": F.transform(hits, lambda v, i: F.right(F.concat(F.get(gaps, i), v), width)),  # noqa: B023
+            f"_behind_{kind}": F.transform(hits, lambda v, i: F.left(F.concat(v, F.get(gaps, i + 1)), width)),  # noqa: B023
+        })
+
+    # a match and its gap have two code points at least, so that so many of them fill a context
+    most = CONTEXT // 2
+    places = lambda a, b: F.sequence(F.lit(a), F.lit(b))
 
     def matches(kind: str) -> Column:
-        gaps = F.col(f"_gaps_{kind}")
-        return F.transform(
-            F.col(f"_hits_{kind}"),
-            lambda v, i: F.struct(
+        gaps, ahead, behind = (F.col(f"_{x}_{kind}") for x in ("gaps", "ahead", "behind"))
+
+        def one(v: Column, i: Column) -> Column:
+            # by place: a slice would copy the whole array for every match
+            left = F.concat(F.array_join(F.transform(places(-most, -1), lambda d: F.get(ahead, i + d)), ""), F.get(gaps, i))
+            right = F.concat(F.get(gaps, i + 1), F.array_join(F.transform(places(1, most), lambda d: F.get(behind, i + d)), ""))
+            lead, tail = F.lit(""), F.lit("")
+            value = v
+            if kind == "token":
+                rest = F.regexp_replace(v, _LEAD, "")
+                lead = F.when(rest == "", "").otherwise(F.left(v, F.length(v) - F.length(rest)))
+                rest = F.when(rest == "", v).otherwise(rest)
+                value = F.regexp_replace(rest, _TRAIL, "")
+                tail = F.right(rest, F.length(rest) - F.length(value))
+            return F.struct(
                 F.lit(kind).alias("kind"),
                 i.alias("nth"),
-                F.length(F.get(gaps, i)).cast("long").alias("gap"),
-                v.alias("value"),
-                F.right(F.get(gaps, i), F.lit(CONTEXT)).alias("left"),
-                F.left(F.get(gaps, i + 1), F.lit(CONTEXT)).alias("right"),
-            ),
-        )
+                (F.length(F.get(gaps, i)) + F.length(lead)).cast("long").alias("gap"),
+                value.alias("value"),
+                F.length(tail).cast("long").alias("tail"),
+                F.right(F.concat(left, lead), width).alias("left"),
+                F.left(F.concat(tail, right), width).alias("right"),
+            )
+
+        return F.transform(F.col(f"_hits_{kind}"), one)
 
     found = [matches(kind) for kind in _FIND]
-    return out.withColumn("found", F.concat(*found)).drop(*[f"_{x}_{k}" for k in _FIND for x in ("hits", "gaps")])
+    return out.withColumn("found", F.concat(*found)).drop(
+        *[f"_{x}_{k}" for k in _FIND for x in ("hits", "gaps", "ahead", "behind")]
+    )
 
 
 def _instances(scanned: DataFrame) -> DataFrame:
@@ -110,7 +142,7 @@ def _instances(scanned: DataFrame) -> DataFrame:
     hits = scanned.select("rid", F.explode("found").alias("x")).select("rid", "x.*")
     order = Window.partitionBy("rid", "kind").orderBy("nth")
     length = F.length("value").cast("long")
-    end = F.sum(F.col("gap") + length).over(order)
+    end = F.sum(F.col("gap") + length + F.col("tail")).over(order) - F.col("tail")
     hits = hits.withColumn("end", end).withColumn("start", F.col("end") - length)
     hits = hits.where((F.col("kind") == "token") | is_valid(F.col("kind"), F.col("value")))
     hits = hits.withColumn("base", F.col("kind") != "token")
@@ -121,7 +153,7 @@ def _instances(scanned: DataFrame) -> DataFrame:
     return (
         hits.withColumns({"before": before, "after": after})
         .where("base OR (coalesce(before <= start, true) AND coalesce(after >= end, true))")
-        .drop("before", "after", "nth", "gap")
+        .drop("before", "after", "nth", "gap", "tail")
     )
 
 
@@ -147,27 +179,30 @@ def bootstrap(
 
     Edges are distinct (instance, pattern) pairs, so one frequent value or
     pattern weighs once per partner; sums per pattern are combined before the
-    shuffle. A pattern needs ``min_support`` distinct instances of its kind and
-    counts from a confidence of ``min_pattern`` on; a token is taken if the
-    chance that all its patterns are wrong is at most 1 - ``min_instance``.
+    shuffle. A pattern needs ``min_support`` distinct instances of its kind, seeds or
+    tokens taken in the rounds before, and counts from a confidence of ``min_pattern``
+    on; a token is taken if the chance that all its patterns are wrong is at most
+    1 - ``min_instance``.
     """
     edges = instances.select("kind", "value", F.explode(_patterns()).alias("pattern")).distinct()
-    # patterns without a seed can never gain a score: only those with one stay
-    seeded = edges.where("kind <> 'token'").select("pattern").groupBy("pattern").count().select("pattern")
-    edges = written(spark, edges.join(seeded, "pattern"), "pattern_edges")
-    known = edges.where("kind <> 'token'").select(F.col("kind").alias("as"), "value", "kind", F.lit(1.0).alias("score")).distinct()
-    tokens = edges.where("kind = 'token'").withColumn(
-        "as", F.explode(F.array(*[F.when(could_be(k, F.col("value")), F.lit(k)) for k in KINDS]))
-    ).where("`as` IS NOT NULL")
-    total = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    shapes = F.array_compact(F.array(*[F.when(could_be(k, F.col("value")), F.lit(k)) for k in KINDS]))
+    edges = written(spark, edges.withColumn("as", F.when(F.col("kind") == "token", shapes).otherwise(F.array("kind"))), "pattern_edges")
+    # a pattern's support and confidence are at most those it has if all that could be of a kind are
+    able = F.sum((F.size("as") > 0).cast("int"))
+    total = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), able.alias("able"))
+    total = total.where((F.col("able") >= min_support) & (F.col("able") / F.col("n") >= min_pattern)).drop("able")
+    edges = edges.where(F.size("as") > 0).join(total, "pattern")
+    edges = written(spark, edges.select("pattern", "n", "kind", "value", F.explode("as").alias("as")), "able_edges")
+    known = edges.where("kind <> 'token'").select("as", "value", "kind", F.lit(1.0).alias("score")).distinct()
+    tokens = edges.where("kind = 'token'")
     scores = None
     for _ in range(rounds):
         have = known if scores is None else known.unionByName(scores.select("as", "value", F.lit("token").alias("kind"), "score"))
-        held = edges.join(have, ["kind", "value"]).groupBy("pattern", "as").agg(
-            F.sum("score").alias("good"), F.sum((F.col("kind") != "token").cast("int")).alias("support")
-        )
+        taken = (F.col("kind") != "token") | (F.col("score") >= min_instance)
         rated = (
-            held.join(total, "pattern")
+            edges.join(have, ["kind", "value", "as"])
+            .groupBy("pattern", "as", "n")
+            .agg(F.sum("score").alias("good"), F.sum(taken.cast("int")).alias("support"))
             .withColumn("conf", F.col("good") / F.col("n"))
             .where((F.col("support") >= min_support) & (F.col("conf") >= min_pattern))
             .select("pattern", "as", F.least("conf", F.lit(0.999)).alias("conf"))

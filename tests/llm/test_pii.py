@@ -83,3 +83,37 @@ def test_redaction_of_overlaps(spark):
     got = {r.doc_id: r.t for r in out}
     assert got[1] == "[EMAIL],[EMAIL]" and got[2] is None and got[3] == "none"
     assert got[0] in ("é +[CARD] b", "é [PHONE] b") and all(len(list(g)) for _, g in groupby(got))
+
+
+def _added(spark, docs):
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    rows = find_personal_data(spark, df).select("doc_id", "text", "spans").collect()
+    return {(r.doc_id, s.kind, r.text[s.start : s.end]) for r in rows for s in r.spans if not s.base}
+
+
+def test_contexts_are_those_of_the_text(spark):
+    """Neighbouring tokens, and punctuation after or before an instance."""
+    docs = [f"n{i} order {i} please call +1 555 123 {i:04d}, ok" for i in range(9)]
+    docs += [f"w{i} he wrote ({i}) to \"me{i}@site.org\". Bye" for i in range(9)]
+    docs += ["id 42 call 555-987-6543, ok", "k9 please call 555-987-6544", "c3po wrote (x1) to \"someone@intranet\". Bye", "he wrote 2 555-987-6545. Bye"]
+    assert _added(spark, docs) == {(18, "phone", "555-987-6543"), (19, "phone", "555-987-6544"), (20, "email", "someone@intranet")}
+
+
+def test_contexts_equal_substrings(spark):
+    from sentinela.llm.pii import CONTEXT, _instances, scan
+
+    docs = [(i, t) for i, t in enumerate(_docs()) if t and len(t) < 5000]
+    docs += [(1000, "7 " * 300), (1001, "a@b.c_" * 60), (1002, "x " * 50 + "(u@v), ::1 (555)123 @ 9. +1(2+1(2+1(2 é" + " y" * 50)]
+    text = dict(docs)
+    for r in _instances(scan(spark.createDataFrame(docs, "rid long, text string"), "text")).collect():
+        t = text[r.rid]
+        assert r.value == t[r.start : r.end]
+        assert r.left == t[max(0, r.start - CONTEXT) : r.start] and r.right == t[r.end : r.end + CONTEXT]
+
+
+def test_taken_instances_bring_patterns(spark):
+    seeds = [f"aa call +1 555 123 {i:04d} now" for i in range(60)]
+    bridge = [f"aa call 555-987-{i:04d} now" for i in range(5)] + [f"zz dial 555-987-{i:04d} soon" for i in range(5)]
+    far = ["zz dial 555-111-2222 soon"]
+    got = _added(spark, seeds + bridge + far)
+    assert {v for _, _, v in got} == {f"555-987-{i:04d}" for i in range(5)} | {"555-111-2222"}
