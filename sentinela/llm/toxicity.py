@@ -23,7 +23,8 @@ from sentinela.llm.common import add_columns, written
 MAX_POSITIVE, MAX_UNLABELLED, MAX_WORDS = 4_000, 8_000, 2_048
 
 #: A word is a feature if its share among toxic texts is above that among the unlabelled
-#: by so many standard errors, and by this factor (1 / prior for a word of toxic texts alone).
+#: by so many standard errors, and by this factor above that among the texts that are not
+#: toxic (the unlabelled without the prior's share of toxic ones).
 MIN_Z, MIN_LIFT = 5.0, 4.0
 
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -140,6 +141,7 @@ def fit_toxicity(
     if not n_pos or not n_unl:
         return ToxicityModel(prior=prior)
     share_pos, share_unl = F.sum("p") / n_pos, F.sum(1 - F.col("p")) / n_unl
+    share_neg = F.greatest((share_unl - prior * share_pos) / (1.0 - prior), F.lit(0.0))
     both = F.count(F.lit(1)) / float(n_pos + n_unl)  # two-proportion test: the spread if the shares were equal
     noise = F.sqrt(both * (1.0 - both) * (1.0 / n_pos + 1.0 / n_unl))
     ranked = (
@@ -147,9 +149,9 @@ def fit_toxicity(
         .groupBy("word")
         .agg(
             F.try_divide(share_pos - share_unl, noise).alias("z"),
-            share_pos.alias("pos"), share_unl.alias("unl"), F.sum("p").alias("n"),
+            share_pos.alias("pos"), share_neg.alias("neg"), F.sum("p").alias("n"),
         )
-        .where((F.col("z") >= min_z) & (F.col("n") >= min_texts) & (F.col("pos") >= min_lift * F.col("unl")))
+        .where((F.col("z") >= min_z) & (F.col("n") >= min_texts) & (F.col("pos") >= min_lift * F.col("neg")))
         .orderBy(F.desc("z"), "word")
         .limit(max_words)
     )

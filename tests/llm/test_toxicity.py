@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sentinela.llm.toxicity import ToxicityModel, class_prior, fit_pu, held_out, pu_risk, score_texts, toxicity_scores
@@ -63,3 +64,21 @@ def test_edges(spark):
     model = ToxicityModel({"vile": 6.0}, -3.0)
     got = {r.doc_id: r.score for r in score_texts(spark, docs, model).collect()}
     assert got[3] > 0.9 and got[None] > 0.9 and got[1] == got[2] < 0.1
+
+
+@pytest.mark.parametrize("share", [0.3, 0.5])
+def test_large_toxic_share(spark, share):
+    """Words of toxic texts are features whatever the share of these is."""
+    rng = random.Random(5)
+    vocab = [a + b for a in "abcdefghij" for b in ("la", "mo", "ri", "tu")]
+    rows = []
+    for i in range(1000):
+        toxic = rng.random() < share
+        words = rng.choices(vocab, k=rng.randint(20, 60))
+        for _ in range(rng.randint(1, 3) if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(["Vile!", "nasty***", "rotten"]))
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows if i % 2], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity_scores(spark, docs, labels).collect()}
+    assert sum((got[i] >= 0.3) != bool(x) for i, _, x in rows) <= 20
