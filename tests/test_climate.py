@@ -176,6 +176,17 @@ def test_damaged_archive_is_reported_not_fatal(spark, scratch):
     assert [(r.archive, r.member) for r in bad] == [("broken.zip", None)] and "unreadable archive" in bad[0].error
 
 
+@pytest.mark.parametrize("content", [bytearray(), None])
+def test_empty_archive_stops_the_run(spark, scratch, content):
+    name = "INMET_SE_SP_A713_SOROCABA_01-01-2024_A_31-03-2024.CSV"
+    good = zipped({f"2024/{name}": station_file(GOLDEN)})
+    archives = spark.createDataFrame([("2024.zip", bytearray(good)), ("cut.zip", content)], "path string, content binary")
+    expected = expected_station_files(spark, as_of="2024-04-02", start="2024-01-01", extra=())
+    with pytest.raises(ValueError, match="cut.zip.*unreadable archive: empty"):
+        run_climate(spark, archives, expected, scratch)
+    assert not os.path.exists(f"{scratch.removeprefix('file:')}/0. land")  # nothing was replaced
+
+
 def test_a_window_expected_twice_is_read_once(spark):
     names = [r.name for r in expected_station_files(spark, "2024-07-10", stations=("SE_SP_A713_IPERO",)).collect()]
     assert len(names) == len(set(names))
