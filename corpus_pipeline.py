@@ -34,9 +34,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by ``benchmark``."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    given = [c for c in docs.columns if c.lower() in ("n_words", "n_hit", "items", "spans")]
+    given = [c for c in docs.columns if c.lower() in ("n_words", "n_hit", "items", "hits", "spans")]
     safe = docs.select(*[F.col(c).alias(f"_in_{c}" if c in given else c) for c in docs.columns])
-    found = find_contamination(spark, safe, items).where(~is_contaminated())
+    found = find_contamination(spark, safe, items, unnamed=True).where(~is_contaminated())
     return found.select(*[F.col(f"_in_{c}" if c in given else c).alias(c) for c in docs.columns])
 
 

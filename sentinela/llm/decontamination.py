@@ -115,6 +115,7 @@ def find_contamination(
     item_text: str = "text",
     keep: list[str] | None = None,
     max_pattern_bytes: int = MAX_PATTERN_BYTES,
+    unnamed: bool = False,
 ) -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit`` (words inside an occurrence), ``items``
     (ids as strings, sorted, of items with an occurring window) and ``spans``
@@ -124,8 +125,10 @@ def find_contamination(
     each group is one automaton, broadcast after its size is known, and adds to
     the hits of the groups before it: a benchmark of any size needs no shuffle
     of documents. Null and empty texts have no words and no hits, null and empty
-    items no windows; repeated items and windows count once per item id; with
-    an empty benchmark nothing is hit. Input columns named like an output
+    items no windows; items with a null id are left out, or with ``unnamed`` their
+    windows hit words but name no item;
+    repeated items and windows count once per item id; with an empty benchmark
+    nothing is hit. Input columns named like an output
     column are replaced.
     """
     import json
@@ -135,7 +138,7 @@ def find_contamination(
 
         for b in batches:
             ids, texts = (b.column(i).to_pylist() for i in (0, 1))
-            rows = [(w, i) for i, t in zip(ids, texts) for w in windows(t, window) if i is not None]
+            rows = [(w, i) for i, t in zip(ids, texts) for w in windows(t, window) if unnamed or i is not None]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([w for w, _ in rows], pa.binary()), pa.array([i for _, i in rows], pa.string())], ["w", "item"]
             )
@@ -144,7 +147,7 @@ def find_contamination(
         F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").alias("t")
     ).mapInArrow(cut, "w binary, item string")
     grouped = pairs.groupBy("w").agg(F.sort_array(F.collect_set("item")).alias("items"))
-    size = grouped.agg(F.sum(F.length("w") + 16 * F.size("items"))).first()[0] or 0
+    size = grouped.agg(F.sum(F.length("w") + 16 * F.greatest(F.size("items"), F.lit(1)))).first()[0] or 0
     groups = max(1, -(-int(size) // max_pattern_bytes))
     folded = docs if keep is None else docs.select(*dict.fromkeys([*keep, text]))
     returned = list(folded.columns if keep is None else keep)

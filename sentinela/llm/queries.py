@@ -75,7 +75,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(
-        spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), keep=["doc_id"]
+        spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), keep=["doc_id"], unnamed=True
     )
     return found.select(
         "doc_id",

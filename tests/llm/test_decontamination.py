@@ -3,6 +3,8 @@
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from sentinela.llm.decontamination import find_contamination, windows
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -57,3 +59,16 @@ def test_empty_tables(spark):
     assert find_contamination(spark, d, q.limit(0)).first().n_hit == 0
     assert find_contamination(spark, d.limit(0), q).count() == 0
     assert windows("a b c", 2) == {b"a b", b"b c"} and windows(None, 2) == set()
+
+
+def test_items_without_id_hit_in_query_and_stage(spark, scratch):
+    import corpus_pipeline
+    from sentinela.llm.queries import op7_benchmark_decontamination
+
+    docs = spark.createDataFrame([(1, "one two three"), (2, "a b c")], "doc_id long, text string").withColumn("hits", F.lit("x"))
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(None, "two three"), (5, "z")], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.contaminated) for r in op7_benchmark_decontamination(spark, scratch).collect()}
+    assert got == {1: (2, 0, True), 2: (0, 0, False)}
+    kept = corpus_pipeline.drop_contaminated(spark, docs, scratch)
+    assert kept.columns == docs.columns and [(r.doc_id, r.hits) for r in kept.collect()] == [(2, "x")]
