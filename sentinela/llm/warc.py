@@ -4,7 +4,8 @@ Archives are files of concatenated gzip members, written through Spark's own
 writer to any store. The reader takes members and plain records alike. After a
 failed check (member, version line, header, length, digest) it searches for the
 next member or version line that parses, goes on from there, and reports the
-bytes in between as a quarantined gap.
+bytes in between as a quarantined gap. Members of several records are searched in
+the same way inside, up to where they are cut or damaged.
 """
 
 from __future__ import annotations
@@ -128,19 +129,26 @@ class _Bad(Exception):
     pass
 
 
-def _member(data: memoryview, at: int) -> tuple[bytes, int]:
-    """The gzip member at ``at``: content, end."""
+def _member(data: memoryview, at: int) -> tuple[bytes, int, str]:
+    """The gzip member at ``at``: content, end, fault. With a fault (not empty), the
+    content is what was inflated before it, and ``end`` the place where it showed."""
     inflate, out, pos = zlib.decompressobj(31), [], at
     while not inflate.eof:
         piece = data[pos : pos + 65536]
         if not piece:
-            raise _Bad("truncated member")
+            return b"".join(out), pos, "truncated member"
+        before = inflate.copy()
         try:
             out.append(inflate.decompress(piece))
         except zlib.error as e:
-            raise _Bad(f"member: {e}") from None
+            for i in range(len(piece)):  # a failing call gives nothing: byte by byte up to the fault
+                try:
+                    out.append(before.decompress(piece[i : i + 1]))
+                except zlib.error:
+                    return b"".join(out), pos + i, f"member: {e}"
+            return b"".join(out), pos + len(piece), f"member: {e}"
         pos += len(piece)
-    return b"".join(out), pos - len(inflate.unused_data)
+    return b"".join(out), pos - len(inflate.unused_data), ""
 
 
 def _plain(data, at: int) -> tuple[dict, int]:
@@ -189,15 +197,29 @@ def _plain(data, at: int) -> tuple[dict, int]:
     }, end + 4
 
 
-def _records(content: bytes) -> list[dict]:
-    """All records of a member; any fault makes the member invalid."""
-    out, at = [], 0
+_VERSION = re.compile(rb"WARC/1\.[01]\r\n")
+
+
+def _records(content: bytes) -> tuple[list[dict], list[tuple[int, int, str]]]:
+    """The records of a member's content, and its gaps (from, to, reason) between them."""
+    out, gaps, at, bad_from, reason = [], [], 0, None, ""
     while at < len(content):
-        record, at = _plain(content, at)
+        try:
+            record, end = _plain(content, at)
+        except _Bad as e:
+            if bad_from is None:
+                bad_from, reason = at, str(e)
+            found = _VERSION.search(content, at + 1)
+            at = found.start() if found else len(content)
+            continue
+        if bad_from is not None:
+            gaps.append((bad_from, at, reason))
+            bad_from = None
         out.append(record)
-    if not out:
-        raise _Bad("empty member")
-    return out
+        at = end
+    if bad_from is not None:
+        gaps.append((bad_from, len(content), reason))
+    return out, gaps
 
 
 _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
@@ -205,17 +227,40 @@ _START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Records and gaps of one archive in order. Every byte belongs to a record,
-    to zero padding, or to a gap (``reason`` set) that is quarantined."""
+    to zero padding, or to a gap (``reason`` set) that is quarantined.
+
+    A member of several records is searched inside: its good records have the offset
+    and length of the member, or, if it is truncated or damaged, of the gap that it
+    leaves, and so do its inner gaps. What a fault leaves of a member of one record
+    is not taken, as that record's own checksum or end is missing.
+    """
     view, at, bad_from, reason = memoryview(data), 0, None, ""
     padding = re.compile(rb"\0+")
+    inside: list[dict] = []  # what damaged members of the open gap gave
+    again: list[dict] = []  # the same, as long as the search may meet them uncompressed
+    again_to = 0
+
+    def gap(end: int) -> Iterator[dict]:
+        for r in inside:
+            yield {"offset": bad_from, "length": end - bad_from, "reason": None, **r}
+        yield {"offset": bad_from, "length": end - bad_from, "reason": reason}
+
     while at < len(data):
         if bad_from is None and (pad := padding.match(data, at)):
             at = pad.end()
             continue
+        gaps = []
         try:
             if data[at : at + 3] == b"\x1f\x8b\x08":
-                content, end = _member(view, at)
-                records = _records(content)
+                content, end, fault = _member(view, at)
+                records, gaps = _records(content)
+                if fault:
+                    if len(records) + len(gaps) > 1:
+                        fresh = [r for r in records if r not in again]
+                        inside, again, again_to = inside + fresh, again + fresh, max(again_to, end)
+                    raise _Bad(fault)
+                if not records:
+                    raise _Bad(gaps[0][2] if gaps else "empty member")
             else:
                 record, end = _plain(data, at)
                 records = [record]
@@ -226,13 +271,18 @@ def salvage(data: bytes) -> Iterator[dict]:
             at = found.start() if found else len(data)
             continue
         if bad_from is not None:
-            yield {"offset": bad_from, "length": at - bad_from, "reason": reason}
-            bad_from = None
+            yield from gap(at)
+            bad_from, inside = None, []
         for r in records:
+            if at < again_to and r in again:  # in a stored block of a damaged member: given with its gap
+                again.remove(r)
+                continue
             yield {"offset": at, "length": end - at, "reason": None, **r}
+        for a, b, why in gaps:
+            yield {"offset": at, "length": end - at, "reason": f"{why} (bytes {a} to {b} of the member's content)"}
         at = end
     if bad_from is not None:
-        yield {"offset": bad_from, "length": len(data) - bad_from, "reason": reason}
+        yield from gap(len(data))
 
 
 _READ = pa.schema(

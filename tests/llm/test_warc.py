@@ -99,3 +99,26 @@ def test_gaps_are_logged_by_the_reader(spark, scratch):
     bad.write.mode("overwrite").option("lineSep", "\0").text(path)
     rows = read_archives(spark, path, with_payload=False).collect()
     assert [r.reason is None for r in sorted(rows, key=lambda r: r.offset)] == [False, True, True, True, True]
+
+
+def test_salvage_inside_members_of_many_records():
+    rng = random.Random(3)
+    texts = [f"page {i} " + "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9000))) for i in range(40)]
+    plain = [record_bytes(i, "u", t.encode()) for i, t in enumerate(texts)]
+    assert _texts(gzip_member(b"".join(plain))) == (texts, [])
+    for fault in (plain[7].replace(b"page 7", b"PAGE 7"), plain[7][:-30], plain[7].replace(b"WARC/1.1", b"WORC/1.1")):
+        whole = gzip_member(b"".join([*plain[:7], fault, *plain[8:]]))
+        got, gaps = _texts(whole)
+        assert got == texts[:7] + texts[8:] and gaps == [(0, len(whole))]
+    for level in (0, 4):  # stored blocks show their records to the outer search: none comes twice
+        whole = gzip_member(b"".join(plain), level)
+        after = gzip_member(record_bytes(99, "u", b"after"))
+        got, gaps = _texts(whole[:-5])  # the checksum is cut off
+        assert got == texts and len(gaps) >= 1
+        got, gaps = _texts(whole[: len(whole) // 2] + after)
+        assert got[-1] == "after" and got[:-1] == texts[: len(got) - 1] and len(got) > 15 and gaps
+        bad = bytearray(whole)
+        bad[len(bad) * 3 // 4] ^= 0x55
+        got, gaps = _texts(bytes(bad) + after)
+        assert got[-1] == "after" and got[:25] == texts[:25] and len(set(got)) == len(got) and gaps
+        assert set(got) <= {*texts, "after"}
