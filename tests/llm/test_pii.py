@@ -100,12 +100,14 @@ def test_contexts_are_those_of_the_text(spark):
 
 
 def test_contexts_equal_substrings(spark):
+    from sentinela.llm.common import written
     from sentinela.llm.pii import CONTEXT, _instances, scan
 
     docs = [(i, t) for i, t in enumerate(_docs()) if t and len(t) < 5000]
     docs += [(1000, "7 " * 300), (1001, "a@b.c_" * 60), (1002, "x " * 50 + "(u@v), ::1 (555)123 @ 9. +1(2+1(2+1(2 é" + " y" * 50)]
     text = dict(docs)
-    for r in _instances(scan(spark.createDataFrame(docs, "rid long, text string"), "text")).collect():
+    scanned = scan(spark.createDataFrame(docs, "rid long, text string"), "text").select("rid", "found")
+    for r in _instances(written(spark, scanned, "scanned")).collect():
         t = text[r.rid]
         assert r.value == t[r.start : r.end]
         assert r.left == t[max(0, r.start - CONTEXT) : r.start] and r.right == t[r.end : r.end + CONTEXT]
