@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sentinela.llm.common import written
 from sentinela.llm.decontamination import find_contamination, is_contaminated
+from sentinela.llm.filter_audit import AUDIT_SQL, audit
 from sentinela.llm.html_text import main_text
 from sentinela.llm.ngram_quality import judge, perplexities
 from sentinela.llm.packing import pack_documents
@@ -17,6 +18,7 @@ from sentinela.llm.simhash import hex_fingerprint, near_duplicate_components
 from sentinela.llm.toxicity import held_out, toxicity_scores
 from sentinela.llm.vptree import nearest_neighbours
 from sentinela.llm.warc import page_number, read_archives, write_archives
+from sentinela.llm.winnowing import neighbour_fingerprints
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 2048
@@ -112,6 +114,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+def op13_winnowing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_fingerprints(spark, _read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -125,6 +135,8 @@ QUERIES = {
         op8_vantage_point_search,
         op9_pii_bootstrap,
         op10_simhash_near_dedup,
+        op12_filter_audit,
+        op13_winnowing_fingerprints,
     )
 }
 
@@ -159,4 +171,8 @@ SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(l), 0) A
 FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_warc_salvage": _WARC_SQL, "op7_benchmark_decontamination": _HITS_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_warc_salvage": _WARC_SQL,
+    "op7_benchmark_decontamination": _HITS_SQL,
+    "op12_filter_audit": AUDIT_SQL,
+}

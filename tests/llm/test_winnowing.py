@@ -1,0 +1,109 @@
+"""Winnowing: the definition, the match guarantee, neighbours against a loop."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sentinela.llm import winnowing
+from sentinela.llm.winnowing import Winnower, fingerprints, from_hex, likeness, neighbour_fingerprints, shared_passages, to_hex
+
+MASK = (1 << 64) - 1
+
+
+def _hash(codes):
+    x = 0
+    for c in codes:
+        x = (x * 0x9E3779B97F4A7C15 + c + 1) & MASK
+    x ^= x >> 32
+    return (x * 0xD6E8FEB86659FD93 & MASK) >> 32
+
+
+def _brute(text, k, w):
+    codes = [ord(c) for c in text]
+    if not codes:
+        return []
+    hs = [_hash(codes[i : i + k]) for i in range(max(len(codes) - k + 1, 1))]
+    out = []
+    for i in range(max(len(hs) - w + 1, 1)):
+        window = hs[i : i + w]
+        at = i + max(j for j, h in enumerate(window) if h == min(window))
+        if not out or out[-1][1] != at:
+            out.append((hs[at], at))
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text("ab é😀", max_size=120), st.integers(1, 9), st.integers(1, 12))
+def test_kept_hashes_by_definition(text, k, w):
+    h, p = Winnower(k, w).fingerprint(text)
+    assert list(zip(h.tolist(), p.tolist())) == _brute(text, k, w)
+    back = from_hex(to_hex(h, p))
+    assert (back[0] == h).all() and (back[1] == p).all()
+
+
+def test_pieces_of_long_texts_join(monkeypatch):
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcd ", k=5000)) + "z" * 800
+    whole = Winnower(5, 7).fingerprint(text)
+    monkeypatch.setattr(winnowing, "_CHUNK", 64)
+    parts = Winnower(5, 7).fingerprint(text)
+    assert all((a == b).all() for a, b in zip(whole, parts)) and list(zip(*map(np.ndarray.tolist, whole))) == _brute(text, 5, 7)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10**6), st.integers(0, 80), st.integers(0, 80))
+def test_every_long_match_is_found(seed, before, after):
+    rng = random.Random(seed)
+    word = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    k, w = 6, 9
+    passage = word(k + w - 1)
+    a, b = word(before) + passage + word(after), word(after) + passage + word(before)
+    assert any(i <= before and i + n >= before + len(passage) and j - i == after - before for i, j, n in shared_passages(a, b, k, w))
+
+
+def test_fingerprints_keep_columns(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, "short", "x"), (3, "short", "x"), (4, "lang " * 50_000, "x")], "doc_id long, text string, hashes string")
+    got = {r.doc_id: r for r in fingerprints(df).collect()}
+    assert got[1].hashes == got[2].hashes == [] and got[3].positions == [0] and fingerprints(df).count() == 5
+    assert list(zip(got[4].hashes, got[4].positions))[:2] == _brute("lang " * 40, 24, 64)[:2]
+
+
+def _order(rows):
+    xx = {r: i for i, r in enumerate(rows)}
+    return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), xx[r]))
+
+
+@pytest.mark.parametrize("task_bytes", [40, 1 << 20])
+def test_neighbours_equal_a_loop(spark, task_bytes):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("abc de", k=rng.choice([0, 1, 3, 50, 400]))) for _ in range(60)] + [None, "copy " * 30, "copy " * 30]
+    ids = [-(2**63), 2**63 - 1, *rng.sample(range(-(10**12), 10**12), len(texts) - 3)]
+    rows = list(zip([None, *ids], texts))
+    got = {r.doc_id: r for r in neighbour_fingerprints(spark, spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, task string, k0 int"), task_bytes=task_bytes).collect()}
+    ordered = _order(rows)
+    assert len(got) == len(rows)
+    make = Winnower().fingerprint
+    for n, (i, t) in enumerate(ordered):
+        t, after = t or "", ordered[(n + 1) % len(ordered)][1] or ""
+        half = len(t) // 2
+        changed = t[: len(t) - half] + after[:half]
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(changed.encode()).hexdigest())
+        assert r.fingerprint == to_hex(*make(t)) and r.edited_fingerprint == to_hex(*make(changed))
+        assert r.near_edited == likeness(make(t)[0], make(changed)[0]) and r.near_next == likeness(make(t)[0], make(after)[0])
+
+
+def test_neighbours_of_few_rows(spark):
+    schema = "doc_id long, text string"
+    assert neighbour_fingerprints(spark, spark.createDataFrame([], schema)).count() == 0
+    alone = neighbour_fingerprints(spark, spark.createDataFrame([(5, "abc def")], schema)).collect()
+    assert [(r.n_chars, r.near_next) for r in alone] == [(7, 1.0)]
+    assert alone[0].edited_sha256 == hashlib.sha256(b"abc abc").hexdigest()
+    # repeated rows and ids, and rows without an id, each give a row
+    rows = [(1, "a b"), (1, "a b"), (1, "c"), (None, "n"), (None, "n"), (None, None)]
+    got = neighbour_fingerprints(spark, spark.createDataFrame(rows, schema), task_bytes=1).collect()
+    assert sorted((r.doc_id is None, r.n_chars) for r in got) == [(False, 1), (False, 3), (False, 3), (True, 0), (True, 1), (True, 1)]
