@@ -44,7 +44,7 @@ SYMBOLS = "#$%&*|"
 SHARD_BYTES = 8 << 20
 SHARD_ROWS = 20_000
 #: Bytes of shard dictionaries that one bucket of the global dictionary aims at.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 4 << 20
 
 _UPPER = bytes(range(65, 91))
 _TAIL = bytes(range(0x80, 0xC0))  # UTF-8 continuation bytes: the others begin a code point
@@ -55,6 +55,29 @@ SHARD_SCHEMA = (
 )
 
 
+def pack(numbers: np.ndarray, ascending: bool = False) -> bytes:
+    """Whole numbers as compressed int32, after their count; runs of ``ascending`` ones as differences."""
+    raw = np.asarray(numbers, np.int32)
+    if ascending:
+        raw = np.diff(raw, prepend=np.int32(0))
+    return len(raw).to_bytes(8, "little") + pa.compress(raw.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(blob: bytes, ascending: bool = False) -> np.ndarray:
+    size = int.from_bytes(blob[:8], "little")
+    out = np.frombuffer(pa.decompress(blob[8:], 4 * size, codec="zstd", asbytes=True), np.int32)
+    return np.cumsum(out, dtype=np.int32) if ascending else out
+
+
+def _pack_words(words) -> bytes:
+    raw = b" ".join(words)  # a word holds no blank
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_words(blob: bytes) -> list[bytes]:
+    return pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True).split()
+
+
 class _Shard:
     """One block's documents as CSR rows over the block's own dictionary."""
 
@@ -69,8 +92,10 @@ class _Shard:
     def add(self, doc_id: int | None, part: str | None, text: bytes) -> None:
         counts = Counter(text.split())  # bytes split at blank and \x09-\x0D
         words = self.words
-        self.indices.append(np.fromiter((words.setdefault(w, len(words)) for w in counts), np.int32, len(counts)))
-        self.data.append(np.fromiter(counts.values(), np.int64, len(counts)))
+        codes = np.fromiter((words.setdefault(w, len(words)) for w in counts), np.int32, len(counts))
+        order = np.argsort(codes)
+        self.indices.append(codes[order])
+        self.data.append(np.fromiter(counts.values(), np.int32, len(counts))[order])
         self.indptr.append(self.indptr[-1] + len(counts))
         upper = len(text) - len(text.translate(None, _UPPER))
         points = len(text.translate(None, _TAIL))
@@ -86,20 +111,20 @@ class _Shard:
         self.size += len(text)
 
     def row(self, number: int) -> pa.RecordBatch:
-        flat = lambda parts, dtype: np.concatenate([np.zeros(0, dtype), *parts]).astype(dtype).tobytes()
+        flat = lambda parts, **how: pack(np.concatenate([np.zeros(0, np.int32), *parts]), **how)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([number], pa.int64()),
                 pa.array([self.doc_ids], pa.list_(pa.int64())),
                 pa.array([self.parts], pa.list_(pa.string())),
                 pa.array([bytes(self.flags)], pa.binary()),
-                pa.array([np.array(self.text_of, np.int32).tobytes()], pa.binary()),
+                pa.array([pack(self.text_of)], pa.binary()),
                 pa.array([list(self.texts)], pa.list_(pa.binary())),
                 pa.array([self.lows], pa.list_(pa.int64())),
-                pa.array([np.array(self.indptr, np.int64).tobytes()], pa.binary()),
-                pa.array([flat(self.indices, np.int32)], pa.binary()),
-                pa.array([flat(self.data, np.int64)], pa.binary()),
-                pa.array([b" ".join(self.words)], pa.binary()),  # a word holds no blank
+                pa.array([pack(self.indptr, ascending=True)], pa.binary()),
+                pa.array([flat(self.indices, ascending=True)], pa.binary()),
+                pa.array([flat(self.data)], pa.binary()),
+                pa.array([_pack_words(self.words)], pa.binary()),
             ],
             names=[c.split()[0] for c in SHARD_SCHEMA.split(", ")],
         )
@@ -132,7 +157,7 @@ def _bucketed(shards: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for shard, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = blob.split()
+                words = unpack_words(blob)
                 bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
                 order = np.argsort(bucket, kind="stable")
                 ends = np.flatnonzero(np.r_[np.diff(bucket[order]) != 0, bool(len(words))]) + 1
@@ -141,8 +166,8 @@ def _bucketed(shards: DataFrame, buckets: int) -> DataFrame:
                     [
                         pa.array([int(bucket[r[0]]) for r in rows], pa.int32()),
                         pa.array([shard] * len(rows), pa.int64()),
-                        pa.array([r.astype(np.int32).tobytes() for r in rows], pa.binary()),
-                        pa.array([b" ".join([words[i] for i in r.tolist()]) for r in rows], pa.binary()),
+                        pa.array([pack(r, ascending=True) for r in rows], pa.binary()),
+                        pa.array([_pack_words([words[i] for i in r.tolist()]) for r in rows], pa.binary()),
                     ],
                     names=["bucket", "shard", "places", "words"],
                 )
@@ -151,19 +176,19 @@ def _bucketed(shards: DataFrame, buckets: int) -> DataFrame:
 
 
 def _numbered(bucketed: DataFrame, buckets: int) -> DataFrame:
-    """``(bucket, shard, places, numbers, words)``: the words of a bucket numbered from 0 as they
+    """``(bucket, shard, places, numbers, words, n)``: the words of a bucket numbered from 0 as they
     come. The row without a shard holds the bucket's words in that order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, known = None, {}
 
         def whole():
-            return row(bucket, None, None, None, b" ".join(known))
+            return row(bucket, None, None, None, _pack_words(known), len(known))
 
         def row(*values):
-            types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array([v], t) for v, t in zip(values, types)], names=["bucket", "shard", "places", "numbers", "words"]
+                [pa.array([v], t) for v, t in zip(values, types)], names=["bucket", "shard", "places", "numbers", "words", "n"]
             )
 
         for batch in batches:
@@ -172,22 +197,32 @@ def _numbered(bucketed: DataFrame, buckets: int) -> DataFrame:
                     yield whole()
                     known = {}
                 bucket = b
-                words = blob.split()
-                numbers = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-                yield row(b, shard, places, numbers.tobytes(), None)
+                words = unpack_words(blob)
+                numbers = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int32, len(words))
+                yield row(b, shard, places, pack(numbers), None, len(words))
         if bucket is not None:
             yield whole()
 
     dealt = bucketed.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(run, "bucket int, shard long, places binary, numbers binary, words binary")
+    return dealt.mapInArrow(run, "bucket int, shard long, places binary, numbers binary, words binary, n long")
+
+
+def _words_with_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            words = unpack_words(blob)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(range(start, start + len(words)), pa.int64())],
+                names=["word", "id"],
+            )
 
 
 def document_term_shards(spark: SparkSession, docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """``(shards, dictionary)``: CSR shards of the document-term matrix and ``(word, id)``.
 
     A shard's row ``i`` is document ``doc_ids[i]``; its entries stand at ``indptr[i]`` to
-    ``indptr[i+1]`` of ``indices`` (little-endian int32 into the shard's dictionary) and ``data``
-    (int64 counts). ``columns`` lists parts ``(start, places, numbers)`` of that dictionary: the word at
+    ``indptr[i+1]`` of ``indices`` (places of the shard's dictionary) and ``data`` (counts), all three
+    packed (see :func:`unpack`, the first two as ascending). ``columns`` lists parts ``(start, places, numbers)`` of that dictionary: the word at
     place ``places[j]`` has the global id ``start + numbers[j]`` (see :func:`column_ids`); ids run from 0 without gaps. ``first_seen[text_of[i]]``
     is the smallest doc_id of that text in the whole table.
     """
@@ -197,12 +232,10 @@ def document_term_shards(spark: SparkSession, docs: DataFrame, shard_bytes: int
     # written: numbers follow the order of arrival, so a lost task must not number them anew
     numbered = written(spark, _numbered(_bucketed(shards, buckets), buckets), "dt_dictionary")
 
-    heads = numbered.where("shard IS NULL").select("bucket", F.split(F.col("words").cast("string"), " ").alias("words"))
-    sizes = heads.select("bucket", F.size("words").alias("n"))  # one row per bucket
+    heads = numbered.where("shard IS NULL").select("bucket", "n", "words")  # one row per bucket
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    dictionary = heads.join(starts, "bucket").select("start", F.posexplode("words").alias("i", "word"))
-    dictionary = dictionary.select("word", (F.col("start") + F.col("i")).alias("id"))
+    starts = heads.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"))
+    dictionary = heads.join(starts, "bucket").select("start", "words").mapInArrow(_words_with_ids, "word string, id long")
 
     parts = numbered.where("shard IS NOT NULL").join(starts, "bucket")
     columns = parts.groupBy("shard").agg(F.collect_list(F.struct("start", "places", "numbers")).alias("columns"))
@@ -217,7 +250,7 @@ def document_term_shards(spark: SparkSession, docs: DataFrame, shard_bytes: int
 
 def column_ids(columns: list | None) -> np.ndarray:
     """Global word id of every place of a shard's dictionary."""
-    parts = [(np.frombuffer(c["places"], np.int32), np.frombuffer(c["numbers"], np.int64) + c["start"]) for c in columns or []]
+    parts = [(unpack(c["places"], ascending=True), unpack(c["numbers"]) + np.int64(c["start"])) for c in columns or []]
     out = np.zeros(sum(len(p) for p, _ in parts), np.int64)
     for places, ids in parts:
         out[places] = ids
@@ -229,10 +262,11 @@ def failed_filters(shards: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                indptr = np.frombuffer(r["indptr"], np.int64)
-                ids = column_ids(r["columns"])[np.frombuffer(r["indices"], np.int32)]
-                sums = np.r_[0, np.cumsum(np.frombuffer(r["data"], np.int64))]
+            for i in range(batch.num_rows):  # a shard at a time
+                (r,) = batch.slice(i, 1).to_pylist()
+                indptr = unpack(r["indptr"], ascending=True)
+                ids = column_ids(r["columns"])[unpack(r["indices"], ascending=True)]
+                sums = np.r_[0, np.cumsum(unpack(r["data"]), dtype=np.int64)]
                 total = sums[indptr[1:]] - sums[indptr[:-1]]
                 # nonzeros of a row: its columns are distinct, as a word has one id
                 distinct = np.diff(indptr)
@@ -240,7 +274,7 @@ def failed_filters(shards: DataFrame) -> DataFrame:
                     raise ValueError(f"shard {r['shard']}: {len(ids)} entries, not {indptr[-1]}")
                 mask = np.frombuffer(r["flags"], np.uint8).astype(np.int32)
                 mask = mask | (total < MIN_WORDS) | (100 * distinct < MIN_DISTINCT_PERCENT * total) << 1
-                text_of = np.frombuffer(r["text_of"], np.int32).tolist()
+                text_of = unpack(r["text_of"]).tolist()
                 low = [r["first_seen"][t] for t in text_of]
                 later = [d is not None and m is not None and d > m for d, m in zip(r["doc_ids"], low)]
                 mask = mask | np.array(later, bool) << 4

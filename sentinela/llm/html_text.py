@@ -384,10 +384,13 @@ def main_text(
     like any other; input columns named like an output column are replaced.
     """
     data = labelled_examples(spark, pages, page_id, page, max_pages)
-    shared = spark.sparkContext.broadcast(fit_field(data) if data else None)
+    fitted = fit_field(data) if data else None
+    # plain data: a broadcast stores objects of our classes by name, which workers without the package cannot load
+    shared = spark.sparkContext.broadcast(fitted and (fitted.index, fitted.unary, fitted.step, fitted.first))
 
     def compute(texts: list) -> list:
-        out = [extract(shared.value, t) for t in texts]
+        field = Field(*shared.value) if shared.value else None
+        out = [extract(field, t) for t in texts]
         return [out, [len(t) for t in out]]
 
     return add_columns(pages, page, [StructField("text", StringType()), StructField("n_chars", LongType())], compute, keep)

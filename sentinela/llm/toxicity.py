@@ -184,10 +184,11 @@ def score_texts(
     """``docs`` with the model's score (0 to 1) of each whole text; null and empty
     texts get the score of no words; an input column named ``score`` is replaced.
     The model goes to the tasks; its size is bounded by the fit's word limit."""
-    shared = spark.sparkContext.broadcast(model)
+    # plain data: a broadcast stores objects of our classes by name, which workers without the package cannot load
+    shared = spark.sparkContext.broadcast((model.weights, model.bias, model.prior))
 
     def compute(texts: list) -> list:
-        one = shared.value.score
+        one = ToxicityModel(*shared.value).score
         return [[one(t) for t in texts]]
 
     return add_columns(docs, text, [StructField(score, DoubleType())], compute, keep)

@@ -1,0 +1,105 @@
+"""Weighted automata: round trips, minimality, union, cutting and composition against dictionaries."""
+
+from collections import Counter
+
+import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sentinela.llm import count_automata as CA
+from sentinela.llm.count_automata import Automaton, Union, acceptor, build, compose, count_ngrams, cut, distinct, only_used
+
+WORDS = [b"a", b"ab", b"b", b"c", b"\xc3\xa9"]
+ngram = st.lists(st.sampled_from(WORDS), min_size=1, max_size=3).map(tuple)
+tables = st.dictionaries(ngram, st.integers(1, 5), max_size=40)
+
+
+def _table(counts, words=None):
+    words = sorted({w for k in counts for w in k}) if words is None else words
+    label = {w: i for i, w in enumerate(words, 1)}
+    keys = sorted(counts)
+    m = np.zeros((len(keys), 3), np.int32)
+    for i, k in enumerate(keys):
+        m[i, : len(k)] = [label[w] for w in k]
+    return words, [m[:, j].copy() for j in range(3)], np.array([counts[k] for k in keys], np.int64)
+
+
+def _dict(automaton):
+    columns, counts = automaton.rows(3)
+    keys = [tuple(automaton.words[x - 1] for x in r if x) for r in zip(*[c.tolist() for c in columns])]
+    assert keys == sorted(keys)
+    return dict(zip(keys, counts.tolist()))
+
+
+@settings(max_examples=200, deadline=None)
+@given(tables, st.integers(1, 6))
+def test_build_pack_and_read_back(table, rows):
+    CA.BLOCK_ROWS, before = rows, CA.BLOCK_ROWS
+    try:
+        a = build(*_table(table))
+    finally:
+        CA.BLOCK_ROWS = before
+    assert _dict(Automaton.unpack(*a.pack())) == table
+    # minimal: no two states but the root are alike
+    states = [(int(a.final[i]), a.arcs[a.first[i] : a.first[i + 1]].tobytes()) for i in range(len(a.final) - 1)]
+    assert len(set(states)) == len(states)
+    right = {k[:n] for k in table for n in range(1, 4)}
+    assert len(states) <= len({p for p in right if p})
+
+
+def test_equal_ends_are_shared():
+    table = {(x, y, z): 1 for x in WORDS for y in WORDS for z in WORDS}
+    a = build(*_table(table))
+    assert len(a.final) == 4 and len(a.arcs) == 3 * len(WORDS)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(tables, max_size=5))
+def test_union_sums_weights(many):
+    union, want = Union(3, spare=2), Counter()
+    for t in many:
+        union.add(build(*_table(t)))
+        want.update(t)
+    assert _dict(union.result()) == dict(want)
+
+
+@settings(max_examples=100, deadline=None)
+@given(tables, st.lists(ngram, max_size=3))
+def test_slices_hold_their_range(table, bounds):
+    words, columns, counts = _table(table)
+    bounds = sorted(set(bounds))
+    ends = [cut(words, columns, b) for b in bounds]
+    got = {}
+    for k, (a, b) in enumerate(zip([0, *ends], [*ends, len(counts)])):
+        part = _dict(build(*only_used(words, [c[a:b] for c in columns]), counts[a:b])) if b > a else {}
+        assert all((k == 0 or bounds[k - 1] <= x) and (k == len(bounds) or x < bounds[k]) for x in part)
+        got.update(part)
+    assert got == table
+
+
+@settings(max_examples=100, deadline=None)
+@given(tables, st.lists(ngram, min_size=1, max_size=10))
+def test_composition_looks_parts_up(table, asked):
+    got = compose(acceptor(asked, 3), build(*_table(table)), 3)
+    assert got == {k: table[k] for k in set(asked) if k in table}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 4), max_size=60))
+def test_ngrams_within_pieces(ids):
+    columns, counts = count_ngrams(np.array([*ids, 0], np.int32), 3, 5)
+    got = {tuple(x for x in r if x): n for *r, n in zip(*[c.tolist() for c in columns], counts.tolist())}
+    want = Counter(tuple(ids[i : i + k]) for k in (1, 2, 3) for i in range(len(ids) - k + 1) if all(ids[i : i + k]))
+    assert got == dict(want)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(1, 9)), min_size=1, max_size=30))
+def test_distinct_with_any_radix(rows):
+    columns, counts = [np.array([r[i] for r in rows], np.int32) for i in (0, 1)], np.array([r[2] for r in rows])
+    small, large = distinct(columns, counts, 4), distinct(columns, counts, 1 << 33)
+    want = Counter()
+    for a, b, n in rows:
+        want[a, b] += n
+    for got in (small, large):
+        assert list(zip(*[c.tolist() for c in got[0]], got[1].tolist())) == [(*k, n) for k, n in sorted(want.items())]

@@ -4,9 +4,7 @@ import re
 from collections import defaultdict
 from itertools import permutations
 
-import numpy as np
-
-from sentinela.llm.filter_audit import audit, column_ids, document_term_shards, failed_filters
+from sentinela.llm.filter_audit import audit, column_ids, document_term_shards, failed_filters, unpack
 
 SCHEMA = "doc_id long, text string, lang string, words string, mask int"
 LABELS = "doc_id long, quality int, toxic int"
@@ -75,8 +73,8 @@ def test_matrix_holds_every_word_once(spark):
     assert sorted(words) == list(range(len(words))) and len(set(words.values())) == len(words)
     seen = []
     for r in shards.collect():
-        ptr, cols = np.frombuffer(r.indptr, np.int64), column_ids([c.asDict() for c in r.columns or []])
-        ids, data = cols[np.frombuffer(r.indices, np.int32)], np.frombuffer(r.data, np.int64)
+        ptr, cols = unpack(r.indptr, ascending=True), column_ids([c.asDict() for c in r.columns or []])
+        ids, data = cols[unpack(r.indices, ascending=True)], unpack(r.data)
         for i, d in enumerate(r.doc_ids):
             row = {words[k]: n for k, n in zip(ids[ptr[i] : ptr[i + 1]].tolist(), data[ptr[i] : ptr[i + 1]].tolist())}
             seen.append((d, sorted(row.items())))
