@@ -1,9 +1,9 @@
 """Phrase collocation mining with weighted acyclic automata.
 
-Blocks of documents are counted into n-gram transducers, one per language; an equi-depth
-sample of their n-grams cuts the sorted n-grams into ranges of about equal size; each block's
-transducers are cut there, and every range sums its slices in a running union, whatever their
-number. Candidates are read off the ranges. Their parts' counts are looked up where the parts
+A sample of word windows cuts the sorted n-grams into ranges of about equal size (it decides
+where they lie, and nothing else). Blocks of documents are counted into sorted n-grams, cut at
+the ranges, and built into count transducers; every range sums those of all blocks in a running
+union, whatever their number. Candidates are read off the ranges. Their parts' counts are looked up where the parts
 lie: an acceptor of the parts asked for is composed with the range's transducer. A part is
 asked for once per range that needs it, so the parts of very many candidates are no hot keys.
 
@@ -13,7 +13,6 @@ others; other columns of the documents are not read. Empty tables give no rows.
 
 from __future__ import annotations
 
-import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
@@ -35,8 +34,8 @@ TOP = 2000
 
 #: Bytes of text counted into one block of transducers.
 BLOCK_BYTES = 8 << 20
-#: N-grams of all blocks that one range aims at, and samples taken per range.
-RANGE_KEYS = 1 << 20
+#: Bytes of text whose n-grams one range aims at, and windows sampled per range.
+RANGE_BYTES = 6 << 20
 SAMPLES = 64
 SALTS = 64
 
@@ -53,10 +52,11 @@ class _Words(dict):
         return label
 
 
-def labels_of(text: bytes, words: _Words) -> list[int]:
-    """Labels of a text's words; label 0, of the break, stands between pieces."""
+def labels_of(text: bytes, words: _Words) -> np.ndarray:
+    """Labels of a text's words; label 0, of the break, stands between pieces and at the end."""
     tokens = text.lower().translate(_TABLE).replace(_BREAK, b" \xff ").split()
-    return list(map(words.__getitem__, tokens))
+    tokens.append(_BREAK)
+    return np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens))
 
 
 class _Block:
@@ -70,11 +70,11 @@ class _Block:
     def add(self, lang: str, text: bytes) -> None:
         if lang not in self.words:
             self.words[lang], self.streams[lang] = _Words({_BREAK: 0}), []
-        self.streams[lang].append(np.array([*labels_of(text, self.words[lang]), 0], np.int32))
+        self.streams[lang].append(labels_of(text, self.words[lang]))
         self.size += len(text)
 
-    def transducers(self, size: int) -> Iterator[tuple[str, list[bytes], list[np.ndarray], np.ndarray]]:
-        """Per language the words and the sorted table."""
+    def tables(self, size: int) -> Iterator[tuple[str, list[bytes], list[np.ndarray], np.ndarray]]:
+        """Per language the words and the sorted n-grams with their counts."""
         for lang, known in self.words.items():
             ids = np.concatenate(self.streams[lang])
             words = sorted(w for w in known if w != _BREAK)
@@ -88,18 +88,45 @@ def _batch(rows: list[tuple], types: list[pa.DataType], names: list[str]) -> pa.
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
 
-def block_transducers(docs: DataFrame, size: int, block_bytes: int, every: int) -> DataFrame:
-    """Documents -> one row per (block, language): its transducer, the number of its n-grams and
-    a sample of them, one in ``every``. No shuffle."""
-    names = [c.split()[0] for c in AUTOMATON.split(", ")] + ["keys", "sample"]
-    types = [pa.string(), *[pa.binary()] * 4, pa.int64(), pa.list_(pa.list_(pa.binary()))]
+def range_bounds(docs: DataFrame, range_bytes: int) -> list[tuple[bytes, tuple[bytes, ...]]]:
+    """First ``(lang, words)`` of every range but the first, sorted: one entry per range comes to the driver.
+
+    About ``SAMPLES`` windows of three words per ``range_bytes`` of text, at places that the hash of a
+    text chooses. A text is taken with a probability by its length, a long one several times.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    src = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text.alias("text"))
+    every = max(range_bytes // SAMPLES, 64)
+    total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chance = F.pmod(F.xxhash64("text"), F.lit(every))
+    times = F.expr(f"length(text) div {every}").cast("int") + F.when(chance < F.expr(f"length(text) % {every}"), 1).otherwise(0)
+    taken = src.withColumn("times", times).where("times > 0").withColumn("i", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    at = F.pmod(F.xxhash64("text", "i"), F.length("text")).cast("int") + 1
+    around = F.lower(F.substring("text", at, F.lit(120)))
+    # the first word may be cut
+    words = F.slice(F.filter(F.split(around, "[ .,;:!?\\x09-\\x0D]+"), lambda w: w != ""), 2, 3)
+    sample = taken.select(F.col("lang").cast("binary").alias("lang"), F.transform(words, lambda w: w.cast("binary")).alias("key"))
+    dealt = sample.where(F.size("key") > 0).repartitionByRange(int(total // range_bytes) + 1, "lang", "key")
+    heads = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("lang", "key")).alias("h")).collect()
+    return sorted((bytes(r.h.lang), tuple(bytes(w) for w in r.h.key)) for r in heads)[1:]
+
+
+def block_transducers(docs: DataFrame, bounds: list, size: int, block_bytes: int) -> DataFrame:
+    """Documents -> ``(range, transducer)``: per block and language one for every range. No shuffle."""
+    names = ["range"] + [c.split()[0] for c in AUTOMATON.split(", ")]
+    types = [pa.int32(), pa.string(), *[pa.binary()] * 4]
 
     def finished(block: _Block) -> Iterator[pa.RecordBatch]:
-        for lang, words, columns, counts in block.transducers(size):
-            # where the sample begins is spread, so that small transducers are sampled in proportion
-            start = zlib.crc32(lang.encode() + b" " + words[0]) % every
-            sample = [[words[c[i] - 1] for c in columns if c[i]] for i in range(start, len(counts), every)]
-            yield _batch([(lang, *build(words, columns, counts).pack(), len(counts), sample)], types, names)
+        for lang, words, columns, counts in block.tables(size):
+            code = lang.encode()
+            low = high = bisect_left(bounds, (code, ()))
+            while high < len(bounds) and bounds[high][0] == code:
+                high += 1
+            ends = [cut(words, columns, key) for _, key in bounds[low:high]]
+            for k, (a, b) in enumerate(zip([0, *ends], [*ends, len(counts)])):
+                if b > a:
+                    used, part = only_used(words, [c[a:b] for c in columns])
+                    yield _batch([(low + k, lang, *build(used, part, counts[a:b]).pack())], types, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = _Block()
@@ -115,41 +142,7 @@ def block_transducers(docs: DataFrame, size: int, block_bytes: int, every: int)
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary").alias("text"),
     )
-    return src.mapInArrow(run, AUTOMATON + ", keys long, sample array<array<binary>>")
-
-
-def range_bounds(blocks: DataFrame, range_keys: int) -> list[tuple[bytes, tuple[bytes, ...]]]:
-    """First ``(lang, n-gram)`` of every range but the first, sorted: one entry per range comes to the driver."""
-    total = blocks.agg(F.sum("keys")).first()[0] or 0
-    sample = blocks.select(F.col("lang").cast("binary").alias("lang"), F.explode("sample").alias("key"))
-    ranges = int(total // range_keys) + 1
-    dealt = sample.repartitionByRange(ranges, "lang", "key")
-    heads = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct("lang", "key")).alias("h")).collect()
-    return sorted((bytes(r.h.lang), tuple(bytes(w) for w in r.h.key)) for r in heads)[1:]
-
-
-def _slices(blocks: DataFrame, bounds: list, size: int) -> DataFrame:
-    """Block transducers -> ``(range, transducer)``, cut at the bounds."""
-    names = ["range"] + [c.split()[0] for c in AUTOMATON.split(", ")]
-    types = [pa.int32(), pa.string(), *[pa.binary()] * 4]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, *packed in zip(*[batch.column(i).to_pylist() for i in range(5)]):
-                automaton = Automaton.unpack(*packed)
-                columns, counts = automaton.rows(size)
-                code = lang.encode()
-                low = bisect_left(bounds, (code, ()))
-                high = low
-                while high < len(bounds) and bounds[high][0] == code:
-                    high += 1
-                ends = [cut(automaton.words, columns, key) for _, key in bounds[low:high]]
-                for k, (a, b) in enumerate(zip([0, *ends], [*ends, len(counts)])):
-                    if b > a:
-                        words, part = only_used(automaton.words, [c[a:b] for c in columns])
-                        yield _batch([(low + k, lang, *build(words, part, counts[a:b]).pack())], types, names)
-
-    return blocks.select("lang", "words", "final", "widths", "arcs").mapInArrow(run, "range int, " + AUTOMATON)
+    return src.mapInArrow(run, "range int, " + AUTOMATON)
 
 
 def _united(slices: DataFrame, ranges: int, size: int) -> DataFrame:
@@ -183,13 +176,13 @@ def ngram_transducers(
     docs: DataFrame,
     size: int = MAX_WORDS,
     block_bytes: int = BLOCK_BYTES,
-    range_keys: int = RANGE_KEYS,
+    range_bytes: int = RANGE_BYTES,
 ) -> tuple[DataFrame, list]:
     """``(transducers, bounds)``: counts of all n-grams of up to ``size`` words as one transducer per
     (range, language); range ``i`` holds the n-grams from ``bounds[i - 1]`` on."""
-    blocks = written(spark, block_transducers(docs, size, block_bytes, max(range_keys // SAMPLES, 1)), "ngram_blocks")
-    bounds = range_bounds(blocks, range_keys)
-    return written(spark, _united(_slices(blocks, bounds, size), len(bounds) + 1, size), "ngram_ranges"), bounds
+    bounds = range_bounds(docs, range_bytes)
+    united = _united(block_transducers(docs, bounds, size, block_bytes), len(bounds) + 1, size)
+    return written(spark, united, "ngram_ranges"), bounds
 
 
 def candidates(transducers: DataFrame, size: int = MAX_WORDS, min_count: int = MIN_COUNT) -> DataFrame:
@@ -259,7 +252,7 @@ def collocations(
     min_count: int = MIN_COUNT,
     top: int = TOP,
     block_bytes: int = BLOCK_BYTES,
-    range_keys: int = RANGE_KEYS,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: each language's ``top`` phrases.
 
@@ -267,7 +260,7 @@ def collocations(
     ``l``) and a rest (``r``); a phrase of which a longer candidate around it has at least half the
     count is left out. Counts may have up to 15 digits.
     """
-    transducers, bounds = ngram_transducers(spark, docs, size, block_bytes, range_keys)
+    transducers, bounds = ngram_transducers(spark, docs, size, block_bytes, range_bytes)
     found = written(spark, candidates(transducers, size, min_count), "collocation_candidates")
 
     words = F.split("phrase", " ")

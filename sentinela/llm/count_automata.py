@@ -66,13 +66,12 @@ def count_ngrams(ids: np.ndarray, size: int, radix: int) -> tuple[list[np.ndarra
         inside = inside & (padded[at + k] != 0)
         columns.append(np.where(inside, padded[at + k], 0))
     windows, n = distinct(columns, None, radix)
-    tables = []
-    for nodes, total in _levels(windows, n, np.add.reduceat):
-        tables.append(([windows[j][nodes] if j <= len(tables) else np.zeros(len(nodes), np.int32) for j in range(size)], total))
-    columns = [np.concatenate([t[0][j] for t in tables]) for j in range(size)]
-    counts = np.concatenate([t[1] for t in tables])
-    order = np.lexsort(columns[::-1])
-    return [c[order] for c in columns], counts[order]
+    # an n-gram begins where its first k labels change; by window, then by length, is sorted order
+    begins, total = np.zeros((len(n), size), bool), np.zeros((len(n), size), np.int64)
+    for k, (rows, below) in enumerate(_levels(windows, n, np.add.reduceat)):
+        begins[rows, k], total[rows, k] = True, below
+    row, length = np.nonzero(begins)
+    return [np.where(length >= k, c[row], 0).astype(np.int32) for k, c in enumerate(windows)], total[begins]
 
 
 def _levels(columns, counts, reduce):
@@ -96,31 +95,48 @@ class Automaton:
 
     def rows(self, size: int) -> tuple[list[np.ndarray], np.ndarray]:
         """The table of the automaton: every accepted n-gram of at most ``size`` words, sorted."""
-        state, parent = np.array([len(self.final) - 1]), np.zeros(1, np.int64)
-        paths: list[np.ndarray] = []
-        found = []
-        for k in range(size):
+        state = np.array([len(self.final) - 1])
+        labels, parents, states = [], [], []
+        for _ in range(size):
             width = self.first[state + 1] - self.first[state]
-            parent = np.repeat(np.arange(len(state)), width)
             arc = self.arcs[np.repeat(self.first[state], width) + _ragged(width)]
-            paths = [p[parent] for p in paths] + [arc[:, 0]]
+            parents.append(np.repeat(np.arange(len(state)), width))
+            labels.append(arc[:, 0])
             state = arc[:, 1].astype(np.int64)
-            real = self.final[state] > 0
-            none = np.zeros(int(real.sum()), np.int32)
-            found.append(([p[real] for p in paths] + [none] * (size - k - 1), self.final[state][real]))
-        columns = [np.concatenate([f[0][j] for f in found]) for j in range(size)]
-        counts = np.concatenate([f[1] for f in found])
-        order = np.lexsort(columns[::-1])
-        return [c[order] for c in columns], counts[order]
+            states.append(state)
+        # a path's place in sorted order: after its parent and all that lies below its elder siblings
+        sizes = [np.ones(len(x), np.int64) for x in labels]
+        for k in reversed(range(1, size)):
+            sizes[k - 1] += np.bincount(parents[k], weights=sizes[k], minlength=len(sizes[k - 1])).astype(np.int64)
+        n = int(sizes[0].sum())
+        columns, counts = [np.zeros(n, np.int32) for _ in range(size)], np.zeros(n, np.int64)
+        place = np.full(1, -1)
+        above: list[np.ndarray] = []
+        for k in range(size):
+            ends = np.cumsum(sizes[k])
+            begin = ends - sizes[k]
+            first = np.r_[True, parents[k][1:] != parents[k][:-1]][: len(begin)]
+            elder = begin - np.repeat(begin[first], np.diff(np.r_[np.flatnonzero(first), len(begin)]))
+            place = place[parents[k]] + 1 + elder
+            above = [a[parents[k]] for a in above] + [labels[k]]
+            for c, a in zip(columns, above):
+                c[place] = a
+            counts[place] = self.final[states[k]]
+        real = counts > 0
+        return ([c[real] for c in columns], counts[real]) if not real.all() else (columns, counts)
 
     def pack(self) -> tuple[bytes, bytes, bytes, bytes]:
-        widths = np.diff(self.first).astype(np.int32)
-        return b" ".join(self.words), self.final.tobytes(), widths.tobytes(), self.arcs.tobytes()
+        widths, final = np.diff(self.first), self.final
+        # by columns, and weights in as few bytes as they need: what is alike stands together
+        small = np.uint8 if len(final) and final.max() < 256 else np.int64
+        arcs = np.ascontiguousarray(self.arcs.T)
+        return b" ".join(self.words), final.astype(small).tobytes(), widths.astype(np.int32).tobytes(), arcs.tobytes()
 
     @staticmethod
     def unpack(words: bytes, final: bytes, widths: bytes, arcs: bytes) -> Automaton:
         first = np.r_[0, np.cumsum(np.frombuffer(widths, np.int32), dtype=np.int64)]
-        return Automaton(words.split(b" ") if words else [], np.frombuffer(final, np.int64), first, np.frombuffer(arcs, np.int32).reshape(-1, 2))
+        weights = np.frombuffer(final, np.uint8 if len(final) == len(first) - 1 else np.int64).astype(np.int64)
+        return Automaton(words.split(b" ") if words else [], weights, first, np.ascontiguousarray(np.frombuffer(arcs, np.int32).reshape(2, -1).T))
 
 
 def _ragged(width: np.ndarray) -> np.ndarray:
@@ -135,19 +151,22 @@ class Builder:
     only new ones are added."""
 
     def __init__(self):
-        # a state is its weight and its arcs; the register keeps states in the order they came
-        self.register: dict[tuple[int, bytes], int] = {}
+        # a state is its weight (two numbers) and its arcs; the register keeps states in the order they came
+        self.register: dict[bytes, int] = {}
         self.root: list[np.ndarray] = []
 
     def _states(self, weights: np.ndarray, widths: np.ndarray, arcs: np.ndarray) -> np.ndarray:
-        register, buffer = self.register, arcs.tobytes()
-        ends = np.cumsum(widths) * 8
-        out, start = [], 0
-        for weight, end in zip(weights.tolist(), ends.tolist()):
-            key = (weight, buffer[start:end])
-            out.append(register.setdefault(key, len(register)))
-            start = end
-        return np.array(out, np.int32)
+        sizes = 2 + 2 * widths
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        flat = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
+        flat[starts], flat[starts + 1] = weights & 0x7FFFFFFF, weights >> 31
+        at = np.repeat(starts + 2, widths) + 2 * _ragged(widths)
+        flat[at], flat[at + 1] = arcs[:, 0], arcs[:, 1]
+        register, content = self.register, flat.tobytes()
+        find = register.setdefault
+        known = [find(content[a:b], len(register)) for a, b in zip((4 * starts).tolist(), (4 * ends).tolist())]
+        return np.array(known, np.int32)
 
     def add(self, columns: Sequence[np.ndarray], counts: np.ndarray) -> None:
         """Rows after all rows added before, of other first words."""
@@ -172,12 +191,15 @@ class Builder:
         self.root.append(labels)
 
     def finish(self, words: list[bytes]) -> Automaton:
-        arcs = [b for _, b in self.register]
         root = np.concatenate(self.root) if self.root else np.zeros((0, 2), np.int32)
-        widths = np.array([len(b) // 8 for b in arcs] + [len(root)], np.int64)
-        final = np.array([w for w, _ in self.register] + [0], np.int64)
-        joined = np.frombuffer(b"".join(arcs), np.int32).reshape(-1, 2)
-        return Automaton(words, final, np.r_[0, np.cumsum(widths)], np.concatenate([joined, root]))
+        flat = np.frombuffer(b"".join(self.register), np.int32)
+        sizes = np.array([len(b) // 4 for b in self.register], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        final = flat[starts].astype(np.int64) | flat[starts + 1].astype(np.int64) << 31
+        arc = np.ones(len(flat), bool)
+        arc[starts] = arc[starts + 1] = False
+        widths = np.r_[sizes // 2 - 1, len(root)]
+        return Automaton(words, np.r_[final, 0], np.r_[0, np.cumsum(widths)], np.concatenate([flat[arc].reshape(-1, 2), root]))
 
 
 def build(words: list[bytes], columns: Sequence[np.ndarray], counts: np.ndarray) -> Automaton:

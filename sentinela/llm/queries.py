@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sentinela.llm.collocations import COLLOCATIONS_SQL, collocations
 from sentinela.llm.common import written
 from sentinela.llm.decontamination import find_contamination, is_contaminated
 from sentinela.llm.filter_audit import AUDIT_SQL, audit
@@ -114,6 +115,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_collocation_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(spark, _read(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -135,6 +140,7 @@ QUERIES = {
         op8_vantage_point_search,
         op9_pii_bootstrap,
         op10_simhash_near_dedup,
+        op11_collocation_automata,
         op12_filter_audit,
         op13_winnowing_fingerprints,
     )
@@ -174,5 +180,6 @@ FROM doc LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 ORACLE_SQL: dict[str, str] = {
     "op4_warc_salvage": _WARC_SQL,
     "op7_benchmark_decontamination": _HITS_SQL,
+    "op11_collocation_automata": COLLOCATIONS_SQL,
     "op12_filter_audit": AUDIT_SQL,
 }
