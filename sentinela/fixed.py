@@ -64,6 +64,7 @@ LAYOUT_TABLE = [
 LAND = "0. land"
 BRONZE = "1. bronze"
 SILVER = "2. silver"
+GOLD = "3. gold"
 
 # --- fixed values: weather station files -----------------------------------
 

@@ -14,6 +14,16 @@ def _val(v: int | Column | None) -> Column | None:
     return F.lit(v)
 
 
+def row_range(start: int | Column = 0, end: int | Column | None = None, col: str = "row_index") -> Column:
+    """``start <= col < end`` (``end`` NULL or None: open)."""
+    pos = F.col(col)
+    cond = pos >= _val(start)
+    if end is not None:
+        e = _val(end)
+        cond = cond & (e.isNull() | (pos < e))
+    return cond
+
+
 def slice_rows(
     df: DataFrame,
     start: int | Column = 0,
@@ -25,36 +35,7 @@ def slice_rows(
     ``start``/``end`` may be columns, so one pass serves sources with
     different bounds (e.g. one layout per page).
     """
-    pos = F.col(col)
-    cond = pos >= _val(start)
-    if end is not None:
-        e = _val(end)
-        cond = cond & (e.isNull() | (pos < e))
-    return df.filter(cond)
-
-
-def cells_to_columns(
-    cells: Column,
-    offset: int | Column,
-    count: int,
-    prefix: str = "coluna_",
-    first: int = 0,
-    limit: Column | int | None = None,
-) -> list[Column]:
-    """``cells[offset + i]`` as ``{prefix}{first + i}`` for i in 0..count-1.
-
-    Out-of-range positions give NULL. With ``limit`` only the first ``limit``
-    cells are read and the rest are NULL, so a wider row cannot leak values.
-    """
-    off = _val(offset)
-    lim = _val(limit)
-    out = []
-    for i in range(count):
-        v = F.get(cells, off + F.lit(i))
-        if lim is not None:
-            v = F.when(F.lit(i) < lim, v)
-        out.append(v.alias(f"{prefix}{first + i}"))
-    return out
+    return df.filter(row_range(start, end, col))
 
 
 def rename_select(df: DataFrame, mapping: Mapping[str, str], keep: Sequence[str]) -> DataFrame:

@@ -101,6 +101,53 @@ SELECT name, line_no,
 FROM l WHERE l_linenumber NOT IN (5, 6)
 """
 
+DELIMITED_SPLIT = DELIMITED_CLEAN.replace("l_orderkey // 2000", "l_orderkey // 100000").replace("AS INTEGER) AS line_no", "AS BIGINT) AS line_no")
+
+QUOTED_BREAKS = r"""
+WITH o AS (SELECT o_orderkey AS k, o_custkey, o_totalprice, o_orderstatus,
+                  'notas_' || year(o_orderdate) || '_' || (o_orderkey // 100000) || '.csv' AS name,
+                  'nota ' || o_orderpriority || CASE WHEN o_orderkey % 5 = 0 THEN chr(10) || 'segue' ELSE '' END
+                    || CASE WHEN o_orderkey % 7 = 0 THEN ' "dito"' ELSE '' END || CASE WHEN o_orderkey % 11 = 0 THEN '; outro' ELSE '' END
+                    || CASE WHEN o_orderkey % 13 = 0 THEN chr(10) || chr(10) || 'fim' ELSE '' END AS note,
+                  1 + (o_orderkey % 5 = 0)::INT + 2 * (o_orderkey % 13 = 0)::INT + (o_orderkey % 17 = 0)::INT AS lines FROM orders),
+r AS (SELECT *, coalesce(sum(lines) OVER (PARTITION BY name ORDER BY k, o_custkey, o_totalprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM o),
+f AS (SELECT name, sum(lines) AS lines FROM o GROUP BY name)
+SELECT name, CAST(3 + before AS BIGINT) AS line_no, CAST(k AS VARCHAR) AS c0, note AS c1, o_orderstatus AS c2 FROM r
+UNION ALL SELECT name, CAST(2 AS BIGINT), 'chave', 'nota', 'estado' FROM f
+UNION ALL SELECT name, CAST(3 + lines AS BIGINT), 'aberta;"sem fim', 'X', NULL FROM f
+UNION ALL SELECT name, CAST(4 + lines AS BIGINT), 'ultima', 'linha', 'Z' FROM f
+"""
+
+INFERRED_LAYER = """
+WITH m AS (SELECT max(o_orderkey) AS last FROM orders)
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey ELSE -1 END AS inteiro_com_falta, o_totalprice,
+       CASE WHEN o_orderkey = last THEN 'n/d?' ELSE CAST(o_orderkey % 100 AS VARCHAR) END AS texto_tardio,
+       o_orderkey % 2 = 0 AS par,
+       CASE WHEN o_orderkey = last THEN CAST(7.5 AS DOUBLE) ELSE CAST(o_orderkey % 10 AS DOUBLE) END AS decimal_tardio,
+       strftime(o_orderdate, '%Y-%m-%d') AS data
+FROM orders, m
+"""
+
+REPLACE_DICTIONARY = """
+WITH d AS (SELECT 'k' || (2 * i) AS old, CASE WHEN i % 10 <> 0 THEN 'v' || i END AS new FROM range(100000) t(i)),
+c AS (SELECT o_orderkey, o_totalprice, 'k' || (o_orderkey % 300000) AS p, CASE WHEN o_custkey % 5 <> 0 THEN 'k' || (o_custkey % 7) END AS s FROM orders)
+SELECT o_orderkey, o_totalprice, CASE WHEN d1.old IS NOT NULL THEN d1.new ELSE p END AS primeira,
+       CASE WHEN d2.old IS NOT NULL THEN d2.new ELSE s END AS segunda
+FROM c LEFT JOIN d d1 ON p = d1.old LEFT JOIN d d2 ON s = d2.old
+"""
+
+LAYOUTS_BY_NAME = "SELECT p_partkey, " + ", ".join(
+    f"CASE WHEN (p_partkey % 200) % {i} = 0 OR (p_partkey + {i}) % 11 = 0 THEN '0' ELSE p_size || '/{i}' END AS col_{i}" for i in range(2, 10)
+) + " FROM part"
+
+DATE_FORMATS = """
+WITH o AS (SELECT o_custkey % 50 AS fonte, o_orderkey, o_totalprice, CAST(o_orderdate AS DATE) AS d,
+                  CASE WHEN o_orderkey % 17 = 0 THEN 2 WHEN ((o_custkey % 50) % 2 = 0) <> (o_orderkey % 10 = 3) THEN 0 ELSE 1 END AS f FROM orders),
+v AS (SELECT fonte, arg_min(f, o_orderkey * 4 + f) AS first FROM o GROUP BY fonte)
+SELECT o.fonte, o_orderkey, o_totalprice, CASE WHEN f < 2 AND (first = 2 OR f = first) THEN strftime(d, '%Y-%m-%d') END AS data FROM o JOIN v ON o.fonte = v.fonte
+"""
+
 YEARLY_WINDOWS = """
 WITH oc AS (SELECT o_orderdate, o_orderstatus, c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey),
 b AS (SELECT c_nationkey, n_name AS cidade, CAST(min(o_orderdate) AS DATE) AS s,
@@ -303,6 +350,9 @@ daily AS (SELECT cidade, d, coalesce(sum(p), 0) AS precipitacao_total, max(pmax)
 )
 
 
+CLIMATE_DAMAGED = CLIMATE_LAYERS.replace("FROM lineitem WHERE", """FROM lineitem
+  WHERE NOT (year(l_shipdate) = (SELECT year(min(l_shipdate)) + 1 FROM lineitem) AND l_suppkey // 25 = 0 AND l_orderkey // 200000 = 0) AND""")
+
 CASES_RERUN = f"SELECT * FROM ({CASES_LAYERS}) WHERE caso NOT LIKE '1-URGENT%'"
 
 
@@ -325,9 +375,17 @@ ORACLE_SQL: dict[str, str] = {
     "lenient_number": LENIENT_NUMBER,
     "cases_layers": CASES_LAYERS,
     "cases_rerun": CASES_RERUN,
+    "cases_incremental": CASES_LAYERS,
     "pages_from_files": PAGES_FROM_FILES,
     "land_all_members": LAND_ALL_MEMBERS,
     "monthly_mean_all": MONTHLY_MEAN_ALL,
     "sorted_months": SORTED_MONTHS,
     "climate_layers": CLIMATE_LAYERS,
+    "climate_damaged": CLIMATE_DAMAGED,
+    "delimited_split": DELIMITED_SPLIT,
+    "quoted_breaks": QUOTED_BREAKS,
+    "inferred_layer": INFERRED_LAYER,
+    "replace_dictionary": REPLACE_DICTIONARY,
+    "layouts_by_name": LAYOUTS_BY_NAME,
+    "date_formats": DATE_FORMATS,
 }

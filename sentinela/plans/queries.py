@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -18,21 +19,26 @@ from sentinela.fixed import MONTHS, TEXT_REPAIRS
 from sentinela.functions.dates import lenient_date, month_number, year_month_date
 from sentinela.functions.numbers import lenient_double, strict_count
 from sentinela.functions.text import repair_mojibake, strip_code
-from sentinela.operators.combine import replace_values, union_layouts
+from sentinela.operators.combine import replace_from_table, replace_values, stack_layouts, union_layouts
 from sentinela.operators.filters import drop_missing, region_filter
+from sentinela.operators.ordering import sort_in_ranges
 from sentinela.operators.projection import rename, rename_select, with_constant
 from sentinela.operators.reshape import months_to_rows
-from sentinela.operators.timeseries import daily_rollup, monthly_mean_filled
+from sentinela.operators.timeseries import daily_rollup, dates_by_first_value, monthly_mean_filled
 from sentinela.plans import runner
 from sentinela.plans.cases import bronze_cases, silver_cases
-from sentinela.plans.climate import bronze_climate, expected_station_files_for, land_members
+from sentinela.plans.climate import bronze_climate, bronze_lines, expected_station_files_for, land_members
 from sentinela.plans.table_inputs import (
+    ORDERS_PER_SPLIT_FILE,
     customer_pages,
     lineitem_station_files,
     order_archives,
     order_case_layouts,
     order_case_pages,
     order_month_counts,
+    order_note_files,
+    saved_files,
+    saved_name,
     supplier_station_archives,
     supplier_station_bounds,
     table,
@@ -41,7 +47,8 @@ from sentinela.session import checkpoint_root, scratch_path
 from sentinela.sources.archives import unzip_members
 from sentinela.sources.files import expected_vs_found, file_name, yearly_windows, reporting_end
 from sentinela.sources.html import html_table, read_pages
-from sentinela.sources.layers import publish, read_layer, write_layer
+from sentinela.sources.layers import publish, read_layer, read_layer_inferred, write_layer
+from sentinela.sources.split_files import read_delimited_files
 from sentinela.streaming.land import land_archives
 
 CASE_REGION = "AMERICA"
@@ -129,6 +136,41 @@ def delimited_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_climate(files, keep=("name", "line_no"))
 
 
+def delimited_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-4, F-2, F-4, F-6, X-3, X-4: station files in a folder, read in blocks by many tasks -> bronze rows."""
+    files = lineitem_station_files(table(spark, sf_dir, "lineitem"), ORDERS_PER_SPLIT_FILE)
+    path = saved_files(files, scratch_path(spark, "delimited_split"))
+    lines = read_delimited_files(spark, path).withColumn("name", saved_name("file"))
+    return bronze_lines(lines, keep=("name", "line_no"))
+
+
+def quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-4: order notes with line breaks, separators and quotes inside quoted fields, read in blocks."""
+    path = saved_files(order_note_files(table(spark, sf_dir, "orders")), scratch_path(spark, "quoted_breaks"))
+    rows = read_delimited_files(spark, path, skip_rows=2, encoding="UTF-8", multiline=True)
+    return rows.select(saved_name("file").alias("name"), "line_no", *[F.get("fields", i).alias(f"c{i}") for i in range(3)])
+
+
+def inferred_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-7: a CSV layer without a declared schema: types from all values, a late text value included."""
+    base = scratch_path(spark, "inferred_layer")
+    orders = table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderkey")).first()[0]
+    key = F.col("o_orderkey")
+    src = orders.select(
+        "o_orderkey",
+        F.when(key % 3 != 0, F.col("o_custkey")).alias("inteiro_com_falta"),
+        "o_totalprice",
+        F.when(key == last, F.lit("n/d?")).otherwise((key % 100).cast("string")).alias("texto_tardio"),
+        F.when(key % 2 == 0, F.lit("True")).otherwise("False").alias("par"),
+        F.when(key == last, F.lit("7.5")).otherwise((key % 10).cast("string")).alias("decimal_tardio"),
+        F.col("o_orderdate").cast("date").cast("string").alias("data"),
+    )
+    write_layer(src, base, "1. bronze", "orders", fmt="csv")
+    read = read_layer_inferred(spark, base, "1. bronze", "orders")
+    return read.withColumn("inteiro_com_falta", F.coalesce("inteiro_com_falta", F.lit(-1)))
+
+
 def yearly_windows_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected yearly files per nation over its order period, flagged by
     whether the nation's customers placed a pending order in that year.
@@ -180,7 +222,7 @@ def layer_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K-3: a table replaced twice; only the second content remains."""
+    """K-3: a table replaced twice, with a publish between that fails in a task; only the last content remains."""
     orders = table(spark, sf_dir, "orders")
     path = scratch_path(spark, "publish_replace")
     name = "publish_check_" + path.rsplit("/", 1)[-1]
@@ -189,6 +231,12 @@ def publish_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = orders.groupBy(F.trunc(F.col("o_orderdate").cast("date"), "month").alias("ano_mes"), "o_orderstatus").agg(
         F.count(F.lit(1)).alias("qtd")
     )
+    failing = F.when(F.col("qtd") > 0, F.raise_error(F.lit("publish interrupted")).cast("bigint"))
+    try:
+        publish(second.withColumn("qtd", failing), name, path)
+    except PySparkException:  # the table still holds the first content
+        if spark.table(name).where("ano_mes IS NULL").count() == 0:
+            raise
     publish(second, name, path)
     return spark.table(name)
 
@@ -321,6 +369,45 @@ def replace_values_towns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixed.withColumn("cidade_auto", repair_mojibake("cidade_original"))
 
 
+def replace_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """N-3: two columns repaired by a dictionary table of 100,000 pairs."""
+    orders = table(spark, sf_dir, "orders")
+    pairs = spark.range(100_000).select(
+        F.concat(F.lit("k"), F.col("id") * 2).alias("old"),
+        F.when(F.col("id") % 10 != 0, F.concat(F.lit("v"), F.col("id"))).alias("new"),
+    )
+    cells = orders.select(
+        "o_orderkey", "o_totalprice",
+        F.concat(F.lit("k"), F.col("o_orderkey") % 300_000).alias("primeira"),
+        F.when(F.col("o_custkey") % 5 != 0, F.concat(F.lit("k"), F.col("o_custkey") % 7)).alias("segunda"),
+    )
+    return replace_from_table(cells, pairs, ["primeira", "segunda"])
+
+
+def layouts_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U-1, U-2, N-1, N-2: rows of 200 layouts, each with its own columns and column order, stacked by name."""
+    part = table(spark, sf_dir, "part")
+    layout = F.col("p_partkey") % 200
+    # a layout has the columns whose number does not divide it, in an order of its own
+    numbers = F.filter(F.sequence(F.lit(2), F.lit(9)), lambda i: layout % i != 0)
+    names = F.when(layout % 2 == 1, numbers).otherwise(F.reverse(numbers))
+    cells = F.transform(names, lambda i: F.when((F.col("p_partkey") + i) % 11 == 0, F.lit("nan")).otherwise(F.concat(F.col("p_size"), F.lit("/"), i)))
+    rows = part.select("p_partkey", F.transform(names, lambda i: F.concat(F.lit("col_"), i)).alias("names"), cells.alias("cells"))
+    out = stack_layouts(rows, keep=["p_partkey"])
+    return out.select("p_partkey", *sorted(c for c in out.columns if c != "p_partkey"))
+
+
+def date_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X-8, F-5: sources in two date formats; a source's first value decides, values of the other one are NULL."""
+    orders = table(spark, sf_dir, "orders")
+    source, key = F.col("o_custkey") % 50, F.col("o_orderkey")
+    slashed = (source % 2 == 0) != (key % 10 == 3)
+    text = F.when(slashed, F.date_format("o_orderdate", "yyyy/MM/dd")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+    rows = orders.select(source.alias("fonte"), "o_orderkey", "o_totalprice", F.when(key % 17 == 0, F.lit("lixo")).otherwise(text).alias("data"))
+    dated = dates_by_first_value(rows, "data", "o_orderkey", ["yyyy/MM/dd", "dd/MM/yyyy"], ["fonte"])
+    return dated.withColumn("data", F.date_format("data", "yyyy-MM-dd"))
+
+
 def monthly_mean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-3, A-4, X-10, N-4: daily order values per customer -> monthly means with every month between first and last."""
     orders = table(spark, sf_dir, "orders")
@@ -400,6 +487,21 @@ def cases_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runner.run_cases(spark, pages.filter(kept), layouts.filter(kept), base, region=CASE_REGION, partition_by=())
 
 
+def cases_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-7: a first run over a third of the pages in an older state, then one over all of them:
+    the years that are the same are not parsed again, and the tables are those of a full refresh."""
+    pages, layouts = _case_inputs(spark, sf_dir)
+    base = scratch_path(spark, "cases_incremental")
+    # years that the second run finds unchanged, changed, and new
+    third = F.col("year") % 3
+    older = F.when(third == 1, F.regexp_replace("html", "<td>\\d+</td></tr>", "<td>7</td></tr>")).otherwise(F.col("html"))
+    before = third != 2
+    runner.run_cases(
+        spark, pages.filter(before).withColumn("html", older), layouts.filter(before), base, region=CASE_REGION, incremental=True
+    )
+    return runner.run_cases(spark, pages, layouts, base, region=CASE_REGION, incremental=True)
+
+
 def _out_of_order(df: DataFrame, key: str, what: str) -> DataFrame:
     """One row: the rows of a sorted frame, and how many of them come after a
     greater ``key`` in the same partition or begin a partition below the end of
@@ -421,24 +523,42 @@ def _out_of_order(df: DataFrame, key: str, what: str) -> DataFrame:
 def sorted_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O-1, O-2: the silver cases and the monthly means come out by ascending month."""
     pages, layouts = _case_inputs(spark, sf_dir)
-    silver = silver_cases(bronze_cases(pages, layouts, region=CASE_REGION))
+    unsorted = silver_cases(bronze_cases(pages, layouts, region=CASE_REGION), sort=False)
+    silver = sort_in_ranges(unsorted, "ano_mes", ("disease", "municipio_resid"), rows_per_task=10_000)
     months = monthly_mean_filled(_daily_orders(spark, sf_dir), "data", ["total", "maior"])
     return _out_of_order(silver, "ano_mes", "casos").unionByName(_out_of_order(months, "data", "medias"))
 
 
 def climate_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G-4..G-7: yearly station archives from lineitem through land, bronze, silver and gold (per station)."""
+    return _climate_run(spark, sf_dir, "climate")
+
+
+def climate_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S-3, G-4..G-7 with an archive cut off in the middle: it is reported, and the run goes on without it."""
+    second = table(spark, sf_dir, "lineitem").agg(F.year(F.min("l_shipdate")) + 1).first()[0]
+
+    def cut(archives: DataFrame) -> DataFrame:
+        half = F.substring("content", F.lit(1), F.expr("int(length div 2)"))
+        return archives.withColumn("content", F.when(F.col("archive") == f"{second}_0_0.zip", half).otherwise(F.col("content")))
+
+    return _climate_run(spark, sf_dir, "climate_damaged", cut, unreadable="report")
+
+
+def _climate_run(spark: SparkSession, sf_dir: str, folder: str, change=None, **options) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
     # one row per station, used by the archive builder and the expected list
     checkpoint_root(spark)
     bounds = supplier_station_bounds(lineitem).checkpoint(eager=True)
-    base = scratch_path(spark, "climate")
+    base = scratch_path(spark, folder)
     # delivered once to a folder, as archives are; the job reads them from there
     delivered = supplier_station_archives(lineitem, bounds).withColumn("length", F.octet_length("content").cast("bigint"))
+    if change is not None:
+        delivered = change(delivered)
     delivered.write.parquet(f"{base}/inbox")
     archives = spark.read.schema(delivered.schema).parquet(f"{base}/inbox")
     expected = expected_station_files_for(bounds)
-    gold = runner.run_climate(spark, archives, expected, base, keys=("cidade",))
+    gold = runner.run_climate(spark, archives, expected, base, keys=("cidade",), **options)
     return rounded(gold)
 
 
@@ -461,9 +581,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lenient_number": lenient_number_events,
     "cases_layers": cases_layers,
     "cases_rerun": cases_rerun,
+    "cases_incremental": cases_incremental,
     "pages_from_files": pages_from_files,
     "land_all_members": land_all_members,
     "monthly_mean_all": monthly_mean_all,
     "sorted_months": sorted_months,
     "climate_layers": climate_layers,
+    "climate_damaged": climate_damaged,
+    "delimited_split": delimited_split,
+    "quoted_breaks": quoted_breaks,
+    "inferred_layer": inferred_layer,
+    "replace_dictionary": replace_dictionary,
+    "layouts_by_name": layouts_by_name,
+    "date_formats": date_formats,
 }

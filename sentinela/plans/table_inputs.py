@@ -311,9 +311,9 @@ def _station_file(body: Column) -> Column:
     return F.encode(F.concat(F.lit(head), body, F.lit(crlf + STATION_HEADER + crlf)), "ISO-8859-1")
 
 
-def lineitem_station_files(lineitem: DataFrame) -> DataFrame:
+def lineitem_station_files(lineitem: DataFrame, orders_per_file: int = ORDERS_PER_FILE_BLOCK) -> DataFrame:
     """Station files ``(name, content)``: one per (ship month, block of
-    order keys), latin-1, CRLF, 8 preamble lines, header, a repeated header
+    ``orders_per_file`` order keys), latin-1, CRLF, 8 preamble lines, header, a repeated header
     at the end; lines sorted by (order key, line number).
 
     Rows are shuffled to their file first and the lines are built there: the
@@ -322,7 +322,7 @@ def lineitem_station_files(lineitem: DataFrame) -> DataFrame:
     than over however few splits the input has."""
     keyed = lineitem.select(
         F.date_format("l_shipdate", "yyyy-MM").alias("ym"),
-        F.expr(f"l_orderkey div {ORDERS_PER_FILE_BLOCK}").alias("part"),
+        F.expr(f"l_orderkey div {orders_per_file}").alias("part"),
         *lineitem.columns,
     ).repartition("ym", "part")
     lines = station_lines(keyed).select("ym", "part", *LINE_ORDER, "text")
@@ -335,6 +335,48 @@ def lineitem_station_files(lineitem: DataFrame) -> DataFrame:
     )
 
 
+ORDERS_PER_SPLIT_FILE = 100_000
+
+
+def saved_files(files: DataFrame, path: str, name: str = "name", content: str = "content") -> str:
+    """``(name, content BINARY)`` rows saved one per file, in a folder ``arquivo={name}`` each."""
+    out = files.select(F.col(name).alias("arquivo"), F.col(content).cast("string").alias("value"))
+    out.write.option("maxRecordsPerFile", 1).partitionBy("arquivo").text(path)
+    return path
+
+
+def saved_name(file: Column | str) -> Column:
+    """The name under which :func:`saved_files` saved a file."""
+    return F.regexp_extract(file, "/arquivo=([^/]+)/[^/]+$", 1)
+
+
+def order_note_files(orders: DataFrame) -> DataFrame:
+    """``(name, content)`` per (order year, block of order keys): two title lines, a header, and a
+    record ``key;"note";status`` per order. The note of every fifth order holds a line break, of
+    every seventh a quoted word, of every eleventh a separator, of every thirteenth two breaks in
+    a row; a blank line stands between orders now and then, and an open quote before the end."""
+    key = F.col("o_orderkey")
+    note = F.concat(
+        F.lit("nota "), F.col("o_orderpriority"),
+        F.when(key % 5 == 0, F.lit("\r\nsegue")).otherwise(""),
+        F.when(key % 7 == 0, F.lit(' ""dito""')).otherwise(""),
+        F.when(key % 11 == 0, F.lit("; outro")).otherwise(""),
+        F.when(key % 13 == 0, F.lit("\r\n\r\nfim")).otherwise(""),
+    )
+    order = ["o_orderkey", "o_custkey", "o_totalprice"]
+    rows = orders.select(
+        F.year("o_orderdate").alias("y"), F.expr(f"o_orderkey div {ORDERS_PER_SPLIT_FILE}").alias("part"), *order,
+        F.concat(
+            key.cast("string"), F.lit(';"'), note, F.lit('";'), F.col("o_orderstatus"),
+            F.when(key % 17 == 0, F.lit("\r\n")).otherwise(""),
+        ).alias("text"),
+    )
+    files = rows.groupBy("y", "part").agg(_sorted_join(F.collect_list(F.struct(*order, "text")), "\r\n").alias("body"))
+    head, tail = "titulo\r\nsegundo titulo\r\nchave;nota;estado\r\n", '\r\naberta;"sem fim;X\r\nultima;linha;Z'
+    content = F.encode(F.concat(F.lit(head), F.col("body"), F.lit(tail)), "UTF-8")
+    return files.select(F.format_string("notas_%d_%d.csv", "y", "part").alias("name"), content.alias("content"))
+
+
 def supplier_station(supplier: Column, order: Column) -> Column:
     """Station of a supplier and a block of order keys: a busy supplier has many
     stations, so none of its files grows with the table."""

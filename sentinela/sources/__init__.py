@@ -4,10 +4,17 @@ from sentinela.sources.archives import read_binary_files, unzip_members, zip_mem
 from sentinela.sources.delimited import fields_to_columns, read_delimited
 from sentinela.sources.files import expected_vs_found, file_name, parse_file_name, reporting_end, yearly_windows
 from sentinela.sources.html import decode_page, html_table, read_pages, table_rows
-from sentinela.sources.layers import BRONZE, LAND, SILVER, layer_path, publish, read_layer, write_layer
+from sentinela.sources.layers import BRONZE, GOLD, LAND, SILVER, commit_layer, infer_types, layer_path, live_folders, publish, read_layer, read_layer_inferred, read_staged, stage_layer, write_layer
 
 __all__ = [
     "BRONZE",
+    "GOLD",
+    "commit_layer",
+    "infer_types",
+    "live_folders",
+    "read_layer_inferred",
+    "read_staged",
+    "stage_layer",
     "decode_page",
     "LAND",
     "SILVER",

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sentinela.plans.climate import land_files_per_bucket, land_members, spread_land
 from sentinela.session import checkpoint_root
-from sentinela.sources.layers import LAND, layer_path
+from sentinela.sources.layers import LAND, commits, layer_path
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -65,6 +65,8 @@ def land_archives(
 ) -> StreamingQuery:
     """Start the landing stream; returns the running query."""
     target = layer_path(base, LAND, name)
+    if commits(spark, base, LAND, name) is not None:
+        raise ValueError(f"{target} is written by batch runs: a stream's rows beside its log would not be read")
     ckpt = checkpoint or f"{checkpoint_root(spark)}/sentinela/streams/land_{name}"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

@@ -10,6 +10,7 @@ from sentinela.plans.layouts import PUBLISHED_LAYOUTS, layout_frame
 from sentinela.plans.runner import run_cases
 from sentinela.session import checkpoint_root, register_sql_functions, scratch_path
 from sentinela.sources.html import read_pages
+from sentinela.sources.layers import live_folders
 from tests.test_climate import GOLDEN, station_file, zipped
 
 
@@ -49,8 +50,9 @@ def test_run_pipeline_climate_from_folder(spark):
     assert [r.data for r in gold.orderBy("data").collect()] == [dt.date(2024, 1, 1), dt.date(2024, 2, 1), dt.date(2024, 3, 1)]
     csv = run_pipeline(spark, "climaticas", "2024-04-10", f"{root}/out_csv", f"{root}/zips", per_station=True, layer_format="csv")
     assert [(r.cidade, r.data, r.umidade_relativa_ar) for r in csv.orderBy("cidade", "data").collect()][0] == ("SE_SP_A713_SOROCABA", dt.date(2024, 1, 1), 75.0)
-    assert os.listdir(f"{root}/out_csv/1. bronze/climaticas") and any(
-        f.endswith(".csv") for f in os.listdir(f"{root}/out_csv/2. silver/climaticas"))
+    assert os.listdir(f"{root}/out_csv/1. bronze/climaticas")
+    (silver,) = live_folders(spark, f"{root}/out_csv", "2. silver", "climaticas")
+    assert any(f.endswith(".csv") for f in os.listdir(silver))
 
 
 def test_sql_table_functions(spark):

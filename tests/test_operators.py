@@ -1,5 +1,6 @@
 """Edge cases of single operators and sources."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from sentinela.operators import drop_header_lines, region_filter, rename, rename_select, replace_values, slice_rows
@@ -92,3 +93,80 @@ def test_order_check_sees_disorder(spark):
     df = spark.range(0, 100, 1, 4).selectExpr("(id * 37) % 100 AS k")
     assert _out_of_order(df.orderBy("k"), "k", "x").first().asDict() == {"saida": "x", "linhas": 100, "fora_de_ordem": 0}
     assert _out_of_order(df, "k", "x").first().fora_de_ordem > 0
+
+
+def test_dates_by_first_value(spark):
+    from sentinela.operators import dates_by_first_value
+
+    rows = [
+        ("a", 1, ""), ("a", 2, "03/04/2020"), ("a", 3, "2020/04/05"), ("a", 4, "31/12/2020"), ("a", 5, None),
+        ("b", 1, "2021/01/02"), ("b", 2, "03/04/2020"), ("c", 1, "lixo"), ("c", 2, "03/04/2020"), ("c", 3, "2021/01/02"),
+        (None, 7, "05/06/2020"), ("d", 1, None),
+    ]
+    df = spark.createDataFrame(rows, "s string, n int, data string")
+    got = {(r.s, r.n): r.data and r.data.isoformat() for r in dates_by_first_value(df, "data", "n", ["yyyy/MM/dd", "dd/MM/yyyy"], ["s"]).collect()}
+    assert got == {
+        ("a", 1): None, ("a", 2): "2020-04-03", ("a", 3): None, ("a", 4): "2020-12-31", ("a", 5): None,
+        ("b", 1): "2021-01-02", ("b", 2): None, ("c", 1): None, ("c", 2): "2020-04-03", ("c", 3): "2021-01-02",
+        (None, 7): "2020-06-05", ("d", 1): None,
+    }
+    alone = dates_by_first_value(df.filter("s = 'b'"), "data", "n", ["dd/MM/yyyy", "yyyy/MM/dd"])
+    assert [r.data is not None for r in alone.orderBy("n").collect()] == [True, False]
+    assert dates_by_first_value(df.limit(0), "data", "n", ["yyyy/MM/dd"]).count() == 0
+
+
+def test_replace_from_table(spark):
+    from sentinela.operators import replace_from_table
+
+    df = spark.createDataFrame([(1, "x", "y"), (2, None, "x"), (3, "zz", "w"), (4, "x", "x")], "id int, a string, b string")
+    pairs = spark.createDataFrame([("x", "X"), ("x", "X"), ("w", None), (None, "never")], "old string, new string")
+    got = sorted(map(tuple, replace_from_table(df, pairs, ["a", "b"]).collect()))
+    assert got == [(1, "X", "y"), (2, None, "X"), (3, "zz", None), (4, "X", "X")]
+    two = spark.createDataFrame([("x", "X"), ("x", "Y")], "old string, new string")
+    with pytest.raises(Exception, match="two replacements for x"):
+        replace_from_table(df, two, ["a"]).collect()
+
+
+def test_stack_layouts_plan_does_not_grow(spark):
+    from sentinela.operators import stack_layouts
+
+    def rows(layouts):
+        data = [(i, [f"c{(i + j) % 7}" for j in range(3)], [str(i), None, "nan", "extra"]) for i in range(layouts)]
+        return spark.createDataFrame(data, "id int, names array<string>, cells array<string>")
+
+    out = stack_layouts(rows(2), keep=["id"])
+    assert [tuple(r) for r in out.orderBy("id").collect()] == [(0, "0", "0", "0", "0"), (1, "0", "1", "0", "0")] and out.columns == ["id", "c0", "c1", "c2", "c3"]
+    size = lambda n: len(stack_layouts(rows(n), keep=["id"])._jdf.queryExecution().analyzed().toString().splitlines())
+    assert size(200) == size(7)
+    kept = stack_layouts(rows(1), keep=["id"], fill=None).collect()
+    assert [tuple(r) for r in kept] == [(0, "0", None, "nan")]
+    with pytest.raises(ValueError, match="share names"):
+        stack_layouts(rows(1).withColumnRenamed("id", "c0"), keep=["c0"])
+
+
+def test_infer_types(spark):
+    from sentinela.sources import infer_types
+    from sentinela.sources.layers import typed
+
+    data = [("1", "1", "True", "x", "", "1", "9" * 30), ("2", "2.5", "FALSE", "1", "NA", "true", "1"), ("", "nan", None, "", None, "", "1")]
+    df = spark.createDataFrame(data, "a string, b string, c string, d string, e string, f string, g string").withColumn("h", F.lit(1))
+    got = {f.name: f.dataType.simpleString() for f in infer_types(df)}
+    assert got == {"a": "bigint", "b": "double", "c": "boolean", "d": "string", "e": "double", "f": "string", "g": "double", "h": "int"}
+    rows = [tuple(r) for r in typed(df, infer_types(df)).collect()]
+    assert rows[0][:4] == (1, 1.0, True, "x") and rows[2][:6] == (None, None, None, None, None, None)
+
+
+def test_strict_long_is_bounded_without_ansi(spark):
+    from sentinela.functions.numbers import strict_long
+
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            ok = spark.createDataFrame([("9.2e18",), ("-9223372036854775808",), ("1e3",), ("-1.9",)], "v string")
+            assert [r[0] for r in ok.select(strict_long("v")).collect()] == [9200000000000000000, -(2**63), 1000, -1]
+            for bad in ("1e30", "-1e19", "9223372036854775808", "9.3e18", "1e999"):
+                with pytest.raises(Exception, match="out of range"):
+                    spark.createDataFrame([(bad,)], "v string").select(strict_long("v")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
