@@ -7,7 +7,7 @@ of ``documents``; the last returns the packed pieces.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentinela.llm.common import written
@@ -19,37 +19,45 @@ from sentinela.llm.simhash import one_of_each
 from sentinela.llm.toxicity import toxicity_scores
 
 
+def _shielded(docs: DataFrame) -> tuple[DataFrame, list[Column], dict[str, str]]:
+    """``docs`` with all columns but ``doc_id`` and ``text`` under names that no operator uses, the
+    way back to the columns of ``docs``, and the new name of each."""
+    names = {c: c if c in ("doc_id", "text") else f"kept_column_{i}" for i, c in enumerate(docs.columns)}
+    safe = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return safe, [F.col(n).alias(c) for c, n in names.items()], names
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold, by a model fitted on this stage's input."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    clean = toxicity_scores(spark, docs.withColumnRenamed("score", "_score"), labels).where(F.col("score") < TOXIC)
-    return clean.drop("score").withColumnRenamed("_score", "score").select(*docs.columns)
+    safe, back, _ = _shielded(docs)
+    return toxicity_scores(spark, safe, labels).where(F.col("score") < TOXIC).select(*back)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each SimHash component."""
-    return one_of_each(spark, docs)
+    safe, back, _ = _shielded(docs)
+    return one_of_each(spark, safe).select(*back)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by ``benchmark``."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    given = [c for c in docs.columns if c.lower() in ("n_words", "n_hit", "items", "hits", "spans")]
-    safe = docs.select(*[F.col(c).alias(f"_in_{c}" if c in given else c) for c in docs.columns])
-    found = find_contamination(spark, safe, items, unnamed=True).where(~is_contaminated())
-    return found.select(*[F.col(f"_in_{c}" if c in given else c).alias(c) for c in docs.columns])
+    safe, back, _ = _shielded(docs)
+    return find_contamination(spark, safe, items, unnamed=True).where(~is_contaminated()).select(*back)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, personal data as [KIND]; ``n_chars`` follows the text."""
-    given = [c for c in docs.columns if c.lower() in ("spans", "found", "rid")]
-    safe = docs.select(*[F.col(c).alias(f"_in_{c}" if c in given else c) for c in docs.columns])
+    safe, _, names = _shielded(docs)
     # in a projection of its own: beside a column named text, a lambda's "text" would be that one
     found = find_personal_data(spark, safe).withColumn("found", redacted(F.col("text"), F.col("spans")))
-    out = {"text": F.col("found").alias("text")}
+    out = {c: F.col(n) for c, n in names.items()}
+    out["text"] = F.col("found")
     if "n_chars" in docs.columns:
-        out["n_chars"] = F.when(F.size("spans") > 0, F.length("found").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return found.select(*[out.get(c, F.col(f"_in_{c}" if c in given else c)).alias(c) for c in docs.columns])
+        length = F.length("found").cast(docs.schema["n_chars"].dataType)
+        out["n_chars"] = F.when(F.size("spans") > 0, length).otherwise(out["n_chars"])
+    return found.select(*[v.alias(c) for c, v in out.items()])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
