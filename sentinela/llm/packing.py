@@ -72,7 +72,7 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]
 
 class _Search:
     """Depth-first bin completion: each step completes the sequence of the largest
-    piece left, as often as the counts allow."""
+    piece left, as often as the counts allow or fewer times."""
 
     def __init__(self, counts: dict[int, int], capacity: int, width: int, steps: int):
         self.capacity, self.width, self.steps = capacity, width, steps
@@ -85,6 +85,9 @@ class _Search:
         self.bound = lower_bound(counts, capacity)
         self.best = best_fit(counts, capacity)
         self.best_n = sum(n for _, n in self.best)
+        self.step = 0
+        self.cut = False  # some completion was left out for the width
+        self.left = 0  # pieces that the current step may still try
 
     def _mark(self, n: int) -> None:
         self.bits ^= 1 << n
@@ -101,43 +104,58 @@ class _Search:
                 self._mark(n)
                 insort(self.lengths, n)
 
-    def _pairs(self, room: int) -> int:
-        """Bit n: pieces of n and of room - n are both there."""
-        return self.bits & (self.mirror >> (self.capacity - room))
-
-    def _exact(self, room: int, out: list, prefix: tuple, depth: int) -> None:
-        """Fillings of exactly ``room``: fewer and larger pieces first."""
-        if room == 0:
-            out.append(prefix)
-        elif self.bits >> room & 1:
-            out.append((*prefix, room))
-        elif pairs := self._pairs(room):
-            while pairs and len(out) < self.width:
-                n = pairs.bit_length() - 1
+    def _exact(self, room: int, size: int, most: int, used: Counter, prefix: tuple, out: list) -> None:
+        """Fillings of exactly ``room`` with ``size`` more pieces of at most ``most``, larger ones
+        first; ``used`` pieces are not there any more. At most ``4 * width`` are kept."""
+        if size == 1:
+            if room <= most and self.counts.get(room, 0) > used[room]:
+                out.append((*prefix, room))
+            return
+        top = min(most, room - (size - 1) * self.lengths[0])
+        if top <= 0:
+            return
+        if size == 2:  # bit n: pieces of n and of room - n are both there
+            both = self.bits & (self.mirror >> (self.capacity - room)) & ((2 << top) - 1)
+            while both:
+                n = both.bit_length() - 1
                 if 2 * n < room:
-                    break
-                out.append((*prefix, n, room - n))
-                pairs ^= 1 << n
-        elif depth:
-            at = bisect_right(self.lengths, room) - 1
-            for i in range(at, max(-1, at - 4 * self.width), -1):
-                if len(out) >= self.width:
-                    break
-                self._exact(room - self.lengths[i], out, (*prefix, self.lengths[i]), depth - 1)
-
-    def _dominated(self, pieces: tuple, slack: int) -> bool:
-        """A piece, or two, could give way to one larger piece that fits and is there."""
+                    return
+                both ^= 1 << n
+                same = n == room - n
+                if self.counts[n] > used[n] + same and self.counts[room - n] > used[room - n]:
+                    if len(out) >= 4 * self.width:
+                        self.cut = True
+                        return
+                    out.append((*prefix, n, room - n))
+            return
+        for i in range(bisect_right(self.lengths, top) - 1, -1, -1):
+            n = self.lengths[i]
+            if n * size < room:
+                return
+            if self.counts[n] <= used[n]:
+                continue
+            self.left -= 1
+            if self.left < 0 or len(out) >= 4 * self.width:
+                self.cut = True
+                return
+            used[n] += 1
+            self._exact(room - n, size - 1, n, used, (*prefix, n), out)
+            used[n] -= 1
+
+    def _dominated(self, pieces: tuple, filling: Counter, slack: int) -> bool:
+        """A piece, or two, could give way to one larger piece that fits and is left."""
         for i, a in enumerate(pieces):
-            for group in [(a,), *((a, b) for b in pieces[i + 1 :])]:
-                low = sum(group) + (len(group) == 1)
+            for total, low in [(a, a + 1), *((a + b, a + b) for b in pieces[i + 1 :])]:
                 at = bisect_left(self.lengths, low)
-                if at < len(self.lengths) and self.lengths[at] <= sum(group) + slack and self.lengths[at] not in pieces:
-                    return True
+                while at < len(self.lengths) and self.lengths[at] <= total + slack:
+                    if self.counts[self.lengths[at]] > filling[self.lengths[at]]:
+                        return True
+                    at += 1
         return False
 
     def fillings(self, allowed: int) -> list[tuple[Filling, int]]:
         """Undominated completions of the largest piece's sequence that waste at
-        most ``allowed``, least waste first, as (filling, waste)."""
+        most ``allowed``, least waste and fewest pieces first, as (filling, waste)."""
         largest = self.lengths[-1]
         room, out, seen = self.capacity - largest, [], set()
         greedy, left, have = [], room, Counter(self.counts)
@@ -149,84 +167,125 @@ class _Search:
             greedy += [n] * copies
             left -= n * copies
             at = min(at, bisect_right(self.lengths, left)) - 1
-        for waste in range(0, min(allowed, room, left) + 1):
+        pieces_left = sum(self.counts.values()) - 1
+        self.left = 64 * self.width
+        for waste in range(0, min(allowed, room) + 1):
             found: list[tuple] = []
-            self._exact(room - waste, found, (), 2)
             if waste == left:
                 found.append(tuple(greedy))
+            if room == waste:
+                found.append(())
+            for size in range(1, min((room - waste) // self.lengths[0], pieces_left) + 1):
+                self.left -= 1
+                if self.left < 0 or len(found) >= 4 * self.width:
+                    self.cut = True
+                    break
+                self._exact(room - waste, size, largest, Counter((largest,)), (), found)
             for pieces in found:
                 filling = Counter((largest, *pieces))
                 key = tuple(sorted(filling.items(), reverse=True))
-                if key in seen or any(self.counts.get(n, 0) < c for n, c in key):
+                if key in seen:
                     continue
                 seen.add(key)
-                if len(pieces) <= 6 and self._dominated(pieces, waste):
+                self.left -= 1
+                if len(pieces) <= 12 and self._dominated(pieces, filling, waste):
                     continue
                 out.append((key, waste))
-            if len(out) >= self.width:
+            if self.left < 0 or len(out) >= self.width:
+                # completions of more waste, and of this one if too many, are not tried
+                self.cut = self.cut or len(out) > self.width or waste < min(allowed, room)
                 break
         if not out and left <= allowed:
             out.append((tuple(sorted(Counter((largest, *greedy)).items(), reverse=True)), left))
         return out[: self.width]
 
-    def run(self) -> list[tuple[Filling, int]]:
-        path: list[tuple[Filling, int, int]] = []  # filling, times, waste
-        todo: list[list] = []
-        waste = used = step = 0
+    def _choices(self, waste: int) -> list[tuple[Filling, int, int]]:
+        """(filling, waste, times), the last one first to be tried: each filling as often as
+        counts and waste bound let it, then half as often, and so on to once."""
+        allowed = (self.best_n - 1) * self.capacity - self.total - waste
+        if allowed < 0 or not self.lengths:
+            return []
+        most, fewer = [], []
+        for filling, lost in self.fillings(allowed):
+            times = min(self.counts[n] // c for n, c in filling)
+            if lost:
+                times = min(times, allowed // lost)
+            if times:
+                most.append((filling, lost, times))
+            while times > 1:
+                times //= 2
+                fewer.append((filling, lost, times))
+        return (most + fewer)[::-1]
+
+    def _tree(self) -> bool:
+        """Search the tree once; False if the steps ran out before its end."""
+        path: list[tuple[Filling, int, int]] = []
+        todo, waste, used = [self._choices(0)], 0, 0
 
         def back() -> None:
             nonlocal waste, used
-            filling, times, lost = path.pop()
+            filling, lost, times = path.pop()
             self._take(filling, -times)
             waste, used = waste - lost * times, used - times
 
-        while self.best_n > self.bound and step < self.steps:
-            step += 1
-            allowed = (self.best_n - 1) * self.capacity - self.total - waste
-            if not self.lengths:
-                if used < self.best_n:
-                    self.best, self.best_n = [(f, n) for f, n, _ in path], used
-                choices = []
-            else:
-                if step % 64 == 0:  # complete what is left by best fit: a new incumbent
-                    rest = best_fit({n: self.counts[n] for n in self.lengths}, self.capacity)
-                    n_rest = sum(n for _, n in rest)
-                    if used + n_rest < self.best_n:
-                        self.best, self.best_n = [(f, n) for f, n, _ in path] + rest, used + n_rest
-                choices = self.fillings(allowed) if allowed >= 0 else []
-            todo.append(choices[::-1])
-            while todo:
-                if todo[-1]:
-                    filling, lost = todo[-1].pop()
-                    times = min(self.counts[n] // c for n, c in filling)
-                    allowed = (self.best_n - 1) * self.capacity - self.total - waste
-                    if lost:  # as often as the waste bound lets it
-                        times = min(times, allowed // lost)
-                    if times <= 0:
-                        continue
-                    self._take(filling, times)
-                    path.append((filling, times, lost))
-                    waste, used = waste + lost * times, used + times
-                    break
+        while todo and self.best_n > self.bound and self.step < self.steps:
+            if not todo[-1]:
                 todo.pop()
-                if path and todo:
+                if path:
                     back()
-            else:
-                break  # the tree is searched: the incumbent is the best
-        return self.best
+                continue
+            filling, lost, times = todo[-1].pop()
+            if waste + lost * times > (self.best_n - 1) * self.capacity - self.total:
+                continue  # the bound has fallen since
+            self.step += 1
+            self._take(filling, times)
+            path.append((filling, lost, times))
+            waste, used = waste + lost * times, used + times
+            if not self.lengths:
+                if used < self.best_n:
+                    self.best, self.best_n = [(f, n) for f, _, n in path], used
+            elif self.step % 64 == 0:  # complete what is left by best fit: a new incumbent
+                rest = best_fit({n: self.counts[n] for n in self.lengths}, self.capacity)
+                n_rest = sum(n for _, n in rest)
+                if used + n_rest < self.best_n:
+                    self.best, self.best_n = [(f, n) for f, _, n in path] + rest, used + n_rest
+            todo.append(self._choices(waste))
+        ended = not todo or self.best_n <= self.bound
+        while path:
+            back()
+        return ended
+
+    def run(self) -> tuple[list[tuple[Filling, int]], bool]:
+        """The best packing, and whether no better one exists: the bound is met, or a tree in which
+        no completion was left out is searched. Else the width doubles while steps remain."""
+        while self.best_n > self.bound:
+            self.cut = False
+            if not self._tree():
+                return self.best, False
+            if self.best_n > self.bound and not self.cut:
+                break
+            self.width *= 2
+        return self.best, True
 
 
-def pack_lengths(counts: dict[int, int], capacity: int, width: int = 6, steps: int = 4_000) -> list[tuple[Filling, int]]:
-    """Fillings and how often each is used, for pieces counted by length.
+def search_lengths(counts: dict[int, int], capacity: int, width: int = 6, steps: int = 4_000) -> tuple[list[tuple[Filling, int]], bool]:
+    """Fillings and how often each is used, for pieces counted by length, and whether that is
+    known to be the fewest sequences.
 
-    Starts from best-fit decreasing; the search prunes with the waste that a
-    better packing could still afford, ends when the lower bound is met or the
-    tree (``width`` completions a step) is searched, or after ``steps`` steps.
+    Starts from best-fit decreasing; the search prunes with the waste that a better packing could
+    still afford. It tries ``width`` completions a step, twice as many in the next search while the
+    lower bound is not met, and ends after ``steps`` steps in all: only then may a packing with
+    fewer sequences exist.
     """
     counts = {int(n): int(c) for n, c in counts.items() if c}
     if any(n < 1 or n > capacity for n in counts):
         raise ValueError("lengths must lie between 1 and the capacity")
-    return _Search(counts, capacity, width, steps).run() if counts else []
+    return _Search(counts, capacity, width, steps).run() if counts else ([], True)
+
+
+def pack_lengths(counts: dict[int, int], capacity: int, width: int = 6, steps: int = 4_000) -> list[tuple[Filling, int]]:
+    """The fillings of :func:`search_lengths`."""
+    return search_lengths(counts, capacity, width, steps)[0]
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = 0, with_ids: bool = False) -> DataFrame:
@@ -268,7 +327,7 @@ def place(spark: SparkSession, pieces: DataFrame, capacity: int, **search) -> Da
     """``pieces`` (``length``, ``part``, ``nth``) with ``sequence_id`` and ``offset``.
 
     Numbers inside (part, length) plus the counts of the parts before give each
-    piece its rank among equal lengths, without sorting pieces. The histogram
+    piece its rank among equal lengths, without a window over pieces. The histogram
     (at most ``capacity`` rows) goes to the driver, the fillings' segments (no
     more than a few per length and filling) back to the tasks.
     """

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from sentinela.llm.packing import best_fit, lower_bound, pack_documents, pack_lengths, sequences
+from sentinela.llm.packing import best_fit, lower_bound, pack_documents, pack_lengths, search_lengths, sequences
 from sentinela.llm.tokens import TokenBytes
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -91,6 +91,23 @@ def test_small_packings_are_optimal(pieces):
     assert got == want
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.sampled_from([20, 50, 100]), st.lists(st.integers(1, 100), max_size=13))
+def test_default_search_is_optimal_or_says_so(capacity, pieces):
+    pieces = [min(n, capacity) for n in pieces]
+    fillings, proven = search_lengths(Counter(pieces), capacity)
+    got = _check(Counter(pieces), capacity, fillings)
+    want = _fewest(sorted(pieces, reverse=True), capacity) if pieces else 0
+    assert got == want if proven else got >= want
+
+
+def test_search_uses_copies_left_and_triples():
+    pieces = [10, 12, 13, 16, 17, 21, 25, 31]
+    fillings, proven = search_lengths(Counter(pieces), 50)
+    assert _check(Counter(pieces), 50, fillings) == 3 and proven
+    assert search_lengths(Counter(random.Random(5).choices(range(600, 1100), k=400)), 2048, steps=3)[1] is False
+
+
 def test_search_beats_best_fit_and_meets_the_bound():
     counts = Counter(random.Random(1).choices(range(300, 900), k=300))
     plain = _check(counts, 2048, best_fit(counts, 2048))

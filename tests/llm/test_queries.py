@@ -82,7 +82,8 @@ def test_pipeline_stages(spark):
 
 
 def test_stages_take_empty_tables_nulls_and_clashing_names(spark):
-    extra = ["score", "spans", "items", "n_hit", "found", "rid", "root", "piece", "c"]
+    extra = ["score", "_score", "spans", "items", "n_hit", "hits", "_in_hits", "found", "_in_found", "_hits_email", "_gaps_card", "rid", "root"]
+    extra += ["_gone", "_fp", "fp", "component_id", "piece", "c", "kept_column_0", "kept_column_7"]
     rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (2, "write to a@b.org now", "en", "s", 20), (2, "write to a@b.org now", "en", "s", 20), (3, "w " * 50_000, "en", "s", 100_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs = docs.select("*", *[F.lit("x").alias(c) for c in extra])
