@@ -2,27 +2,34 @@
 
 Units are bytes of the normalised text (ASCII lower case, white-space runs as one
 space), so the model knows every language and no word is out of vocabulary.
-N-grams of all trusted texts are counted; the counts, their continuation counts
-and their contexts are Spark tables hashed by n-gram, and joins of them give the
-probability of every n-gram that any document holds. Documents are then scored
-against shards of that table, each of bounded size, and their perplexity is held
-against quantiles of the trusted texts of their language.
+Texts are packed once into blocks of bounded size, each with the counts of its own
+n-grams. The blocks' counts are summed by n-gram, and joins of the counts, the
+continuation counts and their contexts give the probability of every n-gram that
+any block holds. Those go back to the blocks by a join on the n-gram, and each
+block's texts are scored with its own n-grams: no table passes the driver or is
+broadcast, and a text is shuffled once.
+
+Trusted texts are cross-fitted: each is dealt to a fold by its hash (equal texts
+share one) and scored by the model of the other folds, so that the quantiles held
+against unseen texts are themselves of texts the model has not seen.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from sentinela.llm.common import add_columns, without, written
+from sentinela.llm.common import without, written
 
-#: N-grams in one shard of the probability table (12 bytes each when broadcast).
-SHARD_GRAMS = 4_000_000
-#: Trusted ids that may be broadcast (8 bytes each); beyond, the join is shuffled.
-BROADCAST_IDS = 2_000_000
+#: Bytes of text in one block (a longer text is a block of its own).
+BLOCK_BYTES = 8 << 20
+#: Parts of the trusted texts that are scored by a model of the others.
+FOLDS = 5
 #: Bytes of text whose n-grams are handled at once.
 CHUNK = 4 << 20
 
@@ -33,59 +40,127 @@ def normal(text: str | None) -> bytes:
     return b" ".join(data.replace(b"\0", b" ").split())
 
 
-def text_grams(texts: list, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams of the texts one after another (each byte, and the end,
-    with the n-1 bytes before it), and how many each text has."""
-    pad = b"\0" * (n - 1)
+def gram_runs(texts: list, n: int, chunk: int = CHUNK) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Packed n-grams of the texts one after another (each byte, and the end, with
+    the n-1 bytes before it) in runs of at most ``chunk``: the n-grams, the numbers
+    of the texts they are of, and how many are of each. A long text has many runs."""
     parts = [normal(t) for t in texts]
-    sizes = np.array([len(p) + 1 for p in parts], np.int64)
+    pad = b"\0" * (n - 1)
     data = np.frombuffer(b"".join(pad + p + b"\0" for p in parts), np.uint8)
-    out = np.zeros(max(0, len(data) - n + 1), np.int64)
-    for i in range(n):
-        out <<= 8
-        out |= data[i : len(data) - n + 1 + i]
-    # windows that end inside a padding belong to no text
+    sizes = np.array([len(p) + 1 for p in parts], np.int64)
     ends = np.cumsum(sizes + n - 1)
-    keep = np.ones(len(out), bool)
-    for i in range(1, n):
-        keep[ends[:-1] - i] = False
-    return out[keep], sizes
-
-
-def _chunks(texts: list):
-    """Runs of texts of about ``CHUNK`` bytes."""
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t or "")
-        if size >= CHUNK:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
-def count_grams(docs: DataFrame, n: int) -> DataFrame:
-    """(gram, c): every n-gram of all ``docs`` (text, trusted), with its count in
-    the trusted texts. Counted per chunk first, then combined before the shuffle."""
-
-    def run(batches):
-        for b in batches:
-            texts, trusted = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for told in (True, False):
-                for chunk in _chunks([t for t, x in zip(texts, trusted) if bool(x) == told]):
-                    grams, counts = np.unique(text_grams(chunk, n)[0], return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(grams), pa.array(counts * int(told), pa.int64())], ["gram", "c"]
-                    )
+    first = ends - sizes - (n - 1)
+    for a in range(0, len(data) - n + 1, chunk):
+        b = min(a + chunk, len(data) - n + 1)
+        grams = np.zeros(b - a, np.int64)
+        for i in range(n):
+            grams <<= 8
+            grams |= data[a + i : b + i]
+        keep = np.ones(b - a, bool)
+        for i in range(1, n):  # windows that end inside a padding belong to no text
+            cut = ends - i
+            keep[cut[(cut >= a) & (cut < b)] - a] = False
+        at = np.arange(np.searchsorted(first + sizes, a, "right"), np.searchsorted(first, b, "left"))
+        yield grams[keep], at, np.minimum(first[at] + sizes[at], b) - np.maximum(first[at], a)
+
+
+def text_grams(texts: list, n: int, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+    """All packed n-grams of the texts, and how many each text has."""
+    found, sizes = [np.zeros(0, np.int64)], np.zeros(len(texts), np.int64)
+    for grams, at, count in gram_runs(texts, n, chunk):
+        found.append(grams)
+        sizes[at] += count
+    return np.concatenate(found), sizes
+
+
+def gram_counts(texts: list, n: int, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct n-grams of the texts, sorted, with their counts."""
+    grams, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for found, _, _ in gram_runs(texts, n, chunk):
+        new, times = np.unique(found, return_counts=True)
+        both, back = np.unique(np.concatenate([grams, new]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([counts, times]), len(both)).astype(np.int64)
+        grams = both
+    return grams, counts
+
+
+def text_scores(
+    grams: np.ndarray, logp: np.ndarray, texts: list, n: int, chunk: int = CHUNK
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per text: sum of the log-probabilities of its n-grams, all of them in the
+    sorted ``grams``, and its number of n-grams."""
+    sums, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
+    for found, at, count in gram_runs(texts, n, chunk):
+        if len(at):
+            value = logp[np.searchsorted(grams, found)]
+            sums[at] += np.add.reduceat(value, np.r_[0, np.cumsum(count)[:-1]])
+            sizes[at] += count
+    return sums, sizes
+
+
+def text_blocks(told: DataFrame, n: int, folds: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(block, fold, rows, grams, counts): the rows of ``told`` (``_text``, ``_fold``
+    and others) in blocks of one fold and at most about ``block_bytes`` of text, as
+    a compressed Arrow stream, with the block's distinct n-grams and their counts.
+    Write the result before use: numbers are dealt by task."""
+
+    def pack(batches):
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        held: list[list] = [[] for _ in range(folds + 1)]
+        size = [0] * (folds + 1)
+
+        def block(fold):
+            nonlocal number
+            rows = pa.Table.from_batches(held[fold]).combine_chunks()
+            held[fold], size[fold], number = [], 0, number + 1
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(rows)
+            grams, counts = gram_counts(rows["_text"].to_pylist(), n)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number], pa.int64()),
+                    pa.array([fold], pa.int32()),
+                    pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                    pa.array([grams], pa.list_(pa.int64())),
+                    pa.array([counts], pa.list_(pa.int64())),
+                ],
+                names=["block", "fold", "rows", "grams", "counts"],
+            )
 
-    return docs.select("text", "trusted").mapInArrow(run, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+        for b in batches:
+            folded = b.column(b.schema.get_field_index("_fold")).to_numpy()
+            lengths = b.column(b.schema.get_field_index("_length")).to_numpy()
+            for fold in np.unique(folded):
+                at = np.flatnonzero(folded == fold)
+                part = b.take(pa.array(at))
+                ends = size[fold] + np.cumsum(lengths[at])
+                cuts = np.flatnonzero(np.diff(ends // block_bytes, prepend=size[fold] // block_bytes)) + 1
+                low = 0
+                for cut in cuts:
+                    held[fold].append(part.slice(low, cut - low))
+                    low = int(cut)
+                    yield block(fold)
+                if low < len(at):
+                    held[fold].append(part.slice(low))
+                    size[fold] = int(ends[-1]) % block_bytes
+        for fold in range(folds + 1):
+            if held[fold]:
+                yield block(fold)
+
+    return told.mapInArrow(pack, "block long, fold int, rows binary, grams array<long>, counts array<long>")
 
 
 def _mask(k: int) -> Column:
     return F.lit((1 << 8 * k) - 1).cast("long")
 
 
+def _array(one, models: int) -> Column:
+    return F.array(*[one(m) for m in range(models)])
+
+
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts 1, 2 and 3 or more; within 0 and
     the count where the count-of-counts are too few."""
@@ -98,52 +173,53 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw))
 
 
-def gram_probabilities(spark: SparkSession, counted: DataFrame, n: int) -> DataFrame:
-    """(gram, logp) for every n-gram of ``counted`` (gram, c), by joins of the count
-    tables of each order: discounted count over the context's total, plus the
-    context's discounted mass times the probability of the next lower order."""
-    types = {n: counted.where("c > 0")}
+def gram_probabilities(spark: SparkSession, counted: DataFrame, n: int, models: int) -> DataFrame:
+    """(gram, logp) for every n-gram of ``counted`` (gram, c), where ``c`` holds one
+    count per model and ``logp`` one value, by joins of the count tables of each
+    order: discounted count over the context's total, plus the context's discounted
+    mass times the probability of the next lower order. A context or a suffix has
+    at most 256 n-grams, so no key is frequent."""
+    types = {n: counted.where(F.exists("c", lambda x: x > 0))}
     for k in range(n - 1, 0, -1):  # continuation counts: distinct bytes to the left
-        low = types[k + 1].select(F.col("gram").bitwiseAND(_mask(k)).alias("gram"))
-        types[k] = written(spark, low.groupBy("gram").agg(F.count(F.lit(1)).alias("c")), f"types_{k}")
+        low = types[k + 1].select(F.col("gram").bitwiseAND(_mask(k)).alias("gram"), "c")
+        c = _array(lambda m: F.count_if(F.col("c")[m] > 0), models).alias("c")
+        types[k] = written(spark, low.groupBy("gram").agg(c), f"types_{k}")
     below = None
     for k in range(1, n + 1):
-        r = types[k].agg(*[F.count_if(F.col("c") == i).alias(f"n{i}") for i in range(1, 5)]).first()
-        d1, d2, d3 = discounts(r.n1, r.n2, r.n3, r.n4)
-        off = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
-        seen = types[k].select("gram", (F.col("c") - off).alias("kept"))
+        r = types[k].agg(
+            *[F.count_if(F.col("c")[m] == i).alias(f"m{m}_{i}") for m in range(models) for i in range(1, 5)]
+        ).first()
+        off = [discounts(*(r[f"m{m}_{i}"] for i in range(1, 5))) for m in range(models)]
+
+        def lost(m: int, off=off) -> Column:
+            c = F.col("c")[m]
+            return F.when(c == 0, 0.0).when(c == 1, off[m][0]).when(c == 2, off[m][1]).otherwise(off[m][2])
+
+        seen = types[k].select("gram", _array(lambda m: F.col("c")[m] - lost(m), models).alias("kept"))
         context = types[k].groupBy(F.shiftright("gram", 8).alias("context")).agg(
-            F.sum("c").alias("total"), (F.sum(off) / F.sum("c")).alias("spare")
+            _array(lambda m: F.sum(F.col("c")[m]), models).alias("total"),
+            _array(lambda m: F.sum(lost(m)), models).alias("spare"),
         )
-        need = counted.select(F.col("gram").bitwiseAND(_mask(k)).alias("gram")) if k < n else counted.select("gram")
+        need = counted.select(F.col("gram").bitwiseAND(_mask(k)).alias("gram"))
         need = need.distinct() if k < n else need
         joined = (
             need.withColumns({"context": F.shiftright("gram", 8), "low": F.col("gram").bitwiseAND(_mask(k - 1))})
             .join(seen, "gram", "left")
             .join(context, "context", "left")
         )
-        if below is None:
-            p_low = F.lit(1.0 / 256)
-        else:
-            joined, p_low = joined.join(below, "low", "left"), F.col("p_low")
-        p = F.coalesce(F.col("kept") / F.col("total"), F.lit(0.0)) + F.coalesce("spare", F.lit(1.0)) * p_low
-        probs = joined.select("gram", p.alias("p"))
-        if k < n:
-            below = written(spark, probs, f"p_{k}").select(F.col("gram").alias("low"), F.col("p").alias("p_low"))
-    return probs.select("gram", F.log("p").alias("logp"))
+        if below is not None:
+            joined = joined.join(below, "low", "left")
 
+        def prob(m: int, below=below) -> Column:
+            low = F.lit(1.0 / 256) if below is None else F.col("p_low")[m]
+            total = F.col("total")[m]
+            here = (F.coalesce(F.col("kept")[m], F.lit(0.0)) + F.col("spare")[m] * low) / total
+            return F.when(total > 0, here).otherwise(low)
 
-def text_scores(grams: np.ndarray, logp: np.ndarray, texts: list, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Per text: sum of log-probabilities of its n-grams that are in the table
-    (sorted ``grams``), and its number of n-grams."""
-    sums, sizes = [np.zeros(0)], [np.zeros(0, np.int64)]
-    for chunk in _chunks(texts):
-        found, size = text_grams(chunk, n)
-        at = np.minimum(np.searchsorted(grams, found), max(0, len(grams) - 1))
-        value = np.where(grams[at] == found, logp[at], 0.0) if len(grams) else np.zeros(len(found))
-        sums.append(np.add.reduceat(value, np.r_[0, np.cumsum(size)[:-1]]))
-        sizes.append(size)
-    return np.concatenate(sums), np.concatenate(sizes)
+        probs = joined.select("gram", _array(prob, models).alias("p"))
+        if k < n:
+            below = written(spark, probs, f"p_{k}").select(F.col("gram").alias("low"), F.col("p").alias("p_low"))
+    return probs.select("gram", F.transform("p", lambda p: F.log(p)).alias("logp"))
 
 
 def perplexities(
@@ -154,50 +230,67 @@ def perplexities(
     text: str = "text",
     n: int = 5,
     keep: list[str] | None = None,
-    shard_grams: int = SHARD_GRAMS,
+    folds: int = FOLDS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` (columns ``keep``, default all) with ``n_grams`` and ``perplexity``
     under the model of the trusted texts (rows whose id is in ``trusted_ids``,
-    column doc_id).
+    column doc_id); a trusted text's own fold is left out of its model.
 
-    Texts are read twice: to gather n-grams, and to be scored (once per shard of
-    ``shard_grams`` n-grams). Only n-grams are shuffled. Null and empty texts
-    consist of the end mark; repeated rows count each time; without trusted texts
-    every n-gram is equally likely; input columns named like an output column are
-    replaced.
+    Null and empty texts consist of the end mark; repeated rows count each time;
+    without trusted texts (outside a text's own fold) every n-gram is equally
+    likely; input columns named like an output column are replaced. A text of any
+    length is scored whole.
     """
-    ids = trusted_ids.select(F.col("doc_id").alias("_trusted_id")).where("doc_id IS NOT NULL").distinct()
+    base = without(docs if keep is None else docs.select(*dict.fromkeys([*keep, text, doc_id])), ["n_grams", "perplexity"])
+    names = [c for c in (docs.columns if keep is None else keep) if c in base.columns]
+    # the operator's columns beside numbered ones, so that no name of the input can clash
+    told = base.select(
+        F.col(f"`{doc_id}`").alias("_id"),
+        F.col(f"`{text}`").alias("_text"),
+        *[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(names)],
+    )
+    ids = trusted_ids.select(F.col("doc_id").alias("_trusted")).where("doc_id IS NOT NULL").distinct()
     ids = written(spark, ids, "trusted_ids")
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    told = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{text}`").alias("text")).join(
-        ids, F.col("_id") == F.col("_trusted_id"), "left"
+    fold = F.when(F.col("_trusted").isNull(), folds).otherwise(F.pmod(F.xxhash64("_text"), F.lit(folds)))
+    told = told.join(ids, F.col("_id") == F.col("_trusted"), "left").select(
+        "_text",
+        *[f"_{i}" for i in range(len(names))],
+        fold.cast("int").alias("_fold"),
+        (F.coalesce(F.octet_length("_text"), F.lit(0)) + 1).cast("long").alias("_length"),
+    )
+    blocks = written(spark, text_blocks(told, n, folds, block_bytes), "blocks")
+
+    # model m leaves out fold m; the last one leaves out nothing
+    grams = blocks.select("block", "fold", F.inline(F.arrays_zip("grams", "counts")).alias("gram", "c"))
+    every = F.sum(F.when(F.col("fold") < folds, F.col("c")).otherwise(0))
+    own = [F.sum(F.when(F.col("fold") == m, F.col("c")).otherwise(0)) for m in range(folds)]
+    counted = grams.groupBy("gram").agg(_array(lambda m: every - own[m] if m < folds else every, folds + 1).alias("c"))
+    counted = written(spark, counted, "grams")
+    table = written(spark, gram_probabilities(spark, counted, n, folds + 1), "gram_logp")
+
+    known = grams.select("block", "fold", "gram").join(table, "gram").select(
+        F.col("block").alias("asking"), "gram", F.col("logp")[F.col("fold")].cast("float").alias("logp")
+    )
+    parts = max(1, min(blocks.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    out = [base.schema[c] for c in names] + [StructField("n_grams", LongType()), StructField("perplexity", DoubleType())]
+    n_kept = len(names)
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        found, logp = right["gram"].to_numpy(), right["logp"].to_numpy()
+        order = np.argsort(found)
+        rows = pa.ipc.open_stream(left["rows"][0].as_py()).read_all()
+        sums, sizes = text_scores(found[order], logp[order].astype(np.float64), rows["_text"].to_pylist(), n)
+        cols = [rows[f"_{i}"] for i in range(n_kept)] + [pa.array(sizes, pa.int64()), pa.array(np.exp(-sums / sizes))]
+        return pa.Table.from_arrays(cols, names=[f"_{i}" for i in range(n_kept)] + ["n_grams", "perplexity"])
+
+    numbered = StructType([StructField(f"_{i}", f.dataType) for i, f in enumerate(out[:-2])] + out[-2:])
+    scored = (
+        blocks.select("block", "rows").repartition(parts, "block").groupBy("block")
+        .cogroup(known.repartition(parts, "asking").groupBy("asking"))
+        .applyInArrow(score, numbered)
     )
-    counted = written(spark, count_grams(told.withColumn("trusted", F.col("_trusted_id").isNotNull()), n), "grams")
-    table = written(spark, gram_probabilities(spark, counted, n), "gram_logp")
-    shards = max(1, -(-table.count() // shard_grams))
-
-    names = list(docs.columns if keep is None else keep)
-    out = without(docs.select(*dict.fromkeys([*names, text])), ["n_grams", "perplexity", "_sum"])
-    names = [c for c in names if c in out.columns]
-    for s in range(shards):
-        part = table.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == s) if shards > 1 else table
-        rows = part.select("gram", F.col("logp").cast("float")).toArrow()  # one shard: at most about shard_grams rows
-        grams, logp = rows["gram"].to_numpy(), rows["logp"].to_numpy()
-        order = np.argsort(grams)
-        shared = spark.sparkContext.broadcast((grams[order], logp[order]))
-        del rows, grams, logp, order
-
-        def compute(texts: list, shared=shared) -> list:
-            sums, sizes = text_scores(*shared.value, texts, n)
-            return [sums, sizes]
-
-        fields = [StructField(f"_sum{s}", DoubleType()), StructField("n_grams", LongType())]
-        last = s == shards - 1
-        kept = [c for c in out.columns if c != "n_grams" and (not last or c != text or text in names)]
-        out = add_columns(out, text, fields, compute, keep=kept)
-    total = sum((F.col(f"_sum{s}") for s in range(1, shards)), F.col("_sum0"))
-    return out.select(*names, "n_grams", F.exp(-total / F.col("n_grams")).alias("perplexity"))
+    return scored.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)], "n_grams", "perplexity")
 
 
 def judge(
@@ -214,7 +307,7 @@ def judge(
     ids = trusted_ids.select(F.col("doc_id").alias(doc_id)).where(F.col(doc_id).isNotNull()).distinct()
     trusted = base.select(doc_id, F.col(lang).alias("_lang"), "perplexity").join(ids, doc_id, "left_semi")
     q = F.percentile_approx("perplexity", [low, high], 10_000).alias("_q")
-    per = F.broadcast(trusted.groupBy("_lang").agg(q))  # one row per language
+    per = trusted.groupBy("_lang").agg(q)
     every = trusted.agg(q).first()["_q"]  # two numbers
     rest = F.array(*[F.lit(x) for x in every]) if every else F.lit(None).cast("array<double>")
     both = base.join(per, base[lang].eqNullSafe(F.col("_lang")), "left")

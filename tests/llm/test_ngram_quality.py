@@ -1,6 +1,7 @@
 """Kneser-Ney against a dictionary model; thresholds; edges."""
 
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -8,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sentinela.llm.ngram_quality import discounts, judge, normal, perplexities, text_grams
+from sentinela.llm.ngram_quality import discounts, gram_counts, judge, normal, perplexities, text_grams, text_scores
 
 
 def _grams(text, n):
@@ -41,40 +42,63 @@ def _model(texts, n):
 
 
 def test_grams():
-    grams, sizes = text_grams(["ab", None, "", "C  d"], 3)
-    want = [g for t in ("ab", "", "", "c d") for g in _grams(t, 3)]
-    assert [int(g).to_bytes(3, "big") for g in grams] == want and list(sizes) == [3, 1, 1, 4]
-    assert text_grams([], 3)[1].size == 0
+    for chunk in (4 << 20, 3):
+        grams, sizes = text_grams(["ab", None, "", "C  d"], 3, chunk)
+        want = [g for t in ("ab", "", "", "c d") for g in _grams(t, 3)]
+        assert [int(g).to_bytes(3, "big") for g in grams] == want and list(sizes) == [3, 1, 1, 4]
+        assert text_grams([], 3, chunk)[1].size == 0
+        found, counts = gram_counts(["ab", None, "", "C  d"], 3, chunk)
+        assert dict(zip((int(g).to_bytes(3, "big") for g in found), counts)) == Counter(want)
+        sums, sizes = text_scores(found, np.log(counts / 7), ["ab", None, "", "C  d"], 3, chunk)
+        want = [sum(math.log(Counter(want)[g] / 7) for g in _grams(t, 3)) for t in ("ab", "", "", "c d")]
+        assert np.allclose(sums, want) and list(sizes) == [3, 1, 1, 4]
 
 
-@pytest.mark.parametrize("shard", [10**6, 40])
-def test_perplexity_is_kneser_neys(spark, shard):
+@pytest.mark.parametrize("block", [8 << 20, 40])
+def test_perplexity_is_kneser_neys_of_the_other_folds(spark, block):
     rng = random.Random(2)
     docs = [(i, "".join(rng.choice("abAé \n") for _ in range(rng.randint(0, 30)))) for i in range(40)]
     docs += [(90, None), (91, ""), (None, "zzz"), (5, docs[5][1]), (92, "unseen ÿ\0x"), (93, "ab " * 50_000)]
-    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).selectExpr("*", "'q' AS perplexity")
-    ids = spark.createDataFrame([(i,) for i in range(0, 40, 2)] + [(None,), (999,), (2,)], "doc_id long")
-    got = perplexities(spark, df, ids, n=3, shard_grams=shard)
-    assert got.columns == ["doc_id", "text", "n_grams", "perplexity"]
-    prob = _model([t for i, t in docs if i is not None and i < 40 and i % 2 == 0], 3)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3).selectExpr("*", "'q' AS perplexity", "'r' AS _text", "1 AS _0")
+    trusted = {i for i in range(0, 40, 2)}
+    ids = spark.createDataFrame([(i,) for i in trusted] + [(None,), (999,), (2,)], "doc_id long")
+    got = perplexities(spark, df, ids, n=3, folds=2, block_bytes=block)
+    assert got.columns == ["doc_id", "text", "_text", "_0", "n_grams", "perplexity"]
+    fold = {r.doc_id: r.f for r in df.selectExpr("doc_id", "pmod(xxhash64(text), 2) AS f").collect()}
+    probs = [_model([t for i, t in docs if i in trusted and fold[i] != m], 3) for m in range(3)]
     rows = got.collect()
-    assert len(rows) == len(docs)
+    assert len(rows) == len(docs) and {fold[i] for i in trusted} == {0, 1}
     for r in rows:
-        grams = _grams(r.text, 3)
-        if r.doc_id == 93:
-            grams, times = Counter(grams), len(grams)
-            mean = sum(c * math.log(prob(g)) for g, c in grams.items()) / times
-        else:
-            mean = np.mean([math.log(prob(g)) for g in grams])
+        grams, prob = _grams(r.text, 3), probs[fold[r.doc_id] if r.doc_id in trusted else 2]
+        times = len(grams)
+        mean = sum(c * math.log(prob(g)) for g, c in Counter(grams).items()) / times
+        assert r.n_grams == times and (r["_text"], r["_0"]) == ("r", 1)
         assert abs(math.log(r.perplexity) + mean) < 1e-5
-    if shard > 1000:
+    if block > 1000:
         alphabet = [bytes([b]) for b in range(256)]
-        assert abs(sum(prob(b"ab" + a) for a in alphabet) - 1) < 1e-9
+        assert abs(sum(probs[2](b"ab" + a) for a in alphabet) - 1) < 1e-9
         assert perplexities(spark, df.limit(0), ids, n=3).count() == 0
         even = perplexities(spark, df.limit(3), ids.limit(0), n=3).collect()
         assert all(abs(r.perplexity - 256) < 1e-3 for r in even)
 
 
+def test_unseen_good_texts_are_kept(spark):
+    """Trained on half of the good texts: the other half is kept, noise is not."""
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    good = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").select("doc_id").distinct()
+    trained, unseen = good.where("crc32(string(doc_id)) % 2 = 0"), good.where("crc32(string(doc_id)) % 2 = 1")
+    noise = docs.join(unseen, "doc_id").selectExpr("doc_id + 1000000000", "lang", "repeat(substr(md5(text), 1, 30), 30)")
+    got = judge(perplexities(spark, docs.join(good, "doc_id").union(noise), trained), trained).collect()
+    seen = {r.doc_id for r in trained.collect()}
+    rest = [r.kept for r in got if r.doc_id not in seen and r.doc_id < 10**9]
+    made = [r.kept for r in got if r.doc_id >= 10**9]
+    assert len(rest) > 100 and rest.count(False) <= 0.05 * len(rest)
+    assert len(made) == len(rest) and made.count(True) <= 0.05 * len(made)
+
+
 def test_judge(spark):
     rows = [(i, "en" if i % 2 else "de", float(i)) for i in range(1000)] + [(2000, "xx", 1e9), (2001, None, 500.0), (2002, "en", 0.001)]
     df = spark.createDataFrame(rows, "doc_id long, lang string, perplexity double")
