@@ -12,12 +12,12 @@ from pyspark.sql.types import StructField, StructType
 from sentinela.session import scratch_path
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: cuts the
     lineage, and a lost executor costs no recomputation of what is written."""
     path = scratch_path(spark, "llm", name)
     schema = df.schema
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(schema).parquet(path)
 
 

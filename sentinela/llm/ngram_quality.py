@@ -2,12 +2,12 @@
 
 Units are bytes of the normalised text (ASCII lower case, white-space runs as one
 space), so the model knows every language and no word is out of vocabulary.
-Texts are packed once into blocks of bounded size, each with the counts of its own
-n-grams. The blocks' counts are summed by n-gram, and joins of the counts, the
-continuation counts and their contexts give the probability of every n-gram that
-any block holds. Those go back to the blocks by a join on the n-gram, and each
-block's texts are scored with its own n-grams: no table passes the driver or is
-broadcast, and a text is shuffled once.
+Texts are dealt to blocks of bounded size, each with the counts of its own n-grams.
+The blocks' counts are summed by n-gram, and joins of the counts, the continuation
+counts and their contexts give the probability of every n-gram that any block
+holds. Each block's distinct n-grams then meet those by buckets of n-grams, and its
+texts are scored with the answers: no table passes the driver or is broadcast, and
+a text is shuffled once.
 
 Trusted texts are cross-fitted: each is dealt to a fold by its hash (equal texts
 share one) and scored by the model of the other folds, so that the quantiles held
@@ -16,6 +16,7 @@ against unseen texts are themselves of texts the model has not seen.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,12 +31,18 @@ from sentinela.llm.common import without, written
 BLOCK_BYTES = 8 << 20
 #: Parts of the trusted texts that are scored by a model of the others.
 FOLDS = 5
+#: N-grams of the probability table, and asked ones, that one bucket holds on average.
+BUCKET_GRAMS, BUCKET_ASKED = 250_000, 8_000_000
+#: Bytes that the trusted ids may have to be broadcast; beyond, texts are shuffled to them.
+BROADCAST_BYTES = 64 << 20
 #: Bytes of text whose n-grams are handled at once.
 CHUNK = 4 << 20
 
 
-def normal(text: str | None) -> bytes:
-    """No byte 0 is left: it marks the beginning and the end."""
+def normal(text: str | bytes | None) -> bytes:
+    """No byte 0 is left: it marks the beginning and the end. Bytes are normal."""
+    if isinstance(text, bytes):
+        return text
     data = b"" if text is None else text.encode("utf-8", "surrogatepass").lower()
     return b" ".join(data.replace(b"\0", b" ").split())
 
@@ -98,59 +105,128 @@ def text_scores(
     return sums, sizes
 
 
-def text_blocks(told: DataFrame, n: int, folds: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, fold, rows, grams, counts): the rows of ``told`` (``_text``, ``_fold``
-    and others) in blocks of one fold and at most about ``block_bytes`` of text, as
-    a compressed Arrow stream, with the block's distinct n-grams and their counts.
-    Write the result before use: numbers are dealt by task."""
+def _blocks(batches, n_folds: int, block_bytes: int) -> Iterator[tuple[str, int, pa.Table]]:
+    """(block, fold, rows): rows of one fold with at most about ``block_bytes`` of
+    text, the text normalised. A block is named by its task, its number and a digest
+    of its texts, so that two passes over the same input agree or do not meet."""
+    from pyspark import TaskContext
+
+    task, number = TaskContext.get().partitionId(), 0
+    held: list[list] = [[] for _ in range(n_folds)]
+    size = [0] * n_folds
+
+    def block(fold):
+        nonlocal number
+        rows, number = pa.Table.from_batches(held[fold]).combine_chunks(), number + 1
+        held[fold], size[fold] = [], 0
+        return f"{task}-{number}-{zlib.crc32(b' '.join(rows['_text'].to_pylist()))}", fold, rows
+
+    for b in batches:
+        at = b.schema.get_field_index("_text")
+        texts = [normal(t) for t in b.column(at).to_pylist()]
+        b = b.set_column(at, "_text", pa.array(texts, pa.binary()))
+        folded = b.column(b.schema.get_field_index("_fold")).to_numpy()
+        lengths = np.array([len(t) + 1 for t in texts], np.int64)
+        for fold in np.unique(folded):
+            at = np.flatnonzero(folded == fold)
+            part, low = b.take(pa.array(at)), 0
+            filled = size[fold] + np.cumsum(lengths[at])
+            for cut in np.flatnonzero(np.diff(filled // block_bytes, prepend=0)) + 1:
+                held[fold].append(part.slice(low, cut - low))
+                low = int(cut)
+                yield block(fold)
+            if low < len(at):
+                held[fold].append(part.slice(low))
+                size[fold] = int(filled[-1]) % block_bytes
+    for fold in range(n_folds):
+        if held[fold]:
+            yield block(fold)
 
-    def pack(batches):
-        from pyspark import TaskContext
 
-        number = TaskContext.get().partitionId() << 32
-        held: list[list] = [[] for _ in range(folds + 1)]
-        size = [0] * (folds + 1)
+def block_grams(told: DataFrame, n: int, folds: int, block_bytes: int) -> DataFrame:
+    """(block, fold, grams, counts): the distinct n-grams of each block."""
 
-        def block(fold):
-            nonlocal number
-            rows = pa.Table.from_batches(held[fold]).combine_chunks()
-            held[fold], size[fold], number = [], 0, number + 1
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                out.write_table(rows)
+    def run(batches):
+        for name, fold, rows in _blocks(batches, folds + 1, block_bytes):
             grams, counts = gram_counts(rows["_text"].to_pylist(), n)
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([number], pa.int64()),
+                    pa.array([name]),
                     pa.array([fold], pa.int32()),
-                    pa.array([sink.getvalue().to_pybytes()], pa.binary()),
                     pa.array([grams], pa.list_(pa.int64())),
-                    pa.array([counts], pa.list_(pa.int64())),
+                    pa.array([counts], pa.list_(pa.int32())),
                 ],
-                names=["block", "fold", "rows", "grams", "counts"],
+                names=["block", "fold", "grams", "counts"],
             )
 
-        for b in batches:
-            folded = b.column(b.schema.get_field_index("_fold")).to_numpy()
-            lengths = b.column(b.schema.get_field_index("_length")).to_numpy()
-            for fold in np.unique(folded):
-                at = np.flatnonzero(folded == fold)
-                part = b.take(pa.array(at))
-                ends = size[fold] + np.cumsum(lengths[at])
-                cuts = np.flatnonzero(np.diff(ends // block_bytes, prepend=size[fold] // block_bytes)) + 1
-                low = 0
-                for cut in cuts:
-                    held[fold].append(part.slice(low, cut - low))
-                    low = int(cut)
-                    yield block(fold)
-                if low < len(at):
-                    held[fold].append(part.slice(low))
-                    size[fold] = int(ends[-1]) % block_bytes
-        for fold in range(folds + 1):
-            if held[fold]:
-                yield block(fold)
+    return told.mapInArrow(run, "block string, fold int, grams array<long>, counts array<int>")
+
+
+def block_rows(told: DataFrame, folds: int, block_bytes: int) -> DataFrame:
+    """(block, rows): the same blocks' rows, each block a compressed Arrow stream."""
+
+    def run(batches):
+        for name, _, rows in _blocks(batches, folds + 1, block_bytes):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(rows)
+            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([sink.getvalue().to_pybytes()])], ["block", "rows"])
+
+    return told.mapInArrow(run, "block string, rows binary")
+
 
-    return told.mapInArrow(pack, "block long, fold int, rows binary, grams array<long>, counts array<long>")
+def _bucket(grams, buckets: int):
+    """Of an n-gram, as a number: the same rule for arrays and columns."""
+    return grams % 1_000_003 % buckets
+
+
+def answers(grams: DataFrame, table: DataFrame, models: int, buckets: int, salts: int, parts: int) -> DataFrame:
+    """(asking, bucket, n, logp): for each block of ``grams`` and each bucket the
+    log-probabilities, under the model of the block's fold, of its n-grams there, in
+    their order. Blocks are dealt to ``salts`` groups a bucket, each of which meets
+    the bucket's part of ``table``: a group is of bounded size."""
+
+    def ask(batches):
+        for b in batches:
+            for name, fold, held in zip(*(b.column(i) for i in range(3))):
+                held = held.values.to_numpy()
+                bucket = _bucket(held, buckets)
+                for k in np.unique(bucket):
+                    part = held[bucket == k]
+                    steps = pa.compress(np.diff(part, prepend=0).tobytes(), codec="zstd", asbytes=True)
+                    row = [name.as_py(), fold.as_py(), int(k), zlib.crc32(name.as_py().encode()) % salts, len(part), steps]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([v], t) for v, t in zip(row, (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))],
+                        names=["asking", "fold", "bucket", "salt", "n", "steps"],
+                    )
+
+    def answer(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if left.num_rows:
+            known = right["gram"].to_numpy()
+            order = np.argsort(known)
+            known = known[order]
+            logp = right["logp"].combine_chunks().flatten().to_numpy().reshape(-1, models)[order]
+            for fold, n, steps in zip(*(left[c].to_pylist() for c in ("fold", "n", "steps"))):
+                held = np.cumsum(np.frombuffer(pa.decompress(steps, 8 * n, codec="zstd"), np.int64))
+                found = np.ascontiguousarray(logp[np.searchsorted(known, held), fold])
+                out.append(pa.compress(found.tobytes(), codec="zstd", asbytes=True))
+        return pa.table([left["asking"], left["bucket"], left["n"], pa.array(out, pa.binary())], names=["asking", "bucket", "n", "logp"])
+
+    asked = grams.select("block", "fold", "grams").mapInArrow(
+        ask, "asking string, fold int, bucket long, salt int, n long, steps binary"
+    )
+    parted = table.select(
+        _bucket(F.col("gram"), buckets).alias("part"),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("copy"),
+        "gram",
+        F.col("logp").cast("array<float>").alias("logp"),
+    )
+    return (
+        asked.repartition(parts, "bucket", "salt").groupBy("bucket", "salt")
+        .cogroup(parted.repartition(parts, "part", "copy").groupBy("part", "copy"))
+        .applyInArrow(answer, "asking string, bucket long, n long, logp binary")
+    )
 
 
 def _mask(k: int) -> Column:
@@ -240,7 +316,8 @@ def perplexities(
     Null and empty texts consist of the end mark; repeated rows count each time;
     without trusted texts (outside a text's own fold) every n-gram is equally
     likely; input columns named like an output column are replaced. A text of any
-    length is scored whole.
+    length is scored whole. ``docs`` is read twice and must give the same rows in the
+    same partitions, as tables do; if not, the job fails.
     """
     base = without(docs if keep is None else docs.select(*dict.fromkeys([*keep, text, doc_id])), ["n_grams", "perplexity"])
     names = [c for c in (docs.columns if keep is None else keep) if c in base.columns]
@@ -252,43 +329,52 @@ def perplexities(
     )
     ids = trusted_ids.select(F.col("doc_id").alias("_trusted")).where("doc_id IS NOT NULL").distinct()
     ids = written(spark, ids, "trusted_ids")
+    size = ids.agg(F.sum(F.octet_length(F.col("_trusted").cast("string")) + 32)).first()[0] or 0
+    few = size <= BROADCAST_BYTES
     fold = F.when(F.col("_trusted").isNull(), folds).otherwise(F.pmod(F.xxhash64("_text"), F.lit(folds)))
-    told = told.join(ids, F.col("_id") == F.col("_trusted"), "left").select(
-        "_text",
-        *[f"_{i}" for i in range(len(names))],
-        fold.cast("int").alias("_fold"),
-        (F.coalesce(F.octet_length("_text"), F.lit(0)) + 1).cast("long").alias("_length"),
+    told = told.join(F.broadcast(ids) if few else ids, F.col("_id") == F.col("_trusted"), "left").select(
+        "_text", *[f"_{i}" for i in range(len(names))], fold.cast("int").alias("_fold")
     )
-    blocks = written(spark, text_blocks(told, n, folds, block_bytes), "blocks")
+    # the blocks are made twice, from the same rows: beyond a broadcast these are written
+    told = told if few else written(spark, told, "told", "zstd")
+    blocks = written(spark, block_grams(told, n, folds, block_bytes), "block_grams", "zstd")
 
     # model m leaves out fold m; the last one leaves out nothing
-    grams = blocks.select("block", "fold", F.inline(F.arrays_zip("grams", "counts")).alias("gram", "c"))
+    models = folds + 1
+    grams = blocks.select("fold", F.inline(F.arrays_zip("grams", "counts")).alias("gram", "c"))
     every = F.sum(F.when(F.col("fold") < folds, F.col("c")).otherwise(0))
     own = [F.sum(F.when(F.col("fold") == m, F.col("c")).otherwise(0)) for m in range(folds)]
-    counted = grams.groupBy("gram").agg(_array(lambda m: every - own[m] if m < folds else every, folds + 1).alias("c"))
+    counted = grams.groupBy("gram").agg(_array(lambda m: every - own[m] if m < folds else every, models).alias("c"))
     counted = written(spark, counted, "grams")
-    table = written(spark, gram_probabilities(spark, counted, n, folds + 1), "gram_logp")
+    table = written(spark, gram_probabilities(spark, counted, n, models), "gram_logp")
 
-    known = grams.select("block", "fold", "gram").join(table, "gram").select(
-        F.col("block").alias("asking"), "gram", F.col("logp")[F.col("fold")].cast("float").alias("logp")
-    )
-    parts = max(1, min(blocks.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    out = [base.schema[c] for c in names] + [StructField("n_grams", LongType()), StructField("perplexity", DoubleType())]
-    n_kept = len(names)
+    r = blocks.agg(F.count(F.lit(1)).alias("blocks"), F.sum(F.size("grams")).alias("asked")).first()
+    buckets = -(-table.count() // BUCKET_GRAMS) or 1
+    salts = -(-(r.asked or 0) // (buckets * BUCKET_ASKED)) or 1
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = answers(blocks, table, models, buckets, salts, min(buckets * salts, most))
+    fields = [StructField(f"_{i}", base.schema[c].dataType) for i, c in enumerate(names)]
+    fields += [StructField("n_grams", LongType()), StructField("perplexity", DoubleType())]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        found, logp = right["gram"].to_numpy(), right["logp"].to_numpy()
-        order = np.argsort(found)
-        rows = pa.ipc.open_stream(left["rows"][0].as_py()).read_all()
-        sums, sizes = text_scores(found[order], logp[order].astype(np.float64), rows["_text"].to_pylist(), n)
-        cols = [rows[f"_{i}"] for i in range(n_kept)] + [pa.array(sizes, pa.int64()), pa.array(np.exp(-sums / sizes))]
-        return pa.Table.from_arrays(cols, names=[f"_{i}" for i in range(n_kept)] + ["n_grams", "perplexity"])
-
-    numbered = StructType([StructField(f"_{i}", f.dataType) for i, f in enumerate(out[:-2])] + out[-2:])
+        rows = pa.ipc.open_stream(left["rows"][0].as_py()).read_all() if left.num_rows else None
+        texts = rows["_text"].to_pylist() if left.num_rows else []
+        held, _ = gram_counts(texts, n)
+        if len(held) != sum(right["n"].to_pylist()):
+            raise RuntimeError("the input's rows came in another order when read again: write them first")
+        parts = sorted(zip(*(right[c].to_pylist() for c in ("bucket", "n", "logp"))))
+        logp = np.empty(len(held))
+        found = [np.frombuffer(pa.decompress(v, 4 * k, codec="zstd"), np.float32) for _, k, v in parts]
+        logp[np.argsort(_bucket(held, buckets), kind="stable")] = np.concatenate(found)
+        sums, sizes = text_scores(held, logp, texts, n)
+        cols = [rows[f.name] for f in fields[:-2]] + [pa.array(sizes, pa.int64()), pa.array(np.exp(-sums / sizes))]
+        return pa.table(cols, names=[f.name for f in fields])
+
+    parts = max(1, min(r.blocks, most))
     scored = (
-        blocks.select("block", "rows").repartition(parts, "block").groupBy("block")
+        block_rows(told, folds, block_bytes).repartition(parts, "block").groupBy("block")
         .cogroup(known.repartition(parts, "asking").groupBy("asking"))
-        .applyInArrow(score, numbered)
+        .applyInArrow(score, StructType(fields))
     )
     return scored.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(names)], "n_grams", "perplexity")
 
