@@ -364,6 +364,28 @@ def saved_files(files: DataFrame, path: str, name: str = "name", content: str =
     return path
 
 
+def saved_station_files(lineitem: DataFrame, path: str, orders_per_file: int = ORDERS_PER_SPLIT_FILE) -> str:
+    """The files of :func:`lineitem_station_files` saved as :func:`saved_files` saves them, written line
+    by line from sorted rows: a file is never one value, however long it is."""
+    keyed = lineitem.select(
+        F.date_format("l_shipdate", "yyyy-MM").alias("ym"),
+        F.expr(f"l_orderkey div {orders_per_file}").alias("part"),
+        F.lit(1).alias("place"), *lineitem.columns,
+    )
+    ends = keyed.select("ym", "part").distinct().withColumn("place", F.explode(F.array(F.lit(0), F.lit(2))))
+    rows = station_lines(keyed.unionByName(ends, allowMissingColumns=True).repartition("ym", "part"))
+    head = "\r\n".join([*PREAMBLE, STATION_HEADER])
+    text = F.when(F.col("place") == 0, head).when(F.col("place") == 2, STATION_HEADER).otherwise(F.col("text"))
+    lines = rows.select(
+        F.format_string("lineitem_%s_%d.CSV", "ym", "part").alias("arquivo"), "place", *LINE_ORDER,
+        F.encode(text, "ISO-8859-1").cast("string").alias("value"),
+    )
+    # the writer goes from file to file in this order
+    lines = lines.sortWithinPartitions("arquivo", "place", *LINE_ORDER, "value").select("arquivo", "value")
+    lines.write.option("lineSep", "\r\n").partitionBy("arquivo").text(path)
+    return path
+
+
 def saved_name(file: Column | str) -> Column:
     """The name under which :func:`saved_files` saved a file."""
     return F.regexp_extract(file, "/arquivo=([^/]+)/[^/]+$", 1)

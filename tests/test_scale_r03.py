@@ -6,10 +6,16 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from sentinela.plans.table_inputs import supplier_station_archives, supplier_station_bounds, zip_archives
+from sentinela.plans.table_inputs import (
+    lineitem_station_files,
+    saved_files,
+    saved_station_files,
+    supplier_station_archives,
+    supplier_station_bounds,
+    zip_archives,
+)
 from sentinela.sources import archives as source
 from sentinela.sources.archives import ZipMembers, unzip_members, zip_members
-from sentinela.sources.split_files import read_delimited_files
 
 LINES = (
     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
@@ -81,11 +87,14 @@ def test_members_are_named_by_pattern(spark):
     assert unzip_members(src, name_pattern="nothing").count() == 0
 
 
-def test_lines_are_joined_once(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.csv").write_bytes(b"x;y\n\n1;2\n1;2;3\n3")
-    (tmp_path / "in" / "blank.csv").write_bytes(b"t\n\n\n")
-    got = read_delimited_files(spark, str(tmp_path / "in"), skip_rows=1)
-    assert [(r.name, r.line_no, r.fields) for r in got.orderBy("line_no").collect()] == [("a.csv", 2, ["1", "2"]), ("a.csv", 4, ["3"])]
-    logical = got._jdf.queryExecution().optimizedPlan().toString()
-    assert logical.count("Join ") == 1
+def test_station_files_are_written_by_line(spark, tmp_path):
+    lines = _lineitem(spark)
+    lines = lines.unionByName(lines.filter("l_orderkey % 3 = 0"))  # repeated rows too
+    saved_station_files(lines, str(tmp_path / "by_line"), 100_000)
+    saved_files(lineitem_station_files(lines, 100_000), str(tmp_path / "whole"))
+    got, want = {}, {}
+    for folder, found in (("by_line", got), ("whole", want)):
+        for d in sorted((tmp_path / folder).glob("arquivo=*")):
+            (file,) = d.glob("part-*")
+            found[d.name] = file.read_bytes()
+    assert len(got) > 20 and {n: d + b"\n" for n, d in got.items()} == want  # a whole value gets a line end of its own
